@@ -138,8 +138,8 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str
         raise ValueError(f"{lang} has more than {max_langs} values")
     if not keys:
         return LanguageModel({})
-    runs = F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"), 1)).alias("w")
-    counted = rows.where(F.col("k").isin([k for ks in keys.values() for k in ks])).select("l", runs).groupBy("l", "w").count()
+    runs = F.explode_outer(F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"), 1)).alias("w")
+    counted = rows.where(F.col("k").isin([k for ks in keys.values() for k in ks])).select("l", runs).where("w is not null").groupBy("l", "w").count()
     order = Window.partitionBy("l").orderBy(F.desc("count"), "w")
     used = F.sum(F.length("w")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     vocabulary: dict[str, list[str]] = {x: [] for x in keys}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, mixing, simhash
+from . import decontam, langid, line_dedup, mixing, quality, simhash, toxicity
 from .common import table
 from .sql import ORACLE_SQL  # noqa: F401
 
@@ -14,6 +14,21 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.drop("text", "clean_text")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = line_dedup.drop_frequent_lines(docs, min_docs=10, min_chars=1)
@@ -37,4 +52,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=2)
 
 
-QUERIES = {f.__name__: f for f in (op6_line_dedup, op7_language_id, op8_source_mixing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op6_line_dedup, op7_language_id, op8_source_mixing, op10_simhash)}
