@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, line_dedup, mixing, quality, simhash, toxicity, warc
+from . import chat, decontam, langid, line_dedup, mixing, quality, simhash, substring_dedup, toxicity, warc
 from .common import checkpoint, scratch, table
 from .sql import ORACLE_SQL  # noqa: F401
 
@@ -29,6 +29,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.drop("text", "clean_text")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = substring_dedup.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_archives(warc.mark_revisits(table(spark, sf_dir, "pages").select("page_id", "url", "html"), min_bytes=0), path)
@@ -67,4 +72,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op5_warc, op6_line_dedup, op7_language_id, op8_source_mixing, op9_chat_format, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op4_substring_dedup, op5_warc, op6_line_dedup, op7_language_id, op8_source_mixing, op9_chat_format, op10_simhash)}
