@@ -169,10 +169,13 @@ def _table_keys(classes: DataFrame) -> DataFrame:
     """Each fingerprint under its halves and all halves one bit away: two fingerprints meet
     under a common key if a half of theirs differs in at most two bits."""
     fp = F.col("fp")
-    balls = [
-        F.transform(F.array(*[F.lit(m) for m in [0, *(1 << i for i in range(32))]]), lambda m, i=i: F.struct(F.lit(i).cast("byte").alias("seg"), _half(fp, i).bitwiseXOR(m.cast("long")).alias("half")))
-        for i in (0, 1)
-    ]
+    changes = F.array(*[F.lit(m).cast("long") for m in [0, *(1 << i for i in range(32))]])
+
+    def ball(which: int):
+        near = lambda m: F.struct(F.lit(which).cast("byte").alias("seg"), _half(fp, which).bitwiseXOR(m).alias("half"))
+        return F.transform(changes, near)
+
+    balls = ball(0), ball(1)
     return classes.select("rep", "fp", F.explode(F.concat(*balls)).alias("x")).select("rep", "fp", "x.seg", "x.half")
 
 
