@@ -243,7 +243,7 @@ def _cid(left: bytes, right: bytes) -> bytes:
     return hashlib.blake2b(len(left).to_bytes(4, "big") + left + right, digest_size=16).digest()
 
 
-def repeated_spans(docs: DataFrame, *, text: str, ref: str, length: int = 400, crowd: int = 20_000, max_broadcast: int = 4_000_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, text: str, ref: str, length: int = 400, crowd: int = 50_000, max_broadcast: int = 4_000_000) -> DataFrame:
     """``ref, spans``: for rows with repeated strings the byte ranges (start, end) to remove, not
     yet merged. Rows of equal ``ref`` must have equal text; each counts as an occurrence."""
     spark = docs.sparkSession
@@ -322,6 +322,8 @@ def repeated_spans(docs: DataFrame, *, text: str, ref: str, length: int = 400, c
         if crowded is None:
             break
         cut = checkpoint(level.join(crowded, "g").mapInPandas(_cut(width, length), "g long, cid binary, g2 long, cid2 binary, n long, lefts binary, rights binary, o1 int, o2 int"))
+        shared = cut.groupBy("g2").agg(F.sum("n").alias("all")).where("all > 1").select("g2")
+        cut = checkpoint(cut.join(shared, "g2", "left_semi"))
         level = cut.groupBy(F.col("g2").alias("g"), F.col("cid2").alias("cid")).agg(F.sum("n").alias("n"), *first, F.first("o1").alias("o1"), F.first("o2").alias("o2"))
         rows = rows.join(cut.select("g", "cid", "g2", "cid2"), ["g", "cid"]).select(F.col("g2").alias("g"), F.col("cid2").alias("cid"), "ref", "pos")
     else:
@@ -397,7 +399,7 @@ def _without(data: bytes, spans) -> tuple[bytes, int, int]:
 RESULT = "kept binary, n_bytes long, n_removed long, n_spans long"
 
 
-def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, crowd: int = 20_000, max_broadcast: int = 4_000_000) -> DataFrame:
+def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, crowd: int = 50_000, max_broadcast: int = 4_000_000) -> DataFrame:
     """``docs`` with ``kept`` (the remaining bytes), n_bytes, n_removed and n_spans (maximal runs).
 
     Texts are UTF-8; every byte covered by a string of ``length`` bytes that also starts

@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, bound_batches, checkpoint
+from .common import LETTERS, SPACES, bound_batches, checkpoint
+from .decontam import let
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -47,11 +48,11 @@ class OrdinalModel:
 
     def score(self, text: str | None) -> list[float]:
         """P(grade >= k) for k = 1, 2, ..."""
-        z = sum(self.weights[w] * np.log1p(n) for w, n in sorted(self.features(text).items()))
+        z = sum(self.weights[w] * (1 + np.log(n)) for w, n in sorted(self.features(text).items()))
         return _sigmoid(z - np.array(self.thetas)).tolist()
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, *, l1: float = 3.0, rounds: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, *, l1: float | np.ndarray = 0.0, rounds: int = 400) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by proximal gradient (accelerated, L1 on the weights).
 
     The likelihood is that of the cumulative logit model, sum of log(s(z - theta_y) -
@@ -60,9 +61,10 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades:
     n, k = len(grades), n_grades - 1
     shares = np.array([(grades >= j).mean() for j in range(1, n_grades)]).clip(1e-3, 1 - 1e-3)
     theta, w = -np.log(shares / (1 - shares)), np.zeros(n_features)
-    size = np.bincount(rows, values**2, n).max(initial=1.0)
-    heavy = np.bincount(cols, values**2, n_features).max(initial=1.0)
-    step_w, step_t = 1.0 / (0.25 * np.sqrt(size * heavy * n) + 1), 1.0 / (0.5 * n)
+    # A step per weight: sum over rows of |x_ij| * (sum_k |x_ik| + 1) bounds the curvature.
+    reach = np.bincount(rows, np.abs(values), n) + 1
+    step_w = 1.0 / (0.25 * np.bincount(cols, np.abs(values) * reach[rows], n_features) + 1e-9)
+    step_t = 1.0 / (0.5 * reach.sum())
     wv, tv, momentum = w.copy(), theta.copy(), 1.0
     each = np.arange(n)
     for _ in range(rounds):
@@ -89,20 +91,21 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades:
     return w, theta
 
 
-def severity_grades(hits: np.ndarray, words: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Ordered grades from a binary label: 0 for not toxic; toxic rows get 1 to 3 by the
-    thirds of their share of toxicity-associated words (1 without such a word)."""
-    share = hits / np.maximum(words, 1)
-    some = share[toxic & (hits > 0)]
+def severity_grades(amount: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Ordered grades from a binary label: 0 for not toxic; toxic rows get 1 to 3 by the thirds
+    of their amount of toxicity-associated words (1 without such a word)."""
+    some = amount[toxic & (amount > 0)]
     cuts = np.quantile(some, [1 / 3, 2 / 3]) if len(some) else [np.inf, np.inf]
-    return np.where(toxic, 1 + (share > cuts[0]).astype(int) + (share > cuts[1]).astype(int), 0)
+    return np.where(toxic, 1 + (amount > cuts[0]).astype(int) + (amount > cuts[1]).astype(int), 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = 4000, max_vocabulary: int = 20_000, min_rows: int = 5, l1: float = 3.0) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = 4000, max_vocabulary: int = 20_000, min_rows: int = 5, max_share: float = 0.3, alpha: float = 0.05, l1: float = 0.5) -> OrdinalModel:
     """Learn from labelled rows.
 
     The fit is on a bounded sample: the ``max_rows`` labelled keys with the smallest hash,
-    and the ``max_vocabulary`` most frequent words that occur in ``min_rows`` of them.
+    and the ``max_vocabulary`` most frequent words that occur in ``min_rows`` of them and
+    in no more than ``max_share``. A word's feature is 1 + ln(count). Words enter by a
+    test at level ``alpha``, and their weights are fitted with a small L1 penalty.
     Null labels, keys and texts teach nothing; a key with several labels counts as toxic
     if one says so. Without toxic rows, or with an empty table, the model has no weights
     and calls nothing toxic.
@@ -110,19 +113,27 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "d
     given = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("k")).agg((F.max(label) > 0).alias("y"))
     picked = {r["k"]: r["y"] for r in given.orderBy(F.xxhash64("k"), "k").limit(max_rows).collect()}
     empty = OrdinalModel({}, [30.0, 31.0, 32.0])
+    if not any(picked.values()):
+        return empty
+    # Of copies and near copies in the sample one teaches: rows are told apart by their smallest
+    # hash of five words.
+    words_of = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SPACES)
+    least = let(words_of, lambda w: F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 5, F.lit(0))), lambda i: F.xxhash64(*[F.coalesce(F.get(w, i + j), F.lit("")) for j in range(5)]))))
+    alone = docs.where(F.col(key).isin(list(picked))).select(F.col(key).alias("k"), least.alias("h")).groupBy("h").agg(F.min("k").alias("k"))
+    picked = {r["k"]: picked[r["k"]] for r in alone.collect()}
     if not any(picked.values()):
         return empty
     runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(\p{L}+)"), 1)
     rows = docs.where(F.col(key).isin(list(picked))).select(F.col(key).alias("k"), F.explode_outer(runs).alias("w")).where("w is not null")
     counts = checkpoint(rows.groupBy("k", "w").count())
-    vocabulary = counts.groupBy("w").agg(F.count("*").alias("rows")).where(F.col("rows") >= min_rows).orderBy(F.desc("rows"), "w").limit(max_vocabulary)
+    most = max(min_rows, max_share * len(picked))
+    vocabulary = counts.groupBy("w").agg(F.count("*").alias("rows")).where(F.col("rows").between(min_rows, most)).orderBy(F.desc("rows"), "w").limit(max_vocabulary)
     words = [r["w"] for r in vocabulary.collect()]
-    totals = {r["k"]: r["n"] for r in counts.groupBy("k").agg(F.sum("count").alias("n")).collect()}
     if not words:
         return empty
     index = docs.sparkSession.createDataFrame(list(enumerate(words)), "i int, w string")
     found = counts.join(F.broadcast(index), "w").select("k", "i", F.col("count").alias("n")).toPandas().sort_values(["k", "i"])
-    keys = sorted(totals)
+    keys = sorted(picked)
     at = pd.Series(range(len(keys)), index=keys)
     r, c, n = at[found["k"]].to_numpy(), found["i"].to_numpy(), found["n"].to_numpy("f8")
     y = np.array([picked[k] for k in keys])
@@ -130,10 +141,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "d
     in_clean = np.bincount(c[~y[r]], minlength=len(words))
     odds = np.log((in_toxic + 0.5) / (y.sum() + 1)) - np.log((in_clean + 0.5) / ((~y).sum() + 1))
     marked = (odds > 2) & (in_toxic >= min_rows)
-    hits = np.bincount(r, n * marked[c], len(keys))
-    grades = severity_grades(hits, np.array([totals[k] for k in keys]), y)
-    w, theta = fit_ordinal(r, c, np.log1p(n), grades, len(words), 4, l1=l1)
-    return OrdinalModel({words[i]: float(w[i]) for i in np.flatnonzero(w)}, theta.tolist())
+    x = 1 + np.log(n)
+    grades = severity_grades(np.bincount(r, x * marked[c], len(keys)), y)
+    # A word is taken if it is in more toxic rows than chance allows: by the Chernoff bound on
+    # a binomial tail, at level ``alpha`` over the whole vocabulary. Words that go with clean
+    # rows excuse nothing.
+    rows_with, rate = in_toxic + in_clean, y.mean()
+    share = in_toxic / np.maximum(rows_with, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        info = np.nan_to_num(share * np.log(share / rate)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - rate)))
+    taken = np.flatnonzero((share > rate) & (rows_with * info > np.log(len(words) / alpha)))
+    place = np.full(len(words), -1)
+    place[taken] = np.arange(len(taken))
+    some = place[c] >= 0
+    w, theta = fit_ordinal(r[some], place[c[some]], x[some], grades, len(taken), 4, l1=l1, rounds=1500)
+    return OrdinalModel({words[i]: float(v) for i, v in zip(taken, w, strict=True) if v > 0}, theta.tolist())
 
 
 RESULT = "expected_severity double, grade int, p_toxic double, toxic boolean"
