@@ -318,23 +318,33 @@ def repeated_spans(docs: DataFrame, *, text: str, ref: str, length: int = 400, c
     rows, spans = rows.select("g", "cid", "ref", "pos"), []
     for width in (43, 6, 1):
         made, crowded = _level(level, crowd, length)
-        spans.append(rows.join(made, ["g", "cid"]).select("ref", F.struct((F.col("pos") - F.col("l")).alias("s"), (F.col("pos") + F.col("r")).alias("e")).alias("span")))
+        spans.append(_placed(rows, made))
         if crowded is None:
             break
-        cut = checkpoint(level.join(crowded, "g").mapInPandas(_cut(width, length), "g long, cid binary, g2 long, cid2 binary, n long, lefts binary, rights binary, o1 int, o2 int"))
+        crowd_rows = level.join(crowded, "g")
+        # A context with a copy is repeated as far as it reaches; it is cut as a partner of others only.
+        whole = crowd_rows.where((F.col("n") > 1) & (F.octet_length("lefts") + F.octet_length("rights") >= length))
+        spans.append(_placed(rows, whole.select("g", "cid", F.octet_length("lefts").alias("l"), F.octet_length("rights").alias("r"))))
+        cut = checkpoint(crowd_rows.mapInPandas(_cut(width, length), "g long, cid binary, g2 long, cid2 binary, n long, lefts binary, rights binary, o1 int, o2 int, open boolean"))
         shared = cut.groupBy("g2").agg(F.sum("n").alias("all")).where("all > 1").select("g2")
         cut = checkpoint(cut.join(shared, "g2", "left_semi"))
         level = cut.groupBy(F.col("g2").alias("g"), F.col("cid2").alias("cid")).agg(F.sum("n").alias("n"), *first, F.first("o1").alias("o1"), F.first("o2").alias("o2"))
-        rows = rows.join(cut.select("g", "cid", "g2", "cid2"), ["g", "cid"]).select(F.col("g2").alias("g"), F.col("cid2").alias("cid"), "ref", "pos")
+        rows = rows.join(cut.where("open").select("g", "cid", "g2", "cid2"), ["g", "cid"]).select(F.col("g2").alias("g"), F.col("cid2").alias("cid"), "ref", "pos")
     else:
         made, _ = _level(level, 1 << 62, length)  # one window each: all contexts of a group are equal
-        spans.append(rows.join(made, ["g", "cid"]).select("ref", F.struct((F.col("pos") - F.col("l")).alias("s"), (F.col("pos") + F.col("r")).alias("e")).alias("span")))
+        spans.append(_placed(rows, made))
     out = spans[0]
     for more in spans[1:]:
         out = out.unionByName(more)
     return out.groupBy("ref").agg(F.collect_set("span").alias("spans"))
 
 
+def _placed(rows: DataFrame, made: DataFrame) -> DataFrame:
+    """Byte ranges of the anchors whose contexts reach ``l`` to the left and ``r`` to the right."""
+    span = F.struct((F.col("pos") - F.col("l")).alias("s"), (F.col("pos") + F.col("r")).alias("e"))
+    return rows.join(made, ["g", "cid"]).select("ref", span.alias("span"))
+
+
 def _cut(width: int, length: int):
     """Contexts again, for each ``width`` offsets, grouped by the core that these windows share."""
 
@@ -348,8 +358,8 @@ def _cut(width: int, length: int):
                     if len(left) < a or len(right) < length - z + 1:
                         continue  # no window of these offsets fits in the text
                     core = hashlib.blake2b(a.to_bytes(4, "big") + left[:a] + b"|" + right[: length - z + 1], digest_size=8, key=c.g.to_bytes(8, "big", signed=True)).digest()
-                    rows.append((c.g, c.cid, int.from_bytes(core, "big", signed=True), _cid(left, right), c.n, left, right, a, z))
-            yield pd.DataFrame(rows, columns=["g", "cid", "g2", "cid2", "n", "lefts", "rights", "o1", "o2"])
+                    rows.append((c.g, c.cid, int.from_bytes(core, "big", signed=True), _cid(left, right), c.n, left, right, a, z, c.n < 2 or len(c.lefts) + len(c.rights) < length))
+            yield pd.DataFrame(rows, columns=["g", "cid", "g2", "cid2", "n", "lefts", "rights", "o1", "o2", "open"])
 
     return run
 
@@ -428,7 +438,7 @@ def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", le
             for ts, refs in batches:
                 yield pd.DataFrame([row(t, np.frombuffer(shared.value.get(r, b""), "u4").reshape(-1, 2).tolist()) for t, r in zip(ts, refs, strict=True)], columns=columns)
 
-        made = tagged.select(*kept, remove(F.col(text), F.col("_mr_ref")).alias("_mr_made"))
+        made = tagged.select(*kept, remove.asNondeterministic()(F.col(text), F.col("_mr_ref")).alias("_mr_made"))
     else:
 
         @F.pandas_udf(RESULT)
@@ -436,5 +446,5 @@ def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", le
             return pd.DataFrame([row(t, [] if f is None else [(x["s"], x["e"]) for x in f]) for t, f in zip(ts, spans, strict=True)], columns=columns)
 
         joined = tagged.join(spans.select(F.col("ref").alias("_mr_ref"), F.col("spans").alias("_mr_spans")), "_mr_ref", "left")
-        made = joined.select(*kept, remove_joined(F.col(text), F.col("_mr_spans")).alias("_mr_made"))
+        made = joined.select(*kept, remove_joined.asNondeterministic()(F.col(text), F.col("_mr_spans")).alias("_mr_made"))
     return made.select(*kept, *[f"_mr_made.{c}" for c in columns])
