@@ -26,6 +26,8 @@ STEP = 4
 PARTITIONS = 20
 #: This many bits stand for a bin per hash, taken where bins would drop under a tenth.
 MOST_BITS = 60
+#: Rows of a key table that are broadcast; more are joined by shuffle.
+MAX_BROADCAST = 200_000
 
 
 def normal_words(text: Column) -> Column:
@@ -78,7 +80,7 @@ def bin_bits(largest: int, least_common: int, miss: float) -> int:
     return MOST_BITS
 
 
-def contained(docs: DataFrame, items: DataFrame, *, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text", shingle: int = 5, threshold: float = 0.8, miss: float = 1e-6, max_broadcast: int = 200_000) -> DataFrame:
+def contained(docs: DataFrame, items: DataFrame, *, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text", shingle: int = 5, threshold: float = 0.8, miss: float = 1e-6, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``key, item, n_item_shingles, n_common, containment`` of the pairs in which the
     document holds at least ``threshold`` of the item's distinct shingles.
 
@@ -86,7 +88,8 @@ def contained(docs: DataFrame, items: DataFrame, *, text: str = "text", key: str
     is found in documents with exactly these words only; items and documents without a
     word, with null text or a null key are in no pair. Repeated rows of one key count as
     one document (their shingles add up). An empty table gives no pairs. The sketches of
-    the items are broadcast up to ``max_broadcast`` hashes and joined by shuffle beyond.
+    the items, and the keys of candidate documents, are broadcast up to ``max_broadcast`` rows
+    and joined by shuffle beyond.
     """
     spark = docs.sparkSession
     tests = items.select(F.col(item).alias("item"), F.explode_outer(shingle_set(normal_words(F.col(item_text)), shingle)).alias("h")).where("item is not null and h is not null")
@@ -104,11 +107,12 @@ def contained(docs: DataFrame, items: DataFrame, *, text: str = "text", key: str
     hashes = hashes.select("doc", "dcls", "bits", F.explode_outer(sketch(F.col("s"), F.col("bits"))).alias("h"))
     side = F.broadcast(item_keys) if item_keys.count() <= max_broadcast else item_keys
     candidates = checkpoint(hashes.join(side, ["dcls", "bits", "h"]).select("doc", "item").distinct())
-    return _verified(sets, tests, candidates, threshold, key, item)
+    return _verified(sets, tests, candidates, threshold, key, item, max_broadcast)
 
 
-def _verified(sets: DataFrame, tests: DataFrame, candidates: DataFrame, threshold: float, key: str, item: str) -> DataFrame:
-    hit = candidates.select("doc").distinct()
+def _verified(sets: DataFrame, tests: DataFrame, candidates: DataFrame, threshold: float, key: str, item: str, max_broadcast: int) -> DataFrame:
+    hit = checkpoint(candidates.select("doc").distinct())
+    hit = F.broadcast(hit) if hit.count() <= max_broadcast else hit
     shingles = sets.join(hit, "doc", "left_semi").select("doc", F.explode_outer("s").alias("h")).distinct()
     asked = candidates.join(tests.select("item", "q", F.explode_outer("s").alias("h")), "item")
     common = asked.join(shingles, ["doc", "h"]).groupBy("doc", "item", "q").agg(F.count("*").alias("n_common"))
@@ -118,6 +122,7 @@ def _verified(sets: DataFrame, tests: DataFrame, candidates: DataFrame, threshol
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", **settings) -> DataFrame:
     """``docs`` without the documents that contain an item; rows with a null key stay."""
-    hit = contained(docs, items, key=key, **settings).select(key).distinct()
-    return docs.join(checkpoint(hit), key, "left_anti").select(*docs.columns)
+    hit = checkpoint(contained(docs, items, key=key, **settings).select(key).distinct())
+    hit = F.broadcast(hit) if hit.count() <= settings.get("max_broadcast", MAX_BROADCAST) else hit
+    return docs.join(hit, key, "left_anti").select(*docs.columns)
 
