@@ -159,7 +159,7 @@ def predictor(model: LanguageModel, df: DataFrame):
         for texts in batches:
             yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return predict
+    return predict.asNondeterministic()  # or a filter on its result would run it twice
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:

@@ -123,7 +123,7 @@ def twice_seen(docs: DataFrame, *, text: str = "text", min_chars: int = 1, bits_
         merged = merged.select("segment", F.col("salt") if len(by) > 1 else F.lit(0).cast("int").alias("salt"), "once", "twice")
         merged = merged.repartition(*by).sortWithinPartitions("segment", "salt").mapInPandas(_merge, PARTS)
     out = np.zeros(bits // 8, "u1")
-    for r in merged.select("segment", "twice").toLocalIterator():
+    for r in merged.select("segment", "twice").collect():
         on = np.zeros(min(SEGMENT, bits), bool)
         on[_unpack(bytes(r["twice"]))] = True
         at = r["segment"] * SEGMENT // 8
@@ -212,7 +212,8 @@ def drop_frequent_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_
             for ts, ks in batches:
                 yield pd.DataFrame([_drop(x, None if pd.isna(y) else int(y), firsts.value, min_chars, keep) for x, y in zip(ts, ks, strict=True)], columns=["text", "n_lines", "n_dropped"])
 
-        made = docs.select(*kept, clean(t, k).alias("_mr_made"))
+        # Not deterministic for Spark, or a filter on the result would clean twice.
+        made = docs.select(*kept, clean.asNondeterministic()(t, k).alias("_mr_made"))
     else:
         made = _joined(docs, kept, t, k, frequent, min_chars, keep)
     return made.select(*[F.col("_mr_made.text").alias(c) if c == text else F.col(c) for c in kept], "_mr_made.n_lines", "_mr_made.n_dropped")
@@ -238,4 +239,4 @@ def _joined(docs: DataFrame, kept: list[str], t, k, frequent: DataFrame, min_cha
     lines = docs.select(row, digests(t).alias("d")).distinct().select("_mr_row", F.explode("d").alias("digest"))
     found = lines.join(frequent.select("digest", "first"), "digest").groupBy("_mr_row").agg(F.collect_list(F.struct("digest", "first")).alias("_mr_found"))
     wide = docs.select(*kept, row).join(found, "_mr_row", "left")
-    return wide.select(*kept, clean(t, k, F.col("_mr_found")).alias("_mr_made"))
+    return wide.select(*kept, clean.asNondeterministic()(t, k, F.col("_mr_found")).alias("_mr_made"))

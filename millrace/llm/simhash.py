@@ -165,6 +165,11 @@ def simhash_groups(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     return prints.join(named, "fp").select(F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _small(keys: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
+    """``keys`` marked for broadcast if they are counted to be few."""
+    return F.broadcast(keys) if keys.count() <= max_broadcast else keys
+
+
 def _table_keys(classes: DataFrame) -> DataFrame:
     """Each fingerprint under its halves and all halves one bit away: two fingerprints meet
     under a common key if a half of theirs differs in at most two bits."""
@@ -223,7 +228,7 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     meets = meets.where((F.col("rep") != F.col("o.rep")) & (_distance(F.col("fp"), F.col("o.fp")) <= radius))
     pairs = checkpoint(meets.select(F.least("rep", "o.rep").alias("a"), F.greatest("rep", "o.rep").alias("b")).distinct())
     wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct())
-    chosen = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(wanted, "k", "left_semi")
+    chosen = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(_small(wanted), "k", "left_semi")
     sets = checkpoint(chosen.select("k", shingles("t").alias("s")).dropDuplicates(["k"]))
     both = pairs.join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
     edges = checkpoint(both.where(jaccard("sa", "sb") >= similarity).select("a", "b"))
@@ -237,7 +242,7 @@ def drop_near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id"
     smallest key stays. Of equal rows one stays; rows with a null key all stay."""
     named = checkpoint(near_copies(docs, text=text, key=key, **settings))
     gone = named.where(F.col(key) != F.col("group")).select(key).distinct()
-    kept = docs.join(gone, key, "left_anti").select(*docs.columns)
+    kept = docs.join(_small(checkpoint(gone)), key, "left_anti").select(*docs.columns)
     again = named.where(F.col(key) == F.col("group")).groupBy(key).count().where("count > 1").select(key)
     if again.isEmpty():
         return kept

@@ -293,7 +293,7 @@ def repeated_spans(docs: DataFrame, *, text: str, ref: str, length: int = 400, c
     schema = "g long, cid binary, ref long, pos long, lefts binary, rights binary"
     sizes = found.agg(F.count("*"), F.coalesce(F.sum(F.size("pos")), F.lit(0))).first()
     if sizes[0] <= max_broadcast // 10 and sizes[1] <= max_broadcast:
-        shared = spark.sparkContext.broadcast({r["ref"]: np.array(r["pos"], "u4").tobytes() for r in found.toLocalIterator()})
+        shared = spark.sparkContext.broadcast({r["ref"]: np.array(r["pos"], "u4").tobytes() for r in found.collect()})
 
         def surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen: set = set()
@@ -431,7 +431,7 @@ def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", le
         return (*_without(data, found)[:1], len(data), *_without(data, found)[1:])
 
     if sizes[0] <= max_broadcast // 10 and sizes[1] <= max_broadcast:
-        shared = spark.sparkContext.broadcast({r["ref"]: np.array([(x["s"], x["e"]) for x in r["spans"]], "u4").tobytes() for r in spans.toLocalIterator()})
+        shared = spark.sparkContext.broadcast({r["ref"]: np.array([(x["s"], x["e"]) for x in r["spans"]], "u4").tobytes() for r in spans.collect()})
 
         @F.pandas_udf(RESULT)
         def remove(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
