@@ -79,12 +79,13 @@ def best_paths(messages: DataFrame, *, top: int = 1, max_rounds: int = 40) -> Da
     leaves = checkpoint(now.join(inner, "node", "left_anti").select("node"))
     tables = []
     for _ in range(max_rounds):
-        if now.where("jump is not null").isEmpty():
+        going = now.where("jump is not null")  # the others have met their root and rest
+        if going.isEmpty():
             break
-        tables.append(now.select("node", "jump").where("jump is not null"))
+        tables.append(going.select("node", "jump"))
         far = now.select(F.col("node").alias("jump"), F.col("jump").alias("j2"), F.col("top").alias("t2"), F.col("total").alias("s2"), F.col("n").alias("n2"))
-        joined = now.join(far, "jump", "left")
-        now = checkpoint(joined.select("node", F.col("j2").alias("jump"), F.coalesce("t2", "top").alias("top"), (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n")))
+        further = going.join(far, "jump").select("node", F.col("j2").alias("jump"), F.col("t2").alias("top"), (F.col("total") + F.col("s2")).alias("total"), (F.col("n") + F.col("n2")).alias("n"))
+        now = checkpoint(now.where("jump is null").unionByName(further))
     else:
         raise RuntimeError("replies form a cycle")
     paths = now.select("node", F.col("top").alias("root"), F.col("n").alias("depth"), (F.col("total") / F.col("n")).alias("score"))
