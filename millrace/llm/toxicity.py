@@ -127,35 +127,33 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "d
     rows = docs.where(F.col(key).isin(list(picked))).select(F.col(key).alias("k"), F.explode_outer(runs).alias("w")).where("w is not null")
     counts = checkpoint(rows.groupBy("k", "w").count())
     most = max(min_rows, max_share * len(picked))
-    vocabulary = counts.groupBy("w").agg(F.count("*").alias("rows")).where(F.col("rows").between(min_rows, most)).orderBy(F.desc("rows"), "w").limit(max_vocabulary)
-    words = [r["w"] for r in vocabulary.collect()]
-    if not words:
+    spark = docs.sparkSession
+    marks = spark.createDataFrame([(k, int(v)) for k, v in picked.items()], "k long, y int")
+    tally = counts.join(F.broadcast(marks), "k").groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("bad"))
+    vocabulary = tally.where(F.col("n").between(min_rows, most)).orderBy(F.desc("n"), "w").limit(max_vocabulary).collect()
+    if not vocabulary:
         return empty
-    index = docs.sparkSession.createDataFrame(list(enumerate(words)), "i int, w string")
-    found = counts.join(F.broadcast(index), "w").select("k", "i", F.col("count").alias("n")).toPandas().sort_values(["k", "i"])
-    keys = sorted(picked)
-    at = pd.Series(range(len(keys)), index=keys)
-    r, c, n = at[found["k"]].to_numpy(), found["i"].to_numpy(), found["n"].to_numpy("f8")
-    y = np.array([picked[k] for k in keys])
-    in_toxic = np.bincount(c[y[r]], minlength=len(words))
-    in_clean = np.bincount(c[~y[r]], minlength=len(words))
-    odds = np.log((in_toxic + 0.5) / (y.sum() + 1)) - np.log((in_clean + 0.5) / ((~y).sum() + 1))
-    marked = (odds > 2) & (in_toxic >= min_rows)
-    x = 1 + np.log(n)
-    grades = severity_grades(np.bincount(r, x * marked[c], len(keys)), y)
     # A word is taken if it is in more toxic rows than chance allows: by the Chernoff bound on
     # a binomial tail, at level ``alpha`` over the whole vocabulary. Words that go with clean
     # rows excuse nothing.
-    rows_with, rate = in_toxic + in_clean, y.mean()
-    share = in_toxic / np.maximum(rows_with, 1)
+    keys = sorted(picked)
+    y = np.array([picked[k] for k in keys])
+    rows_with, rate = np.array([v["n"] for v in vocabulary], "f8"), y.mean()
+    share = np.array([v["bad"] for v in vocabulary]) / rows_with
     with np.errstate(divide="ignore", invalid="ignore"):
         info = np.nan_to_num(share * np.log(share / rate)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - rate)))
-    taken = np.flatnonzero((share > rate) & (rows_with * info > np.log(len(words) / alpha)))
-    place = np.full(len(words), -1)
-    place[taken] = np.arange(len(taken))
-    some = place[c] >= 0
-    w, theta = fit_ordinal(r[some], place[c[some]], x[some], grades, len(taken), 4, l1=l1, rounds=1500)
-    return OrdinalModel({words[i]: float(v) for i, v in zip(taken, w, strict=True) if v > 0}, theta.tolist())
+    taken = np.flatnonzero((share > rate) & (rows_with * info > np.log(len(vocabulary) / alpha)))
+    if not len(taken):
+        return empty
+    words = [vocabulary[i]["w"] for i in taken]
+    index = spark.createDataFrame(list(enumerate(words)), "i int, w string")
+    found = counts.join(F.broadcast(index), "w").select("k", "i", F.col("count").alias("n")).collect()
+    at = {k: i for i, k in enumerate(keys)}
+    r, c = np.array([at[f["k"]] for f in found]), np.array([f["i"] for f in found])
+    x = 1 + np.log(np.array([f["n"] for f in found], "f8"))
+    grades = severity_grades(np.bincount(r, x, len(keys)), y)
+    w, theta = fit_ordinal(r, c, x, grades, len(words), 4, l1=l1, rounds=1500)
+    return OrdinalModel({word: float(v) for word, v in zip(words, w, strict=True) if v > 0}, theta.tolist())
 
 
 RESULT = "expected_severity double, grade int, p_toxic double, toxic boolean"
@@ -181,4 +179,4 @@ def score(docs: DataFrame, model: OrdinalModel, *, text: str = "text") -> DataFr
 
     names = ("expected_severity", "grade", "p_toxic", "toxic")
     kept = [c for c in docs.columns if c not in names]
-    return docs.select(*kept, predict(F.col(text)).alias("_mr_made")).select(*kept, *[f"_mr_made.{c}" for c in names])
+    return docs.select(*kept, predict.asNondeterministic()(F.col(text)).alias("_mr_made")).select(*kept, *[f"_mr_made.{c}" for c in names])
