@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontam, langid, line_dedup, mixing, simhash
-from millrace.llm.common import scratch, table
+from millrace.llm.common import checkpoint, scratch, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +17,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents go; documents of which nothing is left go with them."""
-    made = line_dedup.drop_frequent_lines(docs, min_docs=10)
-    left = made.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """Lines found in ten documents go. Of the documents of which nothing would be left, the
+    first to hold a line (by doc_id, nulls last) keeps it; those that still have nothing go."""
+    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    made = line_dedup.drop_frequent_lines(docs.withColumn("_mr_whole", F.col("text")), min_docs=10)
+    whole = (F.col("n_dropped") == 0) | words
+    rank = F.coalesce(F.col("doc_id").cast("long"), F.monotonically_increasing_id() + (1 << 62))
+    emptied = checkpoint(made.where(~whole).withColumns({"text": F.col("_mr_whole"), "_mr_rank": rank}).select(*docs.columns, "_mr_rank"))
+    once = line_dedup.drop_frequent_lines(emptied, key="_mr_rank", min_docs=2, keep="first").where(words)
+    left = made.where(whole).select(*docs.columns).unionByName(once.select(*docs.columns))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -54,3 +54,13 @@ def test_stages_do_what_they_say(spark, tmp_path):
     assert len({r.position for r in found}) == len(left)
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert {(r.doc_id, r.position) for r in whole.collect()} == {(r.doc_id, r.position) for r in found}
+
+
+def test_of_a_text_with_many_copies_one_stays(spark):
+    """Lines of 12 copies are in ten documents each; so are those of the two halves of a page."""
+    one, two = "the first line\nand the second", "a page of two\nshared lines"
+    texts = {i: one for i in range(12)} | {i: two for i in range(20, 32)} | {32: "a page of two", 33: "shared lines\nits own line", 40: "cold text"}
+    rows = [(None, "no id", "aa", "s", 5)] * 11 + [(i, t, "aa", "s", len(t)) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_deduplication(spark, docs, "").collect()}
+    assert got == {i: (t, len(t)) for i, t in {None: "no id", 0: one, 20: two, 33: "its own line", 40: "cold text"}.items()}
