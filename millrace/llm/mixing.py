@@ -69,7 +69,7 @@ def smoothed_weights(docs: DataFrame, *, source: str = "source", alpha: float =
     return {r["s"]: float(r["count"]) ** alpha for r in rows}
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, source: str = "source", key: str = "doc_id", block_rows: int = 32, period: int = 1000, seed: int = 7, bucket_rows: int = 4000) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, source: str = "source", key: str = "doc_id", block_rows: int = 32, period: int = 1000, seed: int = 7, bucket_rows: int = 4000, max_broadcast: int = 200_000) -> DataFrame:
     """``docs`` with its place in the mixture; sort by ``position`` to read it in order.
 
     Within a source rows are shuffled by a hash of ``key`` and ``seed`` (then the key, then
@@ -84,12 +84,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, source: str
     ValueError. A null source is the source ``""``; null keys and repeated rows are placed
     like others; an empty table gives an empty result. Columns of the added names are
     replaced. A source is ranked in hash buckets of about ``bucket_rows`` rows, with the
-    offsets of the buckets from a table of counts, so no task gets a whole source.
+    offsets of the buckets from a table of counts, so no task gets a whole source. All
+    sources are planned on the driver, however many there are; a plan of over
+    ``max_broadcast`` slots is joined by shuffle.
     """
     kept = [c for c in docs.columns if c not in ADDED]
     docs = docs.select(*kept)
     name, h = F.coalesce(F.col(source), F.lit("")), F.xxhash64(F.col(key), F.lit(seed))
-    counts = {r["s"]: r["count"] for r in docs.groupBy(name.alias("s")).count().limit(period * 100 + 1).collect()}
+    counts = {r["s"]: r["count"] for r in docs.groupBy(name.alias("s")).count().collect()}
     weights = weights or {s: n**0.5 for s, n in counts.items()}
     if missing := set(counts) - set(weights):
         raise ValueError(f"no weight for {sorted(missing)[:5]}")
@@ -114,10 +116,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, source: str
     ranked = tagged.withColumn("_mr_rank", F.row_number().over(order) - 1).join(offsets, ["_mr_source", "_mr_bucket"])
     rank = F.col("_mr_before") + F.col("_mr_rank")
     ranked = ranked.withColumns({"block": F.floor(rank / block_rows), "_mr_in": rank % block_rows})
-    # The plan has one row per slot of a period; its size is a parameter, so it is broadcast.
-    of_source = F.broadcast(plan.select("_mr_source", "_mr_n").distinct())
-    ranked = ranked.join(of_source, "_mr_source").withColumns({"_mr_j": F.col("block") % F.col("_mr_n"), "_mr_lap": F.floor(F.col("block") / F.col("_mr_n"))})
-    placed = ranked.join(F.broadcast(plan.drop("_mr_n")), ["_mr_source", "_mr_j"])
+    # The plan has one row per slot of a period, and a period ten slots per source at least.
+    side = F.broadcast if period <= max_broadcast else lambda df: df
+    of_source = side(spark.createDataFrame(list(slots.items()), "_mr_source string, _mr_n long"))
+    planned = F.coalesce("_mr_n", F.raise_error(F.lit("a source without a plan")).cast("long"))
+    ranked = ranked.join(of_source, "_mr_source", "left").withColumn("_mr_n", planned)
+    ranked = ranked.withColumns({"_mr_j": F.col("block") % F.col("_mr_n"), "_mr_lap": F.floor(F.col("block") / F.col("_mr_n"))})
+    placed = ranked.join(side(plan.drop("_mr_n")), ["_mr_source", "_mr_j"], "left")
     lap = F.col("_mr_lap") * period
     slot = lap + F.col("_mr_at")
     return placed.select(*kept, "block", (lap + F.col("_mr_release")).alias("release"), (lap + F.col("_mr_deadline")).alias("deadline"), slot.alias("slot"), (slot * block_rows + F.col("_mr_in")).alias("position"))

@@ -58,3 +58,12 @@ def test_weights_and_empty_tables(spark):
     with pytest.raises(ValueError):
         mixing.period_counts({"a": 0.0}, 10)
     assert mixing.mix(docs(spark).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("limit", [200_000, 10])
+def test_more_sources_than_the_period_has_slots(spark, limit):
+    rows = [(i, f"site{i % 350}") for i in range(700)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), block_rows=1, period=2, max_broadcast=limit).collect()
+    assert sorted((r.doc_id, r.source) for r in got) == rows and len({r.position for r in got}) == len(rows)
+    with pytest.raises(ValueError):
+        mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), {f"site{i}": 1.0 for i in range(349)}, period=2)
