@@ -13,6 +13,7 @@ over all 64 bits and matches are exact, so the work stays in proportion to their
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import bound_batches, checkpoint
 
@@ -170,45 +172,52 @@ def _small(keys: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= max_broadcast else keys
 
 
-def _table_keys(classes: DataFrame) -> DataFrame:
-    """Each fingerprint under its halves and all halves one bit away: two fingerprints meet
-    under a common key if a half of theirs differs in at most two bits."""
-    fp = F.col("fp")
-    changes = F.array(*[F.lit(m).cast("long") for m in [0, *(1 << i for i in range(32))]])
-
-    def ball(which: int):
-        near = lambda m: F.struct(F.lit(which).cast("byte").alias("seg"), _half(fp, which).bitwiseXOR(m).alias("half"))
-        return F.transform(changes, near)
-
-    balls = ball(0), ball(1)
-    return classes.select("rep", "fp", F.explode(F.concat(*balls)).alias("x")).select("rep", "fp", "x.seg", "x.half")
+def _pairs_within(x: str, y: str, similarity: float):
+    """Condition on two rows (n distinct shingles, position of a common one in the order of
+    all shingles) under which their sets can still be as similar as asked, if that is the
+    first common one: what follows it in either set must hold the overlap that this takes."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    overlap = similarity / (1 + similarity) * (n + m) - 1e-6
+    return F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos")) >= overlap
 
 
-def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, radius: int = 8) -> DataFrame:
-    """``key, group``: every row with a key, and the smallest key of its near-duplicate group.
+def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, sample: int = 8_000_000, rounds: int = 4, dense: int = 20, crowd: int = 1000) -> DataFrame:
+    """``key, text_hash, group, first``: every row with a key, the smallest key of its
+    near-duplicate group, and whether it is (a copy of) the row that stands for the group.
 
     Equal sets of ``shingle``-word shingles are one class (texts without a word are one).
-    Classes are compared by the fingerprint of their distinct words: under every table key
-    (a half with up to one bit changed) each class meets the smallest and the largest class
-    under that key, so the candidates are two per class and key however crowded it is.
-    Candidates within ``radius`` bits are linked if the Jaccard similarity of their shingle
-    sets is at least ``similarity``, computed exactly. Groups are connected components.
+    Classes are linked if the Jaccard similarity of their sets is at least ``similarity``,
+    computed exactly, and groups are the connected components of all links. Candidates
+    come from prefix filtering, which is complete: shingles are put in one order, rare
+    ones first, and two similar sets have a shingle in common among the first
+    n - similarity * n + 1 of both. The order counts shingles in about ``sample`` of them;
+    it has no bearing on the result.
+
+    In up to ``rounds`` rounds the classes under a shingle are compared with one of them,
+    and what is linked is one component, whose members need not be compared with each
+    other; rounds end early when at most ``dense`` pairs per class are left. Then all pairs
+    of different components are compared, shingles of over ``crowd`` classes in parts.
     Rows with a null key are left out. An empty table gives an empty result.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
+    t = F.col(text)
+    chars = docs.agg(F.sum(F.length(t))).first()[0] or 0
+    share = min(1.0, sample * 6 / max(1, chars))
 
-    @F.pandas_udf("fp long, cls binary")
+    @F.pandas_udf("cls binary, some array<bigint>")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            prints, classes = [], []
-            for t in texts:
-                prints.append(fingerprint(np.unique(shingle_hashes(t, 1))))
-                classes.append(xxhash.xxh3_128_digest(np.unique(shingle_hashes(t, shingle)).tobytes()))
-            yield pd.DataFrame({"fp": np.array(prints, "u8").view("i8"), "cls": classes})
+            classes, some = [], []
+            for x in texts:
+                s = np.unique(shingle_hashes(x, shingle))
+                classes.append(xxhash.xxh3_128_digest(s.tobytes()))
+                some.append(s.view("i8") if int.from_bytes(classes[-1][:4], "big") < share * 2**32 else None)
+            yield pd.DataFrame({"cls": classes, "some": some})
 
     @F.pandas_udf("binary")
     def shingles(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: np.unique(shingle_hashes(t, shingle)).tobytes())
+        return texts.map(lambda x: np.unique(shingle_hashes(x, shingle)).tobytes())
 
     @F.pandas_udf("double")
     def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -219,31 +228,99 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
 
         return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="f8")
 
-    made = checkpoint(docs.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), digest(F.col(text)).alias("x")).select("k", "x.*"))
-    classes = checkpoint(made.groupBy("cls").agg(F.min("k").alias("rep"), F.first("fp").alias("fp")))
-    keys = _table_keys(classes)
-    me = F.struct("rep", "fp")
-    met = checkpoint(keys.groupBy("seg", "half").agg(F.count("*").alias("n"), F.min(me).alias("low"), F.max(me).alias("high")).where("n > 1").drop("n"))
-    meets = keys.join(met, ["seg", "half"]).select("rep", "fp", F.explode(F.array("low", "high")).alias("o"))
-    meets = meets.where((F.col("rep") != F.col("o.rep")) & (_distance(F.col("fp"), F.col("o.fp")) <= radius))
-    pairs = checkpoint(meets.select(F.least("rep", "o.rep").alias("a"), F.greatest("rep", "o.rep").alias("b")).distinct())
-    wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct())
-    chosen = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(_small(wanted), "k", "left_semi")
-    sets = checkpoint(chosen.select("k", shingles("t").alias("s")).dropDuplicates(["k"]))
-    both = pairs.join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
-    edges = checkpoint(both.where(jaccard("sa", "sb") >= similarity).select("a", "b"))
-    roots = components(edges).withColumnRenamed("node", "rep")
-    grouped = checkpoint(classes.select("cls", "rep").join(roots, "rep", "left").select("cls", F.coalesce("root", "rep").alias("group")))
-    return made.select("k", "cls").join(grouped, "cls").select(F.col("k").alias(key), "group")
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(t).alias("th"), t.alias("t"))
+    made = checkpoint(rows.select("k", "th", digest("t").alias("x")).select("k", "th", "x.*"))
+    grouped = made.groupBy("cls").agg(F.min(F.struct("k", "th")).alias("rep"), F.first("some").alias("some"))
+    classes = checkpoint(grouped.select(F.monotonically_increasing_id().alias("node"), "cls", "rep.*", "some"))
+    often = classes.select(F.explode("some").alias("h")).groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(500_000).toPandas()
+    often = often.assign(h=often["h"].to_numpy("i8").view("u8")).sort_values("h")
+    counted = spark.sparkContext.broadcast((often["h"].to_numpy("u8"), often["count"].to_numpy("i8")))
+
+    @F.pandas_udf("n int, prefix array<bigint>")
+    def prefixes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known, counts = counted.value
+        for texts in batches:
+            sizes, made = [], []
+            for x in texts:
+                s = np.unique(shingle_hashes(x, shingle))
+                weight = np.zeros(len(s), "i8")
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    weight = np.where(known[at] == s, counts[at], 0)
+                sizes.append(len(s))
+                made.append(s[np.lexsort((s, weight))][: len(s) - math.ceil(similarity * len(s) - 1e-6) + 1].view("i8"))
+            yield pd.DataFrame({"n": np.array(sizes, "i4"), "prefix": made})
+
+    def of_nodes(nodes: DataFrame) -> DataFrame:
+        """``node, t`` of the texts that stand for the nodes; equal rows can repeat."""
+        return rows.join(_small(nodes.select("node", "k", "th"), 1_000_000), ["k", "th"]).select("node", "t")
+
+    short = checkpoint(of_nodes(classes).select("node", prefixes("t").alias("x")).select("node", "x.*"))
+    keys = short.select("node", "n", F.posexplode("prefix").alias("pos", "h"))
+    shared = short.select("node", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    keys = checkpoint(keys.join(shared.where("low <> high").select("h"), "h"))
+    if made.groupBy("k", "th").count().where("count > 1").limit(1).count():
+        keys = checkpoint(keys.distinct())
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        chosen = of_nodes(classes.join(wanted, "node", "left_semi"))
+        sets = checkpoint(chosen.select("node", shingles("t").alias("s")).dropDuplicates(["node"]))
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+        return checkpoint(both.where(jaccard("sa", "sb") >= similarity).select("a", "b"))
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+    edges = spark.createDataFrame([], "a long, b long")
+    roots = spark.createDataFrame([], "node long, root long")
+    n_classes = classes.count()
+    for n in range(rounds):
+        left = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = left.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
+        keys = checkpoint(left.join(mixed, "h", "left_semi").drop("root"))
+        left = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        of_root = left.groupBy("h", "root").agg(F.count("*").cast("double").alias("m"))
+        of_key = of_root.groupBy("h").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"))
+        open_pairs = of_key.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
+        if open_pairs <= dense * n_classes:
+            break
+        me = F.struct("node", "n", "pos", "root")
+        pivots = left.groupBy("h").agg(F.min_by(me, F.xxhash64("node", F.lit(n))).alias("x"))
+        met = left.select("h", me.alias("y")).join(pivots, "h").where((F.col("x.root") != F.col("y.root")) & _pairs_within("x", "y", similarity))
+        met = met.groupBy(F.col("y.node").alias("y"), F.col("x.node").alias("x")).count()
+        best = met.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy(F.desc("count"), "x"))).where("r <= 2")
+        found = verified(checkpoint(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
+        edges = edges.unionByName(found)
+        roots = checkpoint(components(edges))
+    # The smaller set of a pair meets the larger one in a prefix that is shorter still.
+    left = checkpoint(keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    parts = left.groupBy("h").agg(F.ceil(F.count("*") / crowd).cast("int").alias("parts"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    left = left.join(parts.select("h", "parts"), "h")
+    me = F.struct("node", "n", "pos", "root")
+    index = left.where(F.col("pos") <= F.col("n") - F.ceil(2 * similarity / (1 + similarity) * F.col("n") - 1e-6))
+    index = index.select("h", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), me.alias("x"))
+    probe = left.select("h", me.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    smaller = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
+    close = index.alias("i").join(probe.alias("p"), (F.col("i.h") == F.col("p.h")) & (F.col("i.part") == F.col("p.part")) & (F.col("x.root") != F.col("y.root")) & smaller & _pairs_within("x", "y", similarity))
+    edges = edges.unionByName(verified(checkpoint(ordered(close).distinct())))
+    roots = checkpoint(components(edges))
+    whole = classes.select("node", "cls", "k", "th").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    firsts = whole.groupBy("root").agg(F.min(F.struct("k", "th")).alias("best"))
+    named = checkpoint(whole.select("cls", "root").join(firsts, "root").select("cls", "best"))
+    first = (F.col("k") == F.col("best.k")) & (F.col("th") == F.col("best.th"))
+    return made.select("k", "th", "cls").join(named, "cls").select(F.col("k").alias(key), F.col("th").alias("text_hash"), F.col("best.k").alias("group"), first.alias("first"))
 
 
 def drop_near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
     """``docs`` without all but one row of each group of ``near_copies``: the row with the
-    smallest key stays. Of equal rows one stays; rows with a null key all stay."""
-    named = checkpoint(near_copies(docs, text=text, key=key, **settings))
-    gone = named.where(F.col(key) != F.col("group")).select(key).distinct()
-    kept = docs.join(_small(checkpoint(gone)), key, "left_anti").select(*docs.columns)
-    again = named.where(F.col(key) == F.col("group")).groupBy(key).count().where("count > 1").select(key)
+    smallest key stays. Of equal rows one stays; rows with a null key all stay. Rows of the
+    same key with different texts are different rows."""
+    named = checkpoint(near_copies(docs, text=text, key=key, **settings).withColumnRenamed("text_hash", "_mr_hash"))
+    row = [key, "_mr_hash"]
+    tagged = docs.withColumn("_mr_hash", F.xxhash64(text))
+    kept = tagged.join(_small(checkpoint(named.where(~F.col("first")).select(*row).distinct())), row, "left_anti")
+    again = checkpoint(named.where("first").groupBy(*row).count().where("count > 1").select(*row))
     if again.isEmpty():
-        return kept
-    return kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key])).select(*docs.columns)
+        return kept.select(*docs.columns)
+    return kept.join(again, row, "left_anti").unionByName(kept.join(again, row, "left_semi").dropDuplicates(row)).select(*docs.columns)

@@ -90,3 +90,66 @@ def test_near_copies_go_and_clean_documents_stay(spark):
     got = sorted((x.doc_id is None, x.doc_id, x.fp) for x in sh.drop_near_copies(docs).collect())
     assert got == [(False, 1, "clash"), (False, 4, "clash"), (False, 5, "clash"), (False, 6, "clash"), (False, 8, "clash"), (True, None, "clash")]
     assert sh.drop_near_copies(docs.limit(0)).collect() == []
+
+
+def brute_kept(texts):
+    """Ids that stay: the smallest of each component of exact Jaccard similarity 0.8."""
+    sets = [set(sh.shingle_hashes(t, 5).tolist()) for t in texts]
+    home = list(range(len(texts)))
+
+    def find(x):
+        while home[x] != x:
+            x = home[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(a & b)
+            if both / (len(a) + len(b) - both) >= 0.8:
+                x, y = find(i), find(j)
+                home[max(x, y)] = min(x, y)
+    return [i for i in range(len(texts)) if find(i) == i]
+
+
+@pytest.mark.parametrize("settings", [{}, {"dense": 0, "crowd": 10, "sample": 5000}, {"rounds": 0, "sample": 1}])
+def test_near_copies_under_crowded_keys(spark, settings):
+    """Pages of shared wording that are not near-duplicates of each other, and copies of some."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+    frame, texts = [word() for _ in range(300)], []
+    for _ in range(400):
+        page = list(frame)
+        for at in r.sample(range(300), 18):
+            page[at] = word()
+        texts.append(page)
+    for page in r.sample(texts, 60):
+        page = list(page)
+        for at in r.sample(range(300), 3):
+            page[at] = word()
+        texts.append(page)
+    r.shuffle(texts)
+    texts = [" ".join(t) for t in texts]
+    got = sorted(x.doc_id for x in sh.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **settings).collect())
+    want = brute_kept(texts)
+    assert got == want and len(want) == 400
+
+
+def test_near_copies_with_passages_appended_and_inserted(spark):
+    r = random.Random(5)
+    prose = lambda n: ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for i in range(80):
+        page = prose(r.randint(150, 300))
+        more = prose(len(page) * (10, 15, 20, 23)[i % 4] // 100)
+        at = len(page) if i % 8 < 4 else len(page) // 2
+        texts += [page, page[:at] + more + page[at:]]
+    texts = [" ".join(t) for t in texts]
+    got = sorted(x.doc_id for x in sh.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert got == brute_kept(texts) and len(got) < 100
+
+
+def test_rows_of_one_key_with_different_texts(spark):
+    r = random.Random(6)
+    a, b, c = (" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(3))
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (2, c), (3, c), (3, c)], "doc_id long, text string")
+    assert sorted(map(tuple, sh.drop_near_copies(docs).collect())) == sorted([(1, a), (2, b), (2, c)])
