@@ -7,7 +7,7 @@ Features are an array column.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -149,32 +149,32 @@ def cluster_samples(df: DataFrame, key: str, label: str, n: int, seed: int = 42)
     return df.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).drop("_r")
 
 
-def knn_distances(points: DataFrame, key: str, k: int = 5, *, sample: int = 20_000, seed: int = 42) -> DataFrame:
-    """Mean distance of each sampled point to its k nearest, itself included at distance 0.
+def knn_distances(points: DataFrame, key: str, k: int = 5, *, sample: int | None = None, seed: int = 42) -> DataFrame:
+    """Mean distance of each point to its k nearest, itself included at distance 0.
 
-    The sample (``sample`` points at most) is one block that is sent to all tasks; its points
-    are dealt out and compared with the block, a part at a time.
+    All points, or a sample of at most ``sample`` if asked, are compared in blocks, of which
+    each keeps the k nearest of every point.
     """
     if k < 1:
         raise ValueError("k: at least 1")
-    some = points.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(sample)
-    block = np.array([r["features"] for r in some.select("features").collect()], "f8")
-    if not len(block):
+    if sample is not None:
+        points = points.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(sample)
+    data = checkpoint(points.select(F.monotonically_increasing_id().alias("id"), F.lit(0).cast("long").alias("code"), F.col(key), "features"))
+    if data.isEmpty():
         raise ValueError("no points")
-    shared = points.sparkSession.sparkContext.broadcast(block)
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = shared.value
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                d = np.stack([np.sqrt(((b - np.asarray(x, "f8")) ** 2).sum(1)) for x in part["features"]])
-                near = np.sort(np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k], axis=1)
-                yield pd.DataFrame({"key": part["key"], "mean_distance": near.mean(1)})
-
-    kind = points.schema[key].dataType.simpleString()
-    spread = some.select(F.col(key).alias("key"), "features").repartition(points.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInPandas(nearest, f"key {kind}, mean_distance double").withColumnRenamed("key", key)
+
+    def nearest(x, y, _codes):
+        d = quality.distances(x, y)
+        d = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k]
+        return np.pad(d, ((0, 0), (0, k - d.shape[1])), constant_values=np.inf)
+
+    def merge(ids, _codes, parts):
+        near = np.sort(np.concatenate(parts, axis=1), axis=1)[:, :k]
+        known = np.isfinite(near)
+        return pd.DataFrame({"id": ids, "mean_distance": np.where(known, near, 0).sum(1) / known.sum(1)})
+
+    found = quality.against_all(data.select("id", "code", "features"), "id long, mean_distance double", nearest, merge)
+    return data.select("id", key).join(found, "id").select(key, "mean_distance")
 
 
 def knn_profile(distances: DataFrame) -> DataFrame:

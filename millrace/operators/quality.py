@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .graph import checkpoint
+
 
 def _long(points: DataFrame, label: str, keep: Sequence[str] = ()) -> DataFrame:
     return points.select(*keep, F.col(label).alias("label"), F.posexplode(F.col("features").cast("array<double>")).alias("dim", "v"))
@@ -31,36 +33,70 @@ def _squares(a: str, b: str):
     return F.aggregate(F.zip_with(F.col(a).cast("array<double>"), b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
 
 
-def silhouette(points: DataFrame, label: str = "label", *, key: str | None = None, sample: int = 5000, seed: int = 42) -> float | None:
-    """Mean Euclidean silhouette of a sample of at most ``sample`` points (quadratic in it); a point
-    alone in its cluster scores 0. The sample is one block sent to all tasks. None for fewer
-    than two clusters."""
-    order = [F.xxhash64(key or "features", F.lit(seed)), F.col(key or "features")]
-    some = points.orderBy(*order).limit(sample).select(F.col(label).alias("label"), F.col("features").cast("array<double>").alias("features"))
-    rows = some.collect()
-    labels, codes = np.unique([r["label"] for r in rows], return_inverse=True) if rows else (np.zeros(0), np.zeros(0, int))
-    if len(labels) < 2:
-        return None
-    block = np.array([r["features"] for r in rows])
-    shared = points.sparkSession.sparkContext.broadcast((block, codes, np.bincount(codes)))
+def against_all(data: DataFrame, schema: str, partial, merge, *, block: int = 512) -> DataFrame:
+    """Every point against every point, in blocks that Spark deals out. ``data`` has ``id``
+    (long, unique), ``code`` (long) and ``features``. ``partial(x, y, codes of y)`` gives an
+    array with one row per point of x; ``merge(ids, codes, parts)`` of a block's arrays gives
+    the rows of the result."""
+    spark = data.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    n = max(1, -(-data.count() // block))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x, c, n = shared.value
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(part["features"].to_numpy()).astype("f8")
+        return pd.DataFrame({"b": [part["b"].iloc[0]], "ids": [part["id"].to_numpy("i8").tobytes()], "codes": [part["code"].to_numpy("i8").tobytes()], "x": [x.tobytes()]})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = []
-            for i in batch["id"]:
-                sums = np.bincount(c, np.sqrt(((x - x[i]) ** 2).sum(1)), len(n))
-                own = c[i]
-                if n[own] == 1:
-                    made.append(0.0)
-                    continue
-                a = sums[own] / (n[own] - 1)
-                b = np.delete(sums / n, own).min()
-                made.append((b - a) / max(a, b) if max(a, b) else 0.0)
-            yield pd.DataFrame({"s": made})
-
-    spark = points.sparkSession
-    return spark.range(len(rows)).mapInPandas(score, "s double").agg(F.avg("s")).first()[0]
+            for r in batch.itertuples(index=False):
+                codes, other = np.frombuffer(r.codes, "i8"), np.frombuffer(r.other_codes, "i8")
+                made = partial(np.frombuffer(r.x).reshape(len(codes), -1), np.frombuffer(r.y).reshape(len(other), -1), other)
+                yield pd.DataFrame({"b": [r.b], "ids": [r.ids], "codes": [r.codes], "part": [np.ascontiguousarray(made, "f8").tobytes()]})
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, codes = np.frombuffer(rows["ids"].iloc[0], "i8"), np.frombuffer(rows["codes"].iloc[0], "i8")
+        return merge(ids, codes, [np.frombuffer(p).reshape(len(ids), -1) for p in rows["part"]])
+
+    dealt = data.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    blocks = checkpoint(dealt.groupBy("b").applyInPandas(pack, "b int, ids binary, codes binary, x binary"))
+    others = blocks.select(F.col("b").alias("c"), F.col("codes").alias("other_codes"), F.col("x").alias("y"))
+    pairs = blocks.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).repartition("b", "c").join(others, "c")
+    return pairs.mapInPandas(compare, "b int, ids binary, codes binary, part binary").groupBy("b").applyInPandas(finish, schema)
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.stack([np.sqrt(((y - p) ** 2).sum(1)) for p in x])
+
+
+def silhouette(points: DataFrame, label: str = "label", *, key: str | None = None, sample: int | None = None, seed: int = 42) -> float | None:
+    """Mean Euclidean silhouette of all points, or of a sample of at most ``sample`` if asked
+    (quadratic in the points); a point alone in its cluster scores 0. Points are compared in
+    blocks. None for fewer than two clusters."""
+    if sample is not None:
+        points = points.orderBy(F.xxhash64(key or "features", F.lit(seed)), F.col(key or "features")).limit(sample)
+    some = checkpoint(points.select(F.monotonically_increasing_id().alias("id"), F.col(label).alias("label"), F.col("features").cast("array<double>").alias("features")))
+    sizes = some.groupBy("label").count().orderBy("label").collect()
+    if len(sizes) < 2:
+        return None
+    n = np.array([r["count"] for r in sizes])
+    names = points.sparkSession.createDataFrame([(r["label"], i) for i, r in enumerate(sizes)], some.select("label", F.lit(0).cast("long").alias("code")).schema)
+    same = some["label"].eqNullSafe(names["label"])
+    data = some.join(F.broadcast(names), same).select("id", "code", "features")
+
+    def partial(x, y, codes):
+        return np.stack([np.bincount(codes, d, len(n)) for d in distances(x, y)])
+
+    def merge(ids, codes, parts):
+        sums, at = np.sum(parts, 0), np.arange(len(ids))
+        a = sums[at, codes] / np.maximum(n[codes] - 1, 1)
+        means = sums / n
+        means[at, codes] = np.inf
+        b = means.min(1)
+        most = np.maximum(a, b)
+        s = np.where((n[codes] > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1), 0.0)
+        return pd.DataFrame({"s": s})
+
+    return against_all(data, "s double", partial, merge).agg(F.avg("s")).first()[0]
 
 
 def silhouette_squared(points: DataFrame, label: str = "label") -> float:

@@ -107,3 +107,22 @@ def test_descriptions_name_unknown_features(spark):
     assert got.description == "cluster 2: x=9.000, unknown_feature_1=9.000"
     with pytest.raises(ValueError):
         interpret.describe_clusters(profile.limit(0), [])
+
+
+def test_silhouette_and_nearest_of_all_points(spark):
+    """More points than silhouette() once took unasked."""
+    n = 5200
+    x = np.random.default_rng(1).normal(size=(n, 2))
+    rows = [(i, x[i].tolist(), i % 3) for i in range(n)]
+    given = spark.createDataFrame(rows, "k long, features array<double>, label int")
+    labels, s = np.arange(n) % 3, []
+    for i in range(n):
+        means = [d.sum() / max(1, len(d) - (c == labels[i])) for c, d in ((c, np.sqrt(((x[labels == c] - x[i]) ** 2).sum(1))) for c in range(3))]
+        a, b = means[labels[i]], min(m for c, m in enumerate(means) if c != labels[i])
+        s.append((b - a) / max(a, b))
+    assert quality.silhouette(given, key="k") == pytest.approx(np.mean(s), abs=1e-12)
+    assert quality.silhouette(given, key="k", sample=100) != pytest.approx(np.mean(s), abs=1e-12)
+    near = {r.k: r.mean_distance for r in cluster.knn_distances(given, "k", 4).collect()}
+    assert len(near) == n
+    for i in (0, 700, n - 1):
+        assert near[i] == pytest.approx(np.sort(np.sqrt(((x - x[i]) ** 2).sum(1)))[:4].mean())
