@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.sources.scratch import checkpoint
+
 from . import quality
-from .graph import checkpoint, components
+from .graph import components
 
 
 def feature_frame(df: DataFrame, key: str, label: str | None = None, n: int | None = None, seed: int = 42) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .graph import checkpoint
+from millrace.sources.scratch import checkpoint
 
 
 def _long(points: DataFrame, label: str, keep: Sequence[str] = ()) -> DataFrame:

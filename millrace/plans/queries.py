@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import drift, explore, profile
 from millrace.operators import cluster, interpret, prepare, quality
-from millrace.operators.graph import checkpoint
+from millrace.sources.scratch import checkpoint
 from millrace.operators.prepare import Prepare
 from millrace.sources import tables
 from millrace.streaming.score import score_files
