@@ -1,53 +1,44 @@
-"""Helpers shared by the corpus operators: reliable scratch space, batch bounds, tokens."""
+"""Helpers shared by the corpus operators: written intermediate tables, words, letters."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.scratch import checkpoint, delete, hot_join, hot_keys, scratch, shared_dir, workspace
+
+__all__ = ["SPACES", "checkpoint", "delete", "few", "has_letters", "hot_join", "hot_keys", "letters", "row_ids", "scratch", "shared_dir", "table", "words", "workspace"]
+
 #: Java regex for runs of ASCII white space; words are what lies between.
 SPACES = r"[\x20\x09-\x0D]+"
-#: One letter run, Unicode aware.
-LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``, or a new local
-    one where the session names none (single-machine tests)."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="millrace-checkpoint-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(named)
-    return named
+def few(keys: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """``keys`` (a written table) marked for broadcast if they are counted to be few."""
+    return F.broadcast(keys) if keys.count() <= max_rows else keys
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder now and go on from those files."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def words(text: Column) -> Column:
+    """Array of the maximal runs of anything but ASCII white space; null gives no word."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call gets."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def letters(text: Column) -> Column:
+    """Lower-cased runs of letters and their marks, a space between and around them. What is
+    not a letter (digits and other numbers, signs) is a gap; null gives no run."""
+    runs = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+", " ")
+    return F.concat(F.lit(" "), F.trim(runs), F.lit(" "))
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches of long texts small: ``rows`` rows and 64 MB at most."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+def has_letters(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def words(text: Column) -> Column:
-    """Array of the maximal runs of anything but ASCII white space; null gives no word."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+def row_ids(*columns: Column) -> tuple[Column, Column]:
+    """128 bits, as two longs, that tell rows of different content apart."""
+    parts = [x for c in columns for x in (c.isNull(), c)]
+    return F.xxhash64(*parts), F.xxhash64(F.lit("row"), *reversed(parts))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bound_batches, checkpoint
+from millrace.operators.graph import components
+
+from .common import checkpoint, few, hot_join, hot_keys
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -54,7 +56,6 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, *, text: str = "text", shingle: int = 3):
     """Column of 64-bit fingerprints (as signed longs) of whole texts."""
-    bound_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -125,30 +126,6 @@ def _exact_ball(nodes: DataFrame, halves: DataFrame, crowds: DataFrame, radius:
     return probing.mapInPandas(spell, "fp long, other long").join(nodes.select(F.col("fp").alias("other")), "other", "left_semi")
 
 
-def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
-    """``node, root`` for every node of an edge (``a``, ``b``, comparable longs), where root
-    is the smallest node that can be reached. Large-star and small-star steps alternate
-    until the edges no longer change; each round is written to the shared folder."""
-    spark = edges.sparkSession
-    last, now = None, checkpoint(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    for _ in range(max_rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        now = checkpoint(small.where("u <> v").distinct())
-        sums = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if sums == last:
-            break
-        last = sums
-    else:
-        raise RuntimeError("components did not settle")
-    if not last or not last[0]:
-        return spark.createDataFrame([], "node long, root long")
-    return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-
-
 def simhash_groups(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 3, radius: int = 2, hot: int = 1000) -> DataFrame:
     """``key, fingerprint, component_id``: one row per row of ``docs``.
 
@@ -156,20 +133,17 @@ def simhash_groups(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     ``radius`` bits are linked, and ``component_id`` is the smallest key that can be
     reached, the own one included. Text without a word (null, empty, blank) has fingerprint
     zero and links like any other. Repeated rows stay. Null keys take part; a component
-    of null keys only has a null id. An empty table gives an empty result.
+    of null keys only has a null id. Texts of any length are hashed whole. Other columns are
+    ignored, whatever their names. An empty table gives an empty result.
     """
     prints = checkpoint(docs.select(F.col(key).alias("k"), fingerprints(docs, text=text, shingle=shingle).alias("fp")))
-    nodes = checkpoint(prints.groupBy("fp").agg(F.min("k").alias("least")))
+    nodes = checkpoint(prints.groupBy("fp").agg(F.min("k").alias("least"), F.count("*").alias("n")))
     found = components(links(nodes, radius=radius, hot=hot))
     roots = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     named = checkpoint(roots.select("fp", "root").join(ids, "root").select("fp", "component_id"))
-    return prints.join(named, "fp").select(F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def _small(keys: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
-    """``keys`` marked for broadcast if they are counted to be few."""
-    return F.broadcast(keys) if keys.count() <= max_broadcast else keys
+    rows = hot_join(prints, named, ["fp"], hot_keys(nodes, ["fp"]))  # empty texts, say, all have one fingerprint
+    return rows.select(F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def _pairs_within(x: str, y: str, similarity: float):
@@ -200,7 +174,6 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     Rows with a null key are left out. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
     t = F.col(text)
     chars = docs.agg(F.sum(F.length(t))).first()[0] or 0
     share = min(1.0, sample * 6 / max(1, chars))
@@ -253,7 +226,7 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
 
     def of_nodes(nodes: DataFrame) -> DataFrame:
         """``node, t`` of the texts that stand for the nodes; equal rows can repeat."""
-        return rows.join(_small(nodes.select("node", "k", "th"), 1_000_000), ["k", "th"]).select("node", "t")
+        return rows.join(few(nodes.select("node", "k", "th"), 1_000_000), ["k", "th"]).select("node", "t")
 
     short = checkpoint(of_nodes(classes).select("node", prefixes("t").alias("x")).select("node", "x.*"))
     keys = short.select("node", "n", F.posexplode("prefix").alias("pos", "h"))
@@ -319,7 +292,7 @@ def drop_near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id"
     named = checkpoint(near_copies(docs, text=text, key=key, **settings).withColumnRenamed("text_hash", "_mr_hash"))
     row = [key, "_mr_hash"]
     tagged = docs.withColumn("_mr_hash", F.xxhash64(text))
-    kept = tagged.join(_small(checkpoint(named.where(~F.col("first")).select(*row).distinct())), row, "left_anti")
+    kept = tagged.join(few(checkpoint(named.where(~F.col("first")).select(*row).distinct())), row, "left_anti")
     again = checkpoint(named.where("first").groupBy(*row).count().where("count > 1").select(*row))
     if again.isEmpty():
         return kept.select(*docs.columns)

@@ -12,9 +12,13 @@ Groups are sorted deep-shallow: multikey quicksort goes a few bytes beyond the c
 what is still equal then has long common prefixes and is ordered by a blind trie, which
 looks at branching bytes only and compares each string once.
 
-Anchors with equal surroundings are one context with a count. A group of very many different
+Anchors with equal surroundings are one context with a count: they are found by a 128-bit hash,
+and the sort orders the different contexts of each gram. A group of very many different
 contexts is cut: the windows around an anchor are divided by offset, the windows of a part
 share a longer core, and contexts are grouped anew by that core and cut to the span of the part.
+
+No text, position or span passes through the driver: anchors, contexts and spans are written
+tables, joined to the texts by a 128-bit id of the row.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, checkpoint, scratch
+from .common import checkpoint, hot_join, hot_keys, row_ids, scratch
 
 GRAM = 64
 #: Bytes of one text that are scanned at once (positions are packed into 24 bits).
@@ -50,6 +54,17 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h * M1
 
 
+def grams_at(data: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """The hashes of ``gram_hashes`` at some positions only."""
+    v = np.ascontiguousarray(data[spots[:, None] + np.arange(GRAM)]).view("<u8").astype("u8")
+    h = v * M1
+    h ^= h >> np.uint64(29)
+    for step in (1, 2, 4):
+        h = (h[:, :-step] * M2) ^ (h[:, step:] * M3)
+        h ^= h >> np.uint64(31)
+    return (h * M1)[:, 0]
+
+
 def anchors(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the anchors of all windows of ``length`` bytes, and their gram hashes."""
     found = []
@@ -227,122 +242,107 @@ def widest(lefts: list[bytes], rights: list[bytes], counts: list[int], length: i
     return [(x, y) for x, y in best]
 
 
-def _bytes(text) -> bytes:
-    return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
-
-
-CONTEXT = "g long, cid binary, n long, lefts binary, rights binary, o1 int, o2 int"
-
-
-def _context(data: bytes, at: int, o1: int, o2: int, length: int) -> tuple[bytes, bytes]:
-    """What windows with the anchor at offset o1 to o2 - 1 can reach: to the left (reversed), to the right."""
-    return data[max(0, at - o2 + 1) : at][::-1], data[at : at + length - o1]
+def _context(data: bytes, at: int, length: int) -> tuple[bytes, bytes]:
+    """What the windows with this anchor can reach: to the left (reversed), to the right."""
+    return data[max(0, at - length + GRAM) : at][::-1], data[at : at + length]
 
 
 def _cid(left: bytes, right: bytes) -> bytes:
     return hashlib.blake2b(len(left).to_bytes(4, "big") + left + right, digest_size=16).digest()
 
 
-def repeated_spans(docs: DataFrame, *, text: str, ref: str, length: int = 400, crowd: int = 50_000, max_broadcast: int = 4_000_000) -> DataFrame:
-    """``ref, spans``: for rows with repeated strings the byte ranges (start, end) to remove, not
-    yet merged. Rows of equal ``ref`` must have equal text; each counts as an occurrence."""
-    spark = docs.sparkSession
-    bound_batches(spark, 500)
-    narrow = docs.select(F.col(ref).alias("ref"), F.col(text).alias("t"))
+def repeated_spans(rows: DataFrame, *, length: int = 400, crowd: int = 50_000, hot: int = 1000) -> DataFrame:
+    """``a, b, spans``: for rows ``a, b, t`` (a 128-bit id and bytes) with repeated strings the
+    byte ranges to remove, as start, end, start, end ..., not yet merged. Rows of equal id
+    must have equal bytes; each counts as an occurrence. Grams and contexts that over ``hot``
+    anchors have are joined by broadcast."""
+    spark = rows.sparkSession
 
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            all_keys = [anchors(_bytes(t), length)[1] for t in b["t"]]
-            keys, n = np.unique(np.concatenate([np.zeros(0, "u8"), *all_keys]), return_counts=True)
-            yield pd.DataFrame({"g": keys.view("i8"), "n": n})
+            made = []
+            for x, y, t in b.itertuples(index=False):
+                spots, grams = anchors(t, length)
+                if len(spots):
+                    made.append((x, y, grams.view("i8"), spots.astype("i4")))
+            yield pd.DataFrame(made, columns=["a", "b", "g", "pos"])
+
+    scanned = checkpoint(rows.where(F.octet_length("t") >= length).mapInPandas(scan, "a long, b long, g array<long>, pos array<int>"))
+    each = scanned.select("a", "b", F.explode(F.arrays_zip("g", "pos")).alias("x")).select("a", "b", "x.g", "x.pos")
+    counts = checkpoint(each.groupBy("g").agg(F.count("*").alias("n")).where("n > 1"))
+    found = hot_join(each, counts.select("g"), ["g"], hot_keys(counts, ["g"], least=hot), "left_semi")
+    found = checkpoint(found.groupBy("a", "b").agg(F.sort_array(F.collect_set("pos")).alias("pos")))
+
+    def surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A context is written out where a task meets it first; the second meeting is marked."""
+        seen: dict[bytes, bool] = {}
+        for batch in batches:
+            made = []
+            for x, y, t, spots in batch.itertuples(index=False):
+                grams = grams_at(np.frombuffer(t, "u1"), np.asarray(spots, "i8")).view("i8").tolist()
+                for g, p in zip(grams, np.asarray(spots).tolist(), strict=True):
+                    left, right = _context(t, p, length)
+                    c = _cid(left, right)
+                    met = seen.get(c)
+                    if met is None:
+                        seen[c] = False
+                        made.append((g, c, x, y, p, left, right, False))
+                    else:
+                        made.append((g, c, x, y, p, None, None, not met))
+                        seen[c] = True
+            if len(seen) > 1_000_000:
+                seen.clear()
+            yield pd.DataFrame(made, columns=["g", "cid", "a", "b", "pos", "lefts", "rights", "again"])
 
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            refs, spots, keys = [np.zeros(0, "i8")], [np.zeros(0, "i8")], [np.zeros(0, "u8")]
-            for r, t in zip(b["ref"], b["t"], strict=True):
-                p, k = anchors(_bytes(t), length)
-                refs.append(np.full(len(p), r, "i8"))
-                spots.append(p)
-                keys.append(k)
-            yield pd.DataFrame({"g": np.concatenate(keys).view("i8"), "ref": np.concatenate(refs), "pos": np.concatenate(spots)})
-
-    repeated = checkpoint(narrow.select("t").mapInPandas(grams, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").select("g"))
-    found = narrow.mapInPandas(places, "g long, ref long, pos long").join(repeated, "g", "left_semi").select("ref", "pos").distinct()
-    found = checkpoint(found.groupBy("ref").agg(F.sort_array(F.collect_list("pos")).alias("pos")))
-    o_end = length - GRAM + 1
-
-    def contexts(t, spots) -> list[tuple]:
-        data, rows = _bytes(t), []
-        for p in spots:
-            left, right = _context(data, int(p), 0, o_end, length)
-            gram = gram_hashes(np.frombuffer(right[:GRAM], "u1"))
-            rows.append((int(gram.view("i8")[0]), _cid(left, right), int(p), left, right))
-        return rows
-
-    def emit(rows: list[tuple], seen: set) -> pd.DataFrame:
-        """A context is written out where a task meets it first."""
-        out = []
-        for r, g, c, p, left, right in rows:
-            new = c not in seen
-            seen.add(c)
-            out.append((g, c, r, p, left if new else None, right if new else None))
-        if len(seen) > 1_000_000:
-            seen.clear()
-        return pd.DataFrame(out, columns=["g", "cid", "ref", "pos", "lefts", "rights"])
-
-    schema = "g long, cid binary, ref long, pos long, lefts binary, rights binary"
-    sizes = found.agg(F.count("*"), F.coalesce(F.sum(F.size("pos")), F.lit(0))).first()
-    if sizes[0] <= max_broadcast // 10 and sizes[1] <= max_broadcast:
-        shared = spark.sparkContext.broadcast({r["ref"]: np.array(r["pos"], "u4").tobytes() for r in found.collect()})
-
-        def surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            seen: set = set()
-            for b in batches:
-                rows = [(r, *x) for r, t in zip(b["ref"], b["t"], strict=True) if (p := shared.value.get(r)) for x in contexts(t, np.frombuffer(p, "u4"))]
-                yield emit(rows, seen)
-
-        wide = narrow.mapInPandas(surroundings, schema)
-    else:
-
-        def surroundings_joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            seen: set = set()
-            for b in batches:
-                yield emit([(r, *x) for r, t, p in zip(b["ref"], b["t"], b["pos"], strict=True) for x in contexts(t, p)], seen)
-
-        wide = narrow.join(found, "ref").mapInPandas(surroundings_joined, schema)
     path = scratch(spark, "contexts")
-    wide.write.option("compression", "zstd").parquet(path)
-    rows = spark.read.parquet(path)
+    schema = "g long, cid binary, a long, b long, pos int, lefts binary, rights binary, again boolean"
+    texts = rows.where(F.octet_length("t") >= length).join(found, ["a", "b"])
+    texts.select("a", "b", "t", "pos").mapInPandas(surroundings, schema).write.option("compression", "zstd").parquet(path)
+    met = spark.read.schema(schema).parquet(path)
+    places = met.select("g", "cid", "a", "b", "pos")
+    per = checkpoint(met.groupBy("g", "cid").agg(F.count("*").alias("n")))
+    crowded = checkpoint(per.groupBy("g").agg(F.count("*").alias("contexts")).where(F.col("contexts") > crowd).select("g"))
+    some = not crowded.isEmpty()
+    bodies = met.where("lefts is not null or again").select("g", "cid", F.lit(1).cast("long").alias("n"), "lefts", "rights")
+    made = _sorted(bodies.join(crowded, "g", "left_anti") if some else bodies, length)
+    spans = [_placed(places, made, hot_keys(per, ["g", "cid"], least=hot))]
+    if some:
+        first = F.first("lefts", True).alias("lefts"), F.first("rights", True).alias("rights")
+        level = met.join(crowded, "g").groupBy("g", "cid").agg(F.count("*").alias("n"), *first).withColumns({"o1": F.lit(0), "o2": F.lit(length - GRAM + 1)})
+        spans += _crowd_spans(checkpoint(level), places, crowd, length)
+    out = spans[0]
+    for more in spans[1:]:
+        out = out.unionByName(more)
+    return out.groupBy("a", "b").agg(F.flatten(F.collect_set(F.array("s", "e"))).alias("spans"))
+
+
+def _crowd_spans(level: DataFrame, places: DataFrame, crowd: int, length: int) -> list[DataFrame]:
+    """The spans of the anchors whose groups have too many contexts to be sorted in one task."""
     first = F.first("lefts", True).alias("lefts"), F.first("rights", True).alias("rights")
-    level = rows.groupBy("g", "cid").agg(F.count("*").alias("n"), *first).withColumns({"o1": F.lit(0), "o2": F.lit(o_end)})
-    rows, spans = rows.select("g", "cid", "ref", "pos"), []
+    spans = []
     for width in (43, 6, 1):
-        made, crowded = _level(level, crowd, length)
-        spans.append(_placed(rows, made))
-        if crowded is None:
-            break
-        crowd_rows = level.join(crowded, "g")
         # A context with a copy is repeated as far as it reaches; it is cut as a partner of others only.
-        whole = crowd_rows.where((F.col("n") > 1) & (F.octet_length("lefts") + F.octet_length("rights") >= length))
-        spans.append(_placed(rows, whole.select("g", "cid", F.octet_length("lefts").alias("l"), F.octet_length("rights").alias("r"))))
-        cut = checkpoint(crowd_rows.mapInPandas(_cut(width, length), "g long, cid binary, g2 long, cid2 binary, n long, lefts binary, rights binary, o1 int, o2 int, open boolean"))
+        whole = level.where((F.col("n") > 1) & (F.octet_length("lefts") + F.octet_length("rights") >= length))
+        spans.append(_placed(places, whole.select("g", "cid", F.octet_length("lefts").alias("l"), F.octet_length("rights").alias("r"))))
+        cut = checkpoint(level.mapInPandas(_cut(width, length), "g long, cid binary, g2 long, cid2 binary, n long, lefts binary, rights binary, o1 int, o2 int, open boolean"))
         shared = cut.groupBy("g2").agg(F.sum("n").alias("all")).where("all > 1").select("g2")
         cut = checkpoint(cut.join(shared, "g2", "left_semi"))
-        level = cut.groupBy(F.col("g2").alias("g"), F.col("cid2").alias("cid")).agg(F.sum("n").alias("n"), *first, F.first("o1").alias("o1"), F.first("o2").alias("o2"))
-        rows = rows.join(cut.where("open").select("g", "cid", "g2", "cid2"), ["g", "cid"]).select(F.col("g2").alias("g"), F.col("cid2").alias("cid"), "ref", "pos")
-    else:
-        made, _ = _level(level, 1 << 62, length)  # one window each: all contexts of a group are equal
-        spans.append(_placed(rows, made))
-    out = spans[0]
-    for more in spans[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("ref").agg(F.collect_set("span").alias("spans"))
+        level = checkpoint(cut.groupBy(F.col("g2").alias("g"), F.col("cid2").alias("cid")).agg(F.sum("n").alias("n"), *first, F.first("o1").alias("o1"), F.first("o2").alias("o2")))
+        places = places.join(cut.where("open").select("g", "cid", "g2", "cid2"), ["g", "cid"]).select(F.col("g2").alias("g"), F.col("cid2").alias("cid"), "a", "b", "pos")
+        # With one window each (width 1) all contexts of a group are equal.
+        crowded = checkpoint(level.groupBy("g").agg(F.count("*").alias("contexts")).where(F.col("contexts") > (crowd if width > 1 else 1 << 62)).select("g"))
+        some = not crowded.isEmpty()
+        fine = level.join(crowded, "g", "left_anti") if some else level
+        spans.append(_placed(places, _sorted(fine.select("g", "cid", "n", "lefts", "rights"), length)))
+        if not some:
+            break
+        level = checkpoint(level.join(crowded, "g"))
+    return spans
 
 
-def _placed(rows: DataFrame, made: DataFrame) -> DataFrame:
+def _placed(places: DataFrame, made: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Byte ranges of the anchors whose contexts reach ``l`` to the left and ``r`` to the right."""
-    span = F.struct((F.col("pos") - F.col("l")).alias("s"), (F.col("pos") + F.col("r")).alias("e"))
-    return rows.join(made, ["g", "cid"]).select("ref", span.alias("span"))
+    return hot_join(places, made, ["g", "cid"], hot).select("a", "b", (F.col("pos") - F.col("l")).alias("s"), (F.col("pos") + F.col("r")).alias("e"))
 
 
 def _cut(width: int, length: int):
@@ -364,11 +364,9 @@ def _cut(width: int, length: int):
     return run
 
 
-def _level(contexts: DataFrame, crowd: int, length: int) -> tuple[DataFrame, DataFrame | None]:
-    """``g, cid, l, r`` of contexts in repeated windows; groups of over ``crowd`` contexts are left out and returned."""
-    shared = checkpoint(contexts.groupBy("g").agg(F.count("*").alias("contexts"), F.sum("n").alias("all")).where("all > 1").select("g", "contexts"))
-    crowded = checkpoint(shared.where(F.col("contexts") > crowd).select("g"))
-    fine = contexts.join(shared.where(F.col("contexts") <= crowd).select("g"), "g", "left_semi").select("g", "cid", "n", "lefts", "rights")
+def _sorted(contexts: DataFrame, length: int) -> DataFrame:
+    """``g, cid, l, r`` of the contexts in repeated windows, from ``g, cid, n, lefts, rights``. Rows
+    of one context add up their ``n``; one of them has the bytes."""
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, group = None, []
@@ -379,18 +377,20 @@ def _level(contexts: DataFrame, crowd: int, length: int) -> tuple[DataFrame, Dat
 
         for b in batches:
             rows = []
-            for g, *x in b.itertuples(index=False):
+            for g, c, n, left, right in b.itertuples(index=False):
                 if g != at:
                     if group:
                         rows += done()
                     at, group = g, []
-                group.append(x)
+                if group and group[-1][0] == c:
+                    group[-1][1] += n
+                else:
+                    group.append([c, n, left, right])
             yield pd.DataFrame(rows, columns=["g", "cid", "l", "r"])
         if group:
             yield pd.DataFrame(done(), columns=["g", "cid", "l", "r"])
 
-    made = checkpoint(fine.repartition("g").sortWithinPartitions("g").mapInPandas(sort, "g long, cid binary, l int, r int"))
-    return made, None if crowded.isEmpty() else crowded
+    return checkpoint(contexts.repartition("g").sortWithinPartitions("g", "cid", F.desc_nulls_last("lefts")).mapInPandas(sort, "g long, cid binary, l int, r int"))
 
 
 def _without(data: bytes, spans) -> tuple[bytes, int, int]:
@@ -406,45 +406,36 @@ def _without(data: bytes, spans) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, runs
 
 
-RESULT = "kept binary, n_bytes long, n_removed long, n_spans long"
+RESULT = "kept binary, n_removed long, n_spans long"
 
 
-def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, crowd: int = 50_000, max_broadcast: int = 4_000_000) -> DataFrame:
+def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, crowd: int = 50_000, hot: int = 1000) -> DataFrame:
     """``docs`` with ``kept`` (the remaining bytes), n_bytes, n_removed and n_spans (maximal runs).
 
     Texts are UTF-8; every byte covered by a string of ``length`` bytes that also starts
     anywhere else in the corpus goes, in the same row too, judged on the input. Null text is
-    empty. Repeated rows are repeats of each other: all go. Keys may be null. Columns of the
-    added names are replaced. ``length`` must be over twice the gram of 64 bytes.
+    empty. Repeated rows are repeats of each other: all go. Keys may be null and of any type
+    that Spark can hash. Texts of any length are read whole, one at a time. An empty table
+    gives an empty result. Columns of the added names are replaced, others pass through.
+    ``length`` must be over twice the gram of 64 bytes. Groups of over ``crowd`` contexts
+    are cut; the result depends neither on ``crowd`` nor on ``hot``.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length: at least {2 * GRAM}")
-    spark = docs.sparkSession
-    kept = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
-    tagged = docs.select(*kept, F.xxhash64(F.col(key), F.col(text)).alias("_mr_ref"))
-    spans = checkpoint(repeated_spans(tagged, text=text, ref="_mr_ref", length=length, crowd=crowd, max_broadcast=max_broadcast))
-    sizes = spans.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
-    columns = ["kept", "n_bytes", "n_removed", "n_spans"]
-
-    def row(t, found) -> tuple:
-        data = _bytes(t)
-        return (*_without(data, found)[:1], len(data), *_without(data, found)[1:])
-
-    if sizes[0] <= max_broadcast // 10 and sizes[1] <= max_broadcast:
-        shared = spark.sparkContext.broadcast({r["ref"]: np.array([(x["s"], x["e"]) for x in r["spans"]], "u4").tobytes() for r in spans.collect()})
-
-        @F.pandas_udf(RESULT)
-        def remove(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-            for ts, refs in batches:
-                yield pd.DataFrame([row(t, np.frombuffer(shared.value.get(r, b""), "u4").reshape(-1, 2).tolist()) for t, r in zip(ts, refs, strict=True)], columns=columns)
-
-        made = tagged.select(*kept, remove.asNondeterministic()(F.col(text), F.col("_mr_ref")).alias("_mr_made"))
-    else:
-
-        @F.pandas_udf(RESULT)
-        def remove_joined(ts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([row(t, [] if f is None else [(x["s"], x["e"]) for x in f]) for t, f in zip(ts, spans, strict=True)], columns=columns)
-
-        joined = tagged.join(spans.select(F.col("ref").alias("_mr_ref"), F.col("spans").alias("_mr_spans")), "_mr_ref", "left")
-        made = joined.select(*kept, remove_joined.asNondeterministic()(F.col(text), F.col("_mr_spans")).alias("_mr_made"))
-    return made.select(*kept, *[f"_mr_made.{c}" for c in columns])
+    kept = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans", "_mr_a", "_mr_b", "_mr_spans")]
+    body = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    a, b = row_ids(F.col(key), F.col(text))
+    rows = docs.select(a.alias("a"), b.alias("b"), body.alias("t"))
+    spans = checkpoint(repeated_spans(rows, length=length, crowd=crowd, hot=hot))
+
+    @F.pandas_udf(RESULT)
+    def remove(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, found in batches:
+            made = [(None, 0, 0) if f is None else _without(t, np.asarray(f).reshape(-1, 2).tolist()) for t, f in zip(texts, found, strict=True)]
+            yield pd.DataFrame(made, columns=["kept", "n_removed", "n_spans"])
+
+    tagged = docs.select(*kept, a.alias("_mr_a"), b.alias("_mr_b")).join(spans.select(F.col("a").alias("_mr_a"), F.col("b").alias("_mr_b"), F.col("spans").alias("_mr_spans")), ["_mr_a", "_mr_b"], "left")
+    # Only texts that lose something go through Python.
+    touched = F.when(F.col("_mr_spans").isNotNull(), body)
+    made = tagged.select(*kept, remove.asNondeterministic()(touched, F.col("_mr_spans")).alias("_mr_made"))
+    return made.select(*kept, F.coalesce("_mr_made.kept", body).alias("kept"), F.octet_length(body).cast("long").alias("n_bytes"), "_mr_made.n_removed", "_mr_made.n_spans")

@@ -6,16 +6,17 @@ theta_1 <= theta_2 <= ...; the expected severity is the sum of these probabiliti
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, SPACES, bound_batches, checkpoint
+from .common import SPACES, checkpoint, few, letters
 from .decontam import let
 
 
@@ -27,24 +28,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 class OrdinalModel:
     weights: dict[str, float]
     thetas: list[float]
-    _memo: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)
-
-    #: Distinct tokens a worker remembers before it starts over.
-    MEMO = 200_000
 
     def features(self, text: str | None) -> dict[str, int]:
-        """Counts of the words that carry a weight."""
-        counts: Counter[str] = Counter()
-        memo = self._memo
-        for token, n in Counter((text or "").split()).items():
-            known = memo.get(token)
-            if known is None:
-                if len(memo) >= self.MEMO:
-                    memo.clear()
-                known = memo[token] = tuple(w for w in LETTERS.findall(token.lower()) if w in self.weights)
-            for w in known:
-                counts[w] += n
-        return counts
+        """Counts of the words that carry a weight; ``text`` is what ``common.letters`` gives."""
+        counts = Counter((text or "").split())
+        return {w: counts[w] for w in counts.keys() & self.weights.keys()}
 
     def score(self, text: str | None) -> list[float]:
         """P(grade >= k) for k = 1, 2, ..."""
@@ -52,8 +40,9 @@ class OrdinalModel:
         return _sigmoid(z - np.array(self.thetas)).tolist()
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, *, l1: float | np.ndarray = 0.0, rounds: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by proximal gradient (accelerated, L1 on the weights).
+def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, *, l1: float | np.ndarray = 0.0, rounds: int = 400, lowest: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of at least ``lowest`` and thresholds, by proximal gradient (accelerated, L1 on
+    the weights).
 
     The likelihood is that of the cumulative logit model, sum of log(s(z - theta_y) -
     s(z - theta_{y+1})), with theta_0 = -inf and theta_{n_grades} = inf.
@@ -80,7 +69,7 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades:
         np.add.at(dt, grades, -dhi)
         np.add.at(dt, grades + 1, -dlo)
         new_w = wv - step_w * np.bincount(cols, values * dz[rows], n_features)
-        new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - step_w * l1, 0)
+        new_w = np.maximum(np.sign(new_w) * np.maximum(np.abs(new_w) - step_w * l1, 0), lowest)
         new_t = np.maximum.accumulate(tv - step_t * dt[1:-1] + np.arange(k) * 1e-9)
         nxt = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         if (new_w - w) @ (wv - new_w) > 0:  # restart when momentum points uphill
@@ -99,61 +88,57 @@ def severity_grades(amount: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic, 1 + (amount > cuts[0]).astype(int) + (amount > cuts[1]).astype(int), 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = 4000, max_vocabulary: int = 20_000, min_rows: int = 5, max_share: float = 0.3, alpha: float = 0.05, l1: float = 0.5) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = 4000, min_rows: int = 5, max_share: float = 0.3, alpha: float = 0.05, l1: float = 0.5) -> OrdinalModel:
     """Learn from labelled rows.
 
-    The fit is on a bounded sample: the ``max_rows`` labelled keys with the smallest hash,
-    and the ``max_vocabulary`` most frequent words that occur in ``min_rows`` of them and
-    in no more than ``max_share``. A word's feature is 1 + ln(count). Words enter by a
-    test at level ``alpha``, and their weights are fitted with a small L1 penalty.
+    The fit is on a bounded sample of whole rows: the ``max_rows`` labelled keys with the
+    smallest hash. Its vocabulary are all words (runs of letters, lower-cased) that occur in
+    ``min_rows`` of the rows and in no more than ``max_share``. A word's feature is 1 +
+    ln(count). Words enter by a test at level ``alpha``; their weights are fitted with a
+    small L1 penalty and are not negative, so no word excuses another.
     Null labels, keys and texts teach nothing; a key with several labels counts as toxic
     if one says so. Without toxic rows, or with an empty table, the model has no weights
-    and calls nothing toxic.
+    and calls nothing toxic. Keys may be of any type that can be ordered.
     """
-    given = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("k")).agg((F.max(label) > 0).alias("y"))
-    picked = {r["k"]: r["y"] for r in given.orderBy(F.xxhash64("k"), "k").limit(max_rows).collect()}
+    given = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("k")).agg((F.max(label) > 0).cast("int").alias("y"))
+    picked = checkpoint(given.orderBy(F.xxhash64("k"), "k").limit(max_rows))
     empty = OrdinalModel({}, [30.0, 31.0, 32.0])
-    if not any(picked.values()):
-        return empty
     # Of copies and near copies in the sample one teaches: rows are told apart by their smallest
     # hash of five words.
     words_of = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SPACES)
     least = let(words_of, lambda w: F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 5, F.lit(0))), lambda i: F.xxhash64(*[F.coalesce(F.get(w, i + j), F.lit("")) for j in range(5)]))))
-    alone = docs.where(F.col(key).isin(list(picked))).select(F.col(key).alias("k"), least.alias("h")).groupBy("h").agg(F.min("k").alias("k"))
-    picked = {r["k"]: picked[r["k"]] for r in alone.collect()}
-    if not any(picked.values()):
-        return empty
-    runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(\p{L}+)"), 1)
-    rows = docs.where(F.col(key).isin(list(picked))).select(F.col(key).alias("k"), F.explode_outer(runs).alias("w")).where("w is not null")
-    counts = checkpoint(rows.groupBy("k", "w").count())
-    most = max(min_rows, max_share * len(picked))
-    spark = docs.sparkSession
-    marks = spark.createDataFrame([(k, int(v)) for k, v in picked.items()], "k long, y int")
-    tally = counts.join(F.broadcast(marks), "k").groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("bad"))
-    vocabulary = tally.where(F.col("n").between(min_rows, most)).orderBy(F.desc("n"), "w").limit(max_vocabulary).collect()
-    if not vocabulary:
+    sample = docs.join(few(picked.withColumnRenamed("k", key)), key)
+    alone = sample.select(F.col(key).alias("k"), "y", least.alias("h")).groupBy("h").agg(F.min(F.struct("k", "y")).alias("x")).select("x.*")
+    alone = checkpoint(alone.groupBy("k").agg(F.max("y").alias("y")))
+    size, toxic = alone.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not toxic:
         return empty
+    runs = F.filter(F.split(letters(F.col(text)), " "), lambda w: w != "")
+    rows = docs.join(few(alone.withColumnRenamed("k", key)), key).select(F.col(key).alias("k"), "y", F.explode(runs).alias("w"))
+    counts = checkpoint(rows.groupBy("k", "y", "w").count())
+    tally = counts.groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("bad"))
+    tally = checkpoint(tally.where(F.col("n").between(min_rows, max(min_rows, max_share * size))))
     # A word is taken if it is in more toxic rows than chance allows: by the Chernoff bound on
     # a binomial tail, at level ``alpha`` over the whole vocabulary. Words that go with clean
     # rows excuse nothing.
-    keys = sorted(picked)
-    y = np.array([picked[k] for k in keys])
-    rows_with, rate = np.array([v["n"] for v in vocabulary], "f8"), y.mean()
-    share = np.array([v["bad"] for v in vocabulary]) / rows_with
-    with np.errstate(divide="ignore", invalid="ignore"):
-        info = np.nan_to_num(share * np.log(share / rate)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - rate)))
-    taken = np.flatnonzero((share > rate) & (rows_with * info > np.log(len(vocabulary) / alpha)))
-    if not len(taken):
+    rate, share = toxic / size, F.col("bad") / F.col("n")
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0) if rate < 1 else F.lit(0.0)
+    surprise = F.col("n") * (share * F.log(share / rate) + rest)
+    taken = tally.where((share > rate) & (surprise > math.log(max(1, tally.count()) / alpha))).select("w")
+    words = sorted(r["w"] for r in taken.collect())  # of a bounded sample, and few of its words
+    if not words:
         return empty
-    words = [vocabulary[i]["w"] for i in taken]
+    spark = docs.sparkSession
     index = spark.createDataFrame(list(enumerate(words)), "i int, w string")
-    found = counts.join(F.broadcast(index), "w").select("k", "i", F.col("count").alias("n")).collect()
-    at = {k: i for i, k in enumerate(keys)}
-    r, c = np.array([at[f["k"]] for f in found]), np.array([f["i"] for f in found])
-    x = 1 + np.log(np.array([f["n"] for f in found], "f8"))
-    grades = severity_grades(np.bincount(r, x, len(keys)), y)
-    w, theta = fit_ordinal(r, c, x, grades, len(words), 4, l1=l1, rounds=1500)
-    return OrdinalModel({word: float(v) for word, v in zip(words, w, strict=True) if v > 0}, theta.tolist())
+    found = counts.join(F.broadcast(index), "w").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("i", "count"))).alias("x"))
+    made = alone.join(found, "k", "left").orderBy("k").select("y", "x").collect()
+    y = np.array([r["y"] for r in made])
+    entries = [(n, e["i"], e["count"]) for n, r in enumerate(made) for e in r["x"] or ()]
+    r, c = (np.array([e[j] for e in entries], "i8") for j in (0, 1))
+    x = 1 + np.log(np.array([e[2] for e in entries], "f8"))
+    grades = severity_grades(np.bincount(r, x, len(y)), y > 0)
+    w, theta = fit_ordinal(r, c, x, grades, len(words), 4, l1=l1, rounds=1500, lowest=0.0)
+    return OrdinalModel({word: float(v) for word, v in zip(words, w, strict=True) if v}, theta.tolist())
 
 
 RESULT = "expected_severity double, grade int, p_toxic double, toxic boolean"
@@ -164,9 +149,9 @@ def score(docs: DataFrame, model: OrdinalModel, *, text: str = "text") -> DataFr
     passed with at least even odds), p_toxic (P(grade >= 1)) and toxic (grade >= 1).
 
     Null and empty texts have no features and get the base rate. Whole texts of any length
-    are read. Columns of these names are replaced; rows, repeated ones too, stay as they are.
+    are read. Columns of these names are replaced, others pass through; rows, repeated ones
+    too, stay as they are. An empty table gives an empty result.
     """
-    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)
@@ -179,4 +164,4 @@ def score(docs: DataFrame, model: OrdinalModel, *, text: str = "text") -> DataFr
 
     names = ("expected_severity", "grade", "p_toxic", "toxic")
     kept = [c for c in docs.columns if c not in names]
-    return docs.select(*kept, predict.asNondeterministic()(F.col(text)).alias("_mr_made")).select(*kept, *[f"_mr_made.{c}" for c in names])
+    return docs.select(*kept, predict.asNondeterministic()(letters(F.col(text))).alias("_mr_made")).select(*kept, *[f"_mr_made.{c}" for c in names])

@@ -9,6 +9,10 @@ from millrace.llm import substring_dedup as sd
 SCHEMA = "doc_id long, text string"
 
 
+def _bytes(text):
+    return (text or "").encode()
+
+
 def brute(docs, length):
     """For each text a mask of the bytes that a repeated window covers."""
     seen = Counter(d[i : i + length] for d in docs for i in range(len(d) - length + 1))
@@ -52,18 +56,44 @@ def test_every_window_has_an_anchor_that_depends_on_the_window_only():
         assert len(own) == 1 and own[0] + i in spots
 
 
-@pytest.mark.parametrize("settings", [{}, {"crowd": 3}, {"max_broadcast": 0, "crowd": 5}])
+@pytest.mark.parametrize("settings", [{}, {"crowd": 3, "hot": 2}, {"hot": 2, "crowd": 5}])
 def test_against_brute_force(spark, settings):
     rows = [(i if i % 7 else None, d) for i, d in enumerate(texts(5))]
     want = Counter()
-    for (k, d), m in zip(rows, brute([sd._bytes(d) for _, d in rows], 200)):
-        b = sd._bytes(d)
+    for (k, d), m in zip(rows, brute([_bytes(d) for _, d in rows], 200)):
+        b = _bytes(d)
         runs = int((np.diff(np.concatenate(([0], m.astype(int), [0]))) == 1).sum())
         want[(k, d, bytes(np.frombuffer(b, "u1")[~m]), len(b), int(m.sum()), runs)] += 1
     got = sd.drop_repeats(spark.createDataFrame(rows, SCHEMA), length=200, **settings)
     assert Counter((r.doc_id, r.text, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in got.collect()) == want
 
 
+def test_grams_at_some_positions():
+    data = np.frombuffer(random.Random(4).randbytes(500), "u1")
+    spots = np.array([0, 3, 99, 436])
+    assert (sd.grams_at(data, spots) == sd.gram_hashes(data)[spots]).all()
+
+
+def test_long_texts_are_scanned_in_stretches(spark, monkeypatch):
+    """Anchors do not depend on where a stretch ends, and a repeat across an end is found."""
+    r = random.Random(8)
+    data = bytes(r.choice(b"abcde") for _ in range(5000))
+    whole = sd.anchors(data, 200)
+    monkeypatch.setattr(sd, "STRETCH", 700)
+    assert all((x == y).all() for x, y in zip(sd.anchors(data, 200), whole, strict=True))
+    monkeypatch.undo()
+    rnd = lambda n: r.randbytes(n // 2).hex()
+    passage, far = rnd(1000), rnd(sd.STRETCH - 500)
+    docs = spark.createDataFrame([(1, far + passage + rnd(3000)), (2, passage), (3, rnd(2000))], SCHEMA)
+    assert {x.doc_id: (x.n_removed, x.n_spans) for x in sd.drop_repeats(docs).collect()} == {1: (1000, 1), 2: (1000, 1), 3: (0, 0)}
+
+
+def test_keys_of_text_and_rows_with_the_same_key(spark):
+    p = random.Random(2).randbytes(300).hex()
+    docs = spark.createDataFrame([("k", "a" * 10 + p), ("k", "bb" + p), ("k", "c"), (None, None)], "doc_id string, text string")
+    assert sorted((x.n_bytes, x.n_removed, bytes(x.kept)) for x in sd.drop_repeats(docs).collect()) == [(0, 0, b""), (1, 0, b"c"), (602, 600, b"bb"), (610, 600, b"a" * 10)]
+
+
 def test_empty_table_and_clashing_names(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert sd.drop_repeats(empty).collect() == []

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from millrace.llm import toxicity
 
@@ -50,3 +51,46 @@ def test_fit_recovers_an_ordinal_model():
     rows, cols = np.nonzero(x)
     w, theta = toxicity.fit_ordinal(rows, cols, x[rows, cols], y, 3, 3, l1=0.0, rounds=3000)
     assert np.abs(w - [2.0, -1.5, 0.0]).max() < 0.25 and np.abs(theta - [0, 1.5]).max() < 0.25
+
+
+def loss(x, y, w, theta, l1):
+    """Penalised negative log likelihood of the cumulative logit model, from its definition."""
+    edge = np.concatenate([[-np.inf], theta, [np.inf]])
+    s = lambda z: 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+    z = x @ w
+    p = s(z - edge[y]) - s(z - edge[y + 1])
+    return -np.log(p).sum() + l1 * np.abs(w).sum()
+
+
+@pytest.mark.parametrize("lowest", [-np.inf, 0.0])
+def test_fit_reaches_what_another_optimiser_finds(lowest):
+    """Coordinate search on the loss itself, from zero weights, ends no lower and at the same place."""
+    r = np.random.default_rng(7)
+    x = (r.random((400, 4)) < 0.4) * (1 + np.log(r.integers(1, 5, (400, 4))))
+    z = x @ np.array([1.5, 0.8, -0.7, 0.0]) + r.logistic(size=400)
+    y = (z > 0.5).astype(int) + (z > 1.5).astype(int) + (z > 3).astype(int)
+    rows, cols = np.nonzero(x)
+    w, theta = toxicity.fit_ordinal(rows, cols, x[rows, cols], y, 4, 4, l1=0.5, rounds=4000, lowest=lowest)
+    at = np.array([0, 0, 0, 0, 0.0, 1.0, 2.0])
+    value = lambda v: loss(x, y, v[:4], v[4:], 0.5) if (np.diff(v[4:]) > 0).all() and (v[:4] >= lowest).all() else np.inf
+    best, step = value(at), 0.5
+    while step > 1e-6:
+        moved = False
+        for i in range(7):
+            for sign in (-1, 1):
+                there = at.copy()
+                there[i] = there[i] + sign * step if i > 3 or abs(there[i]) > step or there[i] * sign >= 0 else 0.0
+                if (v := value(there)) < best:
+                    at, best, moved = there, v, True
+        step = step if moved else step / 2
+    assert loss(x, y, w, theta, 0.5) <= best + 1e-4
+    assert np.abs(np.concatenate([w, theta]) - at).max() < 0.02
+
+
+def test_numbers_are_no_words_and_keys_can_be_text(spark):
+    docs = spark.createDataFrame([(f"k{i}", "scum² ½ 12 schön" if i % 4 == 0 else "fine words") for i in range(80)], "doc_id string, text string")
+    labels = docs.selectExpr("doc_id", "cast(text like 'scum%' as int) as toxic")
+    varied = docs.selectExpr("doc_id", "concat(text, ' ', doc_id, 'x') as text")
+    model = toxicity.fit(varied, labels)
+    assert set(model.weights) == {"scum", "schön"}
+    assert all(r.toxic == r.text.startswith("scum") for r in toxicity.score(varied, model).collect())
