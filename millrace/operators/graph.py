@@ -18,7 +18,7 @@ def components(edges: DataFrame, max_rounds: int = 60, few: int = FEW_EDGES) ->
     Large-star and small-star rounds until nothing changes, each written to the shared
     folder. The number of rounds grows with the logarithm of the longest path. With ``few``
     edges or more, nodes that have very many of them, as the roots of large components do,
-    are joined apart, by broadcast.
+    are joined in parts.
     """
     now = checkpoint(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
 

@@ -60,20 +60,24 @@ def workspace(spark: SparkSession) -> Iterator[str]:
 
 
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n", least: int = 1000, most: int = 1000) -> DataFrame | None:
-    """The ``keys`` of ``counts`` that hold at least ``least`` rows and over one in ``most`` of them
-    all, so there are fewer than ``most``; None if there are none."""
+    """``keys, parts``: the keys of ``counts`` that hold over ``least`` rows and over one in ``most``
+    of them all, so there are fewer than ``most``, and how many parts of such size each makes;
+    None if there are none."""
     total, largest = counts.agg(F.sum(n), F.max(n)).first()
-    limit = max(least - 1, (total or 0) // most)
-    return checkpoint(counts.where(F.col(n) > limit).select(*keys)) if (largest or 0) > limit else None
+    limit = max(least, (total or 0) // most)
+    parts = F.ceil(F.col(n) / limit).cast("int").alias("parts")
+    return checkpoint(counts.where(F.col(n) > limit).select(*keys, parts)) if (largest or 0) > limit else None
 
 
 def hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame | None, how: str = "inner") -> DataFrame:
     """``left.join(right, keys, how)``, with the rows of ``left`` under the ``hot`` keys (of
-    ``hot_keys``) left where they are: what ``right`` has for these keys, a few rows a key, is
-    broadcast. ``how`` is inner, left, left_semi or left_anti; keys are not null."""
+    ``hot_keys``) dealt to parts by a hash of the row, and the rows of ``right`` under them, a
+    few a key, copied to each part. ``how`` is inner, left, left_semi or left_anti."""
     if hot is None:
         return left.join(right, keys, how)
-    few = F.broadcast(hot)
-    apart = left.join(few, keys, "left_semi").join(F.broadcast(right.join(few, keys, "left_semi")), keys, how)
-    rest = left.join(few, keys, "left_anti").join(right.join(few, keys, "left_anti"), keys, how)
-    return apart.unionByName(rest)
+    parts = F.broadcast(hot.withColumnRenamed("parts", "_mr_parts"))
+    hashed = [c for c, kind in left.dtypes if kind.split("<")[0] not in ("map", "variant")]
+    of_row = F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("_mr_parts")).cast("int"), F.lit(0))
+    dealt = left.join(parts, keys, "left").withColumn("_mr_part", of_row).drop("_mr_parts")
+    copied = right.join(parts, keys, "left").withColumn("_mr_part", F.explode(F.sequence(F.lit(0), F.coalesce("_mr_parts", F.lit(1)) - 1))).drop("_mr_parts")
+    return dealt.join(copied, [*keys, "_mr_part"], how).drop("_mr_part")
