@@ -251,11 +251,11 @@ def _cid(left: bytes, right: bytes) -> bytes:
     return hashlib.blake2b(len(left).to_bytes(4, "big") + left + right, digest_size=16).digest()
 
 
-def repeated_spans(rows: DataFrame, *, length: int = 400, crowd: int = 50_000, hot: int = 1000) -> DataFrame:
+def repeated_spans(rows: DataFrame, *, length: int = 400, crowd: int = 2000, hot: int = 1000) -> DataFrame:
     """``a, b, spans``: for rows ``a, b, t`` (a 128-bit id and bytes) with repeated strings the
     byte ranges to remove, as start, end, start, end ..., not yet merged. Rows of equal id
     must have equal bytes; each counts as an occurrence. Grams and contexts that over ``hot``
-    anchors have are joined by broadcast."""
+    anchors have are joined in parts."""
     spark = rows.sparkSession
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -409,7 +409,7 @@ def _without(data: bytes, spans) -> tuple[bytes, int, int]:
 RESULT = "kept binary, n_removed long, n_spans long"
 
 
-def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, crowd: int = 50_000, hot: int = 1000) -> DataFrame:
+def drop_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, crowd: int = 2000, hot: int = 1000) -> DataFrame:
     """``docs`` with ``kept`` (the remaining bytes), n_bytes, n_removed and n_spans (maximal runs).
 
     Texts are UTF-8; every byte covered by a string of ``length`` bytes that also starts
