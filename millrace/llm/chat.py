@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpoint
+from .common import checkpoint, hot_join, hot_keys
 
 #: The marks of the template.
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
 _CONTROL = re.compile(r"\\|###|</turn>|:(?= )")
 _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
-#: One turn: a role without an unescaped ": ", then text up to an unescaped end mark.
-_TURN = re.compile(r"### ((?:[^\\:]|\\[\\#<:]|:(?! ))*): ((?:[^\\<]|\\[\\#<:]|<(?!/turn>))*)</turn>\n", re.S)
+#: What ends a role and a text; an escape pair is stepped over.
+_ROLE_END = re.compile(r"\\(?:\\|###|</turn>|:)|: ")
+_TEXT_END = re.compile(r"\\(?:\\|###|</turn>|:)|</turn>\n")
 
 
 def escape(text: str) -> str:
@@ -52,28 +53,45 @@ def render(turns: list[tuple[str, str]], trained: str = "assistant") -> tuple[st
     return "".join(parts), mask
 
 
+def _until(pattern: re.Pattern, mark: str, formatted: str, at: int) -> int:
+    """Place of the next unescaped ``mark`` from ``at`` on; one match is held at a time."""
+    for m in pattern.finditer(formatted, at):
+        if m[0] == mark:
+            return m.start()
+    raise ValueError(f"no turn at {at}")
+
+
 def parse(formatted: str) -> list[tuple[str, str]]:
     """Turns of a formatted conversation; ValueError if it is not one."""
     turns, at = [], 0
     while at < len(formatted):
-        if (m := _TURN.match(formatted, at)) is None:
+        if not formatted.startswith(OPEN, at):
             raise ValueError(f"no turn at {at}")
-        turns.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
+        colon = _until(_ROLE_END, COLON, formatted, at + len(OPEN))
+        end = _until(_TEXT_END, CLOSE, formatted, colon + len(COLON))
+        turns.append((unescape(formatted[at + len(OPEN) : colon]), unescape(formatted[colon + len(COLON) : end])))
+        at = end + len(CLOSE)
     return turns
 
 
+def _often(rows: DataFrame, key: str, least: int = 1000) -> DataFrame | None:
+    return hot_keys(rows.groupBy(key).agg(F.count("*").alias("n")), [key], least=least)
+
+
 def best_paths(messages: DataFrame, *, top: int = 1, max_rounds: int = 40) -> DataFrame:
     """``root, leaf, rank, node, depth`` for every message on the chosen paths.
 
     ``messages`` has ``node, parent, score`` (parent null or unknown: a root). A path's score
     is the mean of its messages' scores (null counts 0); the ``top`` leaves of each root are
-    chosen by score, then the longer path, then the smallest leaf. Repeated nodes count once.
-    A cycle has no root and raises RuntimeError.
+    chosen by score, then the longer path, then the smallest leaf. Repeated nodes count once,
+    with their smallest parent and largest score. A cycle has no root and raises RuntimeError.
+    Other columns are ignored.
     """
-    rows = messages.groupBy("node").agg(F.min("parent").alias("parent"), F.max(F.coalesce("score", F.lit(0.0))).alias("score"))
+    rows = checkpoint(messages.groupBy("node").agg(F.min("parent").alias("parent"), F.max(F.coalesce("score", F.lit(0.0))).alias("score")))
+    answers, roots = rows.where("parent is not null"), rows.where("parent is null")
     known = rows.select(F.col("node").alias("parent"), F.lit(True).alias("there"))
-    rows = rows.join(known, "parent", "left").select("node", F.when(F.col("there"), F.col("parent")).alias("jump"), "score")
+    answers = hot_join(answers, known, ["parent"], _often(answers, "parent"), "left")
+    rows = answers.unionByName(roots.withColumn("there", F.lit(None).cast("boolean"))).select("node", F.when(F.col("there"), F.col("parent")).alias("jump"), "score")
     now = checkpoint(rows.select("node", "jump", F.col("node").alias("top"), F.col("score").alias("total"), F.lit(1).cast("long").alias("n")))
     inner = now.where("jump is not null").select(F.col("jump").alias("node")).distinct()
     leaves = checkpoint(now.join(inner, "node", "left_anti").select("node"))
@@ -84,7 +102,9 @@ def best_paths(messages: DataFrame, *, top: int = 1, max_rounds: int = 40) -> Da
             break
         tables.append(going.select("node", "jump"))
         far = now.select(F.col("node").alias("jump"), F.col("jump").alias("j2"), F.col("top").alias("t2"), F.col("total").alias("s2"), F.col("n").alias("n2"))
-        further = going.join(far, "jump").select("node", F.col("j2").alias("jump"), F.col("t2").alias("top"), (F.col("total") + F.col("s2")).alias("total"), (F.col("n") + F.col("n2")).alias("n"))
+        # All messages of a large tree meet its root in the end.
+        met = hot_join(going, far, ["jump"], _often(going, "jump"))
+        further = met.select("node", F.col("j2").alias("jump"), F.col("t2").alias("top"), (F.col("total") + F.col("s2")).alias("total"), (F.col("n") + F.col("n2")).alias("n"))
         now = checkpoint(now.where("jump is null").unionByName(further))
     else:
         raise RuntimeError("replies form a cycle")
@@ -106,7 +126,8 @@ def format_conversations(turns: DataFrame, *, by: str = "conv_id", order: str =
 
     A conversation becomes one string, so its turns meet in one task; nothing else does.
     Null roles and texts are empty strings; a null ``by`` is a conversation; ties in ``order``
-    go by role and text.
+    go by role and text. Texts of any length are kept whole, in memory that grows with the
+    conversation. Columns of other names are ignored.
     """
     empty = F.lit("")
     turn = F.struct(order, F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
@@ -140,7 +161,9 @@ def read_back(formatted: DataFrame, *, by: str = "conv_id") -> DataFrame:
 def format_trees(messages: DataFrame, *, top: int = 1, trained: str = "assistant") -> DataFrame:
     """``conv_id, rank, leaf, formatted, loss_mask`` of the ``top`` root-to-leaf paths of every
     tree in ``messages`` (``conv_id, node, parent, role, text, score``), best first. Messages with
-    a null node are left out. An empty table gives an empty result."""
+    a null node are left out; of repeated nodes one row gives the text. A null parent, or one
+    that is not there, makes a root. Texts of any length are kept whole: a path becomes one
+    string, in one task. Extra columns are ignored. An empty table gives an empty result."""
     rows = messages.where("node is not null")
     paths = best_paths(rows, top=top)
     body = rows.dropDuplicates(["node"]).select("node", "conv_id", "role", "text")
@@ -152,7 +175,8 @@ def format_trees(messages: DataFrame, *, top: int = 1, trained: str = "assistant
 def as_trees(conversations: DataFrame) -> DataFrame:
     """Linear conversations (``conv_id, turn, role, text``) as reply trees: each turn answers
     the one before. Nodes are strings of conversation and place; ties in ``turn`` go by role
-    and text. Null ids form a conversation."""
+    and text. Null ids form a conversation. The turns of one conversation are numbered in one
+    task, which its one string needs anyway. Extra columns are left out."""
     w = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     at = conversations.withColumn("_mr_at", F.row_number().over(w))
     name = lambda i: F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), i.cast("string"))

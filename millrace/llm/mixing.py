@@ -1,20 +1,25 @@
 """Interleaving sources at target weights by a Pfair schedule.
 
-The rows of each source are cut into blocks. With weight w the j-th block of a source is
-released at slot floor((j-1)/w) and due by slot ceil(j/w); every slot goes to the released
-block that is due first. So in each prefix of the schedule each source has its target
-share of the slots to within less than one block.
-
-Weights are multiples of 1/period, so the schedule repeats after ``period`` slots. One
-period is worked out on the driver, and the slot of any block follows from its number.
+The rows of each source are cut into blocks. With weight w (the weights add up to 1) the j-th
+block of a source, from 0, is released at slot floor(j / w) and due by slot ceil((j + 1) / w);
+every slot goes to the released block that is due first. So in each prefix of the
+schedule each source has its target share of the slots to within less than one block.
+
+Weights are taken exactly (floats are fractions), and each block is planned, not a period
+that repeats: nothing is rounded, and no deviation builds up. The plan has one row per
+block, made on the driver; where the rows would make more than ``max_blocks`` blocks, blocks
+are made longer, so the plan stays small at any size. Rows only meet it in a join.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Mapping
 from fractions import Fraction
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,92 +27,93 @@ from pyspark.sql.window import Window
 from .common import checkpoint
 
 ADDED = ("block", "release", "deadline", "slot", "position")
+PLAN = ("_mr_source", "block", "release", "deadline", "slot", "_mr_turn")
 
 
-def period_counts(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots per period: largest remainders, at least one each."""
-    if not weights or any(not w > 0 for w in weights.values()):
+def exact_weights(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in proportion to the weights, exactly."""
+    if not weights or any(not 0 < w < float("inf") for w in weights.values()):
         raise ValueError("weights must be positive")
-    if len(weights) > period:
-        raise ValueError("more sources than slots in a period")
-    total, free = sum(weights.values()), period - len(weights)
-    exact = {s: free * w / total for s, w in weights.items()}
-    slots = {s: 1 + int(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[: period - sum(slots.values())]:
-        slots[s] += 1
-    return slots
-
-
-def pfair(slots: dict[str, int], period: int) -> dict[str, list[int]]:
-    """For each source the slots of its blocks in one period. Among equal deadlines the one
-    whose window overlaps the next goes first, then the heavier source, then the name."""
-    window = {s: lambda j, n=n: (j * period // n, -(-(j + 1) * period // n)) for s, n in slots.items()}
-    waiting = [(0, s, 0) for s in slots]
+    parts = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*{p.denominator for p in parts.values()})  # of floats: a power of two
+    return {s: int(p * scale) for s, p in parts.items()}
+
+
+def pfair(weights: Mapping[str, int], blocks: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """``source, block, release, deadline, slot`` of all blocks in the order of their slots.
+
+    ``weights`` are whole numbers. Among equal deadlines the smaller j / w goes first, then the
+    name. Slots of sources that have no blocks left stay free, and the others keep their own.
+    """
+    total = sum(weights.values())
+    waiting = [(0, s, 0) for s, n in blocks.items() if n]
     heapq.heapify(waiting)
     ready: list = []
-    made: dict[str, list[int]] = {s: [] for s in slots}
-    for slot in range(period):
+    made, slot = [], 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            due = window[s](j)[1]
-            overlaps = (j + 1) * period % slots[s] != 0
-            heapq.heappush(ready, (due, not overlaps, -slots[s], s, j))
-        due, _, _, s, j = heapq.heappop(ready)
+            release, s, j = heapq.heappop(waiting)
+            due, over = divmod((j + 1) * total, weights[s])
+            heapq.heappush(ready, (due + (over > 0), Fraction(over, weights[s]) if over else 1, s, j, release))
+        due, _, s, j, release = heapq.heappop(ready)
         if due <= slot:
-            raise RuntimeError("a block is late")  # cannot happen while the weights add up to 1
-        made[s].append(slot)
-        if j + 1 < slots[s]:
-            heapq.heappush(waiting, (max(window[s](j + 1)[0], slot + 1), s, j + 1))
+            raise RuntimeError("a block is late")  # cannot happen: a feasible schedule exists
+        made.append((s, j, release, due, slot))
+        if j + 1 < blocks[s]:
+            heapq.heappush(waiting, (max((j + 1) * total // weights[s], slot + 1), s, j + 1))
+        slot += 1
     return made
 
 
-def smoothed_weights(docs: DataFrame, *, source: str = "source", alpha: float = 0.5, max_sources: int = 100_000) -> dict[str, float]:
-    """Target weights in proportion to count ** alpha. Null is a source, named ``""``."""
-    rows = docs.groupBy(F.coalesce(F.col(source), F.lit("")).alias("s")).count().limit(max_sources + 1).collect()
-    if len(rows) > max_sources:
-        raise ValueError(f"more than {max_sources} sources")
-    return {r["s"]: float(r["count"]) ** alpha for r in rows}
+def smoothed_weights(counts: Mapping[str, int], alpha: float = 0.5) -> dict[str, float]:
+    """Target weights in proportion to count ** alpha."""
+    return {s: float(n) ** alpha for s, n in counts.items()}
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, source: str = "source", key: str = "doc_id", block_rows: int = 32, period: int = 1000, seed: int = 7, bucket_rows: int = 4000, max_broadcast: int = 200_000) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, *, source: str = "source", key: str = "doc_id", block_rows: int = 32, max_blocks: int = 500_000, max_sources: int = 1_000_000, seed: int = 7, bucket_rows: int = 1000, max_broadcast: int = 200_000) -> DataFrame:
     """``docs`` with its place in the mixture; sort by ``position`` to read it in order.
 
-    Within a source rows are shuffled by a hash of ``key`` and ``seed`` (then the key, then
-    the text of the row) and cut into blocks of ``block_rows``; the last block may be
-    short. Adds block (from 0), release and deadline (slots, of the block's Pfair window),
-    slot (one block each), and position = slot * block_rows + place in the block, which is
-    unique and increasing but leaves out the places of blocks that do not exist.
-
-    Every row is kept once. While no source has run out, each has its target share of
-    every prefix to within one block; afterwards the others go on at their own pace in
-    slots. ``weights`` defaults to ``smoothed_weights``. Sources it leaves out raise
-    ValueError. A null source is the source ``""``; null keys and repeated rows are placed
-    like others; an empty table gives an empty result. Columns of the added names are
-    replaced. A source is ranked in hash buckets of about ``bucket_rows`` rows, with the
-    offsets of the buckets from a table of counts, so no task gets a whole source. All
-    sources are planned on the driver, however many there are; a plan of over
-    ``max_broadcast`` slots is joined by shuffle.
+    Within a source rows are shuffled by a hash of the row and ``seed`` (then the key, then
+    the other columns) and cut into blocks of ``block_rows``, or of as many rows as keep the
+    plan at about ``max_blocks`` blocks; the last block of a source may be short. Adds block
+    (from 0), release and deadline (slots, of the block's Pfair window), slot (one block each;
+    slots of sources that have run out stay free), and position, which is unique and
+    increases with the slot: the number of the block in the whole plan, times the rows of a
+    block, plus the place in the block.
+
+    Every row is kept once. While no source has run out, each has its target share of every
+    prefix to within one block; afterwards the others keep their shares among themselves.
+    ``weights`` defaults to ``smoothed_weights``. Sources it leaves out raise ValueError, as
+    do more than ``max_sources`` sources: names, counts and plan are on the driver. A null
+    source is the source ``""``; null keys and repeated rows are placed like others; texts of
+    any length pass through; an empty table gives an empty result. Columns of the added names
+    are replaced, others pass through. A source is ranked in hash buckets of about
+    ``bucket_rows`` rows, with the offsets of the buckets from a table of counts, so no task
+    gets a whole source. A plan of over ``max_broadcast`` blocks is joined by shuffle.
     """
-    kept = [c for c in docs.columns if c not in ADDED]
+    kept = [c for c in docs.columns if c not in ADDED and not c.startswith("_mr_")]
     docs = docs.select(*kept)
-    name, h = F.coalesce(F.col(source), F.lit("")), F.xxhash64(F.col(key), F.lit(seed))
-    counts = {r["s"]: r["count"] for r in docs.groupBy(name.alias("s")).count().collect()}
-    weights = weights or {s: n**0.5 for s, n in counts.items()}
-    if missing := set(counts) - set(weights):
-        raise ValueError(f"no weight for {sorted(missing)[:5]}")
+    spark = docs.sparkSession
+    name = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    found = docs.groupBy(name.alias("s")).count().limit(max_sources + 1).collect()
+    if len(found) > max_sources:
+        raise ValueError(f"more than {max_sources} sources")
+    counts = {r["s"]: r["count"] for r in found}
     if not counts:
         return docs.select(*kept, *[F.lit(0).cast("long").alias(c) for c in ADDED])
-    period = max(period, 10 * len(weights))
-    slots = period_counts(weights, period)
-    exact = {s: Fraction(n, period) for s, n in slots.items()}
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(
-        [(s, slots[s], j, at, int(j / exact[s]), math.ceil((j + 1) / exact[s])) for s, made in pfair(slots, period).items() for j, at in enumerate(made)],
-        "_mr_source string, _mr_n long, _mr_j long, _mr_at long, _mr_release long, _mr_deadline long",
-    )
+    given = weights or smoothed_weights(counts)
+    if missing := set(counts) - set(given):
+        raise ValueError(f"no weight for {sorted(missing)[:5]}")
+    block_rows = max(block_rows, -(-sum(counts.values()) // max_blocks))
+    of_plan = pfair(exact_weights({s: given[s] for s in counts}), {s: -(-n // block_rows) for s, n in counts.items()})
+    frame = pd.DataFrame(of_plan, columns=PLAN[:-1]).assign(_mr_turn=np.arange(len(of_plan)))
+    plan = checkpoint(spark.createDataFrame(frame, "_mr_source string, block long, release long, deadline long, slot long, _mr_turn long"))
+
+    tied = [c for c in [key, *(c for c in kept if c != key)] if dict(docs.dtypes)[c].split("<")[0] not in ("map", "variant")]
     buckets = max(1, -(-max(counts.values()) // bucket_rows))
-    tied = [F.col(c) for c, kind in docs.dtypes if kind.split("<")[0] not in ("map", "variant")]
-    tagged = docs.withColumns({"_mr_source": name, "_mr_h": h})
+    tagged = docs.withColumns({"_mr_source": name, "_mr_h": F.xxhash64(*[F.col(c) for c in tied], F.lit(seed))})
     tagged = tagged.withColumn("_mr_bucket", F.floor((F.col("_mr_h") / F.lit(2.0**64) + 0.5) * buckets).cast("int"))
     sizes = checkpoint(tagged.groupBy("_mr_source", "_mr_bucket").agg(F.count("*").alias("_mr_size")))
     before = F.sum("_mr_size").over(Window.partitionBy("_mr_source").orderBy("_mr_bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -116,13 +122,6 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, source: str
     ranked = tagged.withColumn("_mr_rank", F.row_number().over(order) - 1).join(offsets, ["_mr_source", "_mr_bucket"])
     rank = F.col("_mr_before") + F.col("_mr_rank")
     ranked = ranked.withColumns({"block": F.floor(rank / block_rows), "_mr_in": rank % block_rows})
-    # The plan has one row per slot of a period, and a period ten slots per source at least.
-    side = F.broadcast if period <= max_broadcast else lambda df: df
-    of_source = side(spark.createDataFrame(list(slots.items()), "_mr_source string, _mr_n long"))
-    planned = F.coalesce("_mr_n", F.raise_error(F.lit("a source without a plan")).cast("long"))
-    ranked = ranked.join(of_source, "_mr_source", "left").withColumn("_mr_n", planned)
-    ranked = ranked.withColumns({"_mr_j": F.col("block") % F.col("_mr_n"), "_mr_lap": F.floor(F.col("block") / F.col("_mr_n"))})
-    placed = ranked.join(side(plan.drop("_mr_n")), ["_mr_source", "_mr_j"], "left")
-    lap = F.col("_mr_lap") * period
-    slot = lap + F.col("_mr_at")
-    return placed.select(*kept, "block", (lap + F.col("_mr_release")).alias("release"), (lap + F.col("_mr_deadline")).alias("deadline"), slot.alias("slot"), (slot * block_rows + F.col("_mr_in")).alias("position"))
+    placed = ranked.join(F.broadcast(plan) if len(of_plan) <= max_broadcast else plan, ["_mr_source", "block"], "left")
+    turn = F.coalesce("_mr_turn", F.raise_error(F.lit("a block without a plan")).cast("long"))
+    return placed.select(*kept, "block", "release", "deadline", "slot", (turn * block_rows + F.col("_mr_in")).alias("position"))

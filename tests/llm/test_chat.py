@@ -47,6 +47,31 @@ def test_paths_against_brute_force(spark, top):
     assert {tuple(x) for x in got.collect()} == brute_paths(nodes, top) and got.count() == len(brute_paths(nodes, top))
 
 
+def test_wide_trees_are_joined_in_parts(spark):
+    """One root with thousands of answers, half of them answered again, and rows with lost parents."""
+    nodes = [("root", None, 0.0)] + [(f"a{i:05}", "root", (i % 7) / 7) for i in range(2500)] + [(f"b{i:05}", f"a{i:05}", 1.0) for i in range(1200)] + [(f"c{i:05}", "gone", 1.0) for i in range(1100)]
+    got = chat.best_paths(spark.createDataFrame(nodes, "node string, parent string, score double"), top=2)
+    assert {tuple(x) for x in got.collect()} == brute_paths(nodes, 2)
+
+
+def test_long_texts_are_read_back():
+    import tracemalloc
+
+    turns = [("assistant", "ab: \\ # </turn " * 100_000), ("user", "x" * 3_000_000)]
+    formatted, mask = chat.render(turns)
+    tracemalloc.start()
+    assert chat.parse(formatted) == turns and chat.unescape(formatted[slice(*mask[0])]) == turns[0][1]
+    assert tracemalloc.get_traced_memory()[1] < 12 * len(formatted)
+    tracemalloc.stop()
+
+
+def test_other_columns_and_repeated_nodes(spark):
+    rows = [(1, "a", None, "user", "hi", 0.0, 5, "x"), (1, "b", "a", "assistant", "yes", 1.0, 6, "y"), (1, "b", "a", "assistant", "yes", 1.0, 6, "y"), (1, None, "a", "user", "no", 9.0, 1, "z")]
+    given = spark.createDataFrame(rows, "conv_id long, node string, parent string, role string, text string, score double, rank int, formatted string")
+    got = chat.format_trees(given).collect()
+    assert [(r.conv_id, r.rank, r.leaf, chat.parse(r.formatted)) for r in got] == [(1, 1, "b", [("user", "hi"), ("assistant", "yes")])]
+
+
 def test_cycles_are_refused(spark):
     with pytest.raises(RuntimeError):
         chat.best_paths(spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "node string, parent string, score double"), max_rounds=4).collect()

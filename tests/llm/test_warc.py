@@ -26,7 +26,7 @@ def pages():
     evil = "x\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     return [
         (5, "http://a/ b", "same"), (3, "http://a", "same"), (9, None, "same"), (1, "u", None), (2, "u", ""), (4, "u\r\nX: y", "é" * 9000), (6, "u", evil), (7, "u", evil * 300), (8, "u", "\n\r\n0\r\n\r\n"),
-        (11, "u", "twice"), (11, "u", "twice"), (None, "u", "nobody"), (-3, "u", "negative"),
+        (11, "u", "twice"), (11, "u", "twice"), (12, "u", "long" * 900), (12, "v", "long" * 900), (None, "u", "nobody"), (-3, "u", "negative"),
     ]
 
 
@@ -34,7 +34,7 @@ def pages():
 @pytest.mark.parametrize("limit", [100_000, 0])
 def test_archives_round_trip(spark, compression, limit):
     path = scratch(spark, "warc")
-    marked = warc.mark_revisits(spark.createDataFrame(pages(), SCHEMA), max_broadcast=limit)
+    marked = warc.mark_revisits(spark.createDataFrame(pages(), SCHEMA), max_broadcast=limit, hot=2)
     warc.write_archives(marked.coalesce(2), path, segment=700, chunk=64, compression=compression)
     records = warc.read_records(spark, path)
     got = {(r.page_id, r.uri): r for r in warc.reassemble(records).collect()}
@@ -69,7 +69,7 @@ def test_minimum_size_and_empty_tables(spark):
 def test_damage_is_reported(spark):
     body = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.chunked(b"hello world", 4)
     digest = "sha1:" + warc.payload_digest(b"hello world")
-    row = lambda origin, n, total, block: (f"<urn:page:{origin}:x>", n, total, "response" if n in (None, 1) else "continuation", digest, None, "u", block)
+    row = lambda origin, n, total, block: (f"<urn:page:{origin}:x>", n, total, "response" if n in (None, 1) else "continuation", digest, None, "u", block, None)
     rows = [
         row(1, 2, len(body), body[20:]), row(1, 1, None, body[:20]), row(2, 1, None, body[:20]), row(3, 1, None, body[:20]), row(3, 3, len(body), body[20:]),
         row(4, 1, None, body[:20]), row(4, 2, 999, body[20:]), row(5, None, None, body[:-4]), row(6, None, None, body.replace(b"hell", b"hall")),
@@ -77,3 +77,23 @@ def test_damage_is_reported(spark):
     made = {r.page_id: r.problem for r in warc.reassemble(spark.createDataFrame(rows, warc.RECORD)).collect()}
     assert made[1] is None and all(made[i] for i in (2, 3, 4, 5, 6)) and made[6] == "digest differs"
     assert hashlib.sha1(b"hello world").digest_size == 20
+
+
+def test_revisits_name_a_record_and_other_columns_do_no_harm(spark, tmp_path):
+    given = spark.createDataFrame([(5, "u", "same", 1, "x"), (3, "u", "same", 2, "y"), (None, "u", "same", 3, "z")], "page_id long, url string, html string, refers_to int, block string")
+    warc.write_archives(warc.mark_revisits(given), str(tmp_path / "w"))
+    rows = warc.read_records(spark, str(tmp_path / "w")).collect()
+    ids = {r.origin for r in rows if r.warc_type == "response"}
+    assert len(ids) == 1 and {r.refers for r in rows if r.warc_type == "revisit"} == ids and len(rows) == 3
+
+
+def test_cut_and_malformed_archives_give_what_they_have(spark, tmp_path):
+    given = spark.createDataFrame([(1, "u", "first"), (2, "u", "second " * 300), (3, "u", "third")], SCHEMA)
+    warc.write_archives(warc.mark_revisits(given).coalesce(1).sortWithinPartitions("page_id"), str(tmp_path / "w"), segment=500, compression="none")
+    raw = next((tmp_path / "w").glob("part*")).read_bytes()
+    for n, (damaged, want) in enumerate([(raw[:-40], {1: True, 2: True, 3: False}), (raw[: len(raw) // 2], {1: True, 2: False}), (raw.replace(b"Content-Length: ", b"Content-Length: x", 1), {1: False, 2: True, 3: True}), (b"no archive at all", {None: False})]):
+        folder = tmp_path / f"d{n}"
+        folder.mkdir()
+        (folder / "a.warc").write_bytes(damaged)
+        got = {r.page_id: r.problem is None for r in warc.reassemble(warc.read_records(spark, str(folder))).collect()}
+        assert got == want
