@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, hot_join, hot_keys, row_ids
 
 BLANKS = b" \t\n\x0b\x0c\r"
 #: Bits of a filter that are merged as one row.
@@ -111,10 +111,12 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield done()
 
 
-def twice_seen(docs: DataFrame, *, text: str = "text", min_chars: int = 1, bits_per_line: int = 12, max_bytes: int = 32 << 20, salts: int = 32) -> np.ndarray:
-    """The second filter as bytes. Its size follows the number of lines up to ``max_bytes``,
-    the bound on what goes to the driver and is broadcast. Beyond that it fills up, more
-    lines are suspected and shuffle, and the result stays the same."""
+def twice_seen(docs: DataFrame, *, text: str = "text", min_chars: int = 1, bits_per_line: int = 12, max_bytes: int = 128 << 20, salts: int = 32) -> np.ndarray:
+    """The second filter as bytes. Its size follows the number of lines up to ``max_bytes``
+    (90 million lines at 12 bits), the bound on what is built on the driver and broadcast;
+    what the driver gets is the packed places of its set bits, so as many as lines that
+    repeat. Beyond that it fills up, more lines are suspected and shuffle, and the result
+    stays the same."""
     t = F.col(text)
     n = docs.agg(F.sum(F.coalesce(F.length(t) - F.length(F.translate(t, "\n", "")), F.lit(0)) + 1)).first()[0] or 0
     bits = 1 << min(max(16, int(n * bits_per_line).bit_length()), max_bytes.bit_length() + 2)
@@ -139,34 +141,42 @@ def _suspects(bloom: np.ndarray, digests: list[bytes]) -> list[bytes]:
     return [digests[i] for i in np.flatnonzero(hit)]
 
 
+def _carried(docs: DataFrame, key: str) -> tuple:
+    """The key as Python gets it (never null where it is a number, which pandas would make a
+    float), whether there is one, and its type."""
+    kind = docs.schema[key].dataType.simpleString()
+    k = F.col(key)
+    return F.coalesce(k, F.lit(0).cast(kind)) if kind in ("tinyint", "smallint", "int", "bigint") else k, k.isNotNull(), kind
+
+
 def frequent_keys(docs: DataFrame, *, text: str = "text", key: str = "doc_id", min_docs: int = 10, min_chars: int = 1, **filters) -> DataFrame:
     """``digest, n_docs, first`` of the line keys in at least ``min_docs`` rows; ``first`` is
     the smallest key among those rows. Each task adds up its own suspects before they shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, text=text, min_chars=min_chars, **filters))
+    k, there, kind = _carried(docs, key)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[bytes, list] = {}
         for batch in batches:
-            for t, k in zip(batch["t"], batch["k"], strict=True):
+            for t, k, has in zip(batch["t"], batch["k"], batch["has"], strict=True):
                 for d in _suspects(shared.value, list(_digests(t, min_chars))):
                     if (old := found.get(d)) is None:
-                        found[d] = [1, None if pd.isna(k) else int(k)]
+                        found[d] = [1, k if has else None]
                     else:
                         old[0] += 1
-                        if not pd.isna(k) and (old[1] is None or k < old[1]):
-                            old[1] = int(k)
+                        if has and (old[1] is None or k < old[1]):
+                            old[1] = k
             if len(found) > 300_000:
                 yield _counted(found)
                 found = {}
         yield _counted(found)
 
-    rows = docs.select(F.col(text).alias("t"), F.col(key).cast("long").alias("k")).mapInPandas(count, "digest binary, n long, first long")
-    return rows.groupBy("digest").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first")).where(F.col("n_docs") >= min_docs)
+    def _counted(found: dict) -> pd.DataFrame:
+        made = pd.DataFrame([(d, n, k) for d, (n, k) in found.items()], columns=["digest", "n", "first"]).astype({"n": "i8"})
+        return made.astype({"first": "Int64"}) if kind == "bigint" else made
 
-
-def _counted(found: dict) -> pd.DataFrame:
-    rows = [(d, n, k) for d, (n, k) in found.items()]
-    return pd.DataFrame(rows, columns=["digest", "n", "first"]).astype({"n": "i8", "first": "Int64"})
+    rows = docs.select(F.col(text).alias("t"), k.alias("k"), there.alias("has")).mapInPandas(count, f"digest binary, n long, first {kind}")
+    return rows.groupBy("digest").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first")).where(F.col("n_docs") >= min_docs)
 
 
 def _drop(text, key, firsts: dict, min_chars: int, keep: str) -> tuple[str, int, int]:
@@ -193,32 +203,33 @@ def drop_frequent_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_
     ``keep="none"`` drops them everywhere, ``keep="first"`` leaves the first one in the row
     with the smallest ``key``. Each row counts as one document, repeated rows included.
     Null or empty text is one empty line; its result is ``""``, as it is where every line
-    goes. A null ``key`` never holds the first occurrence. Columns named ``n_lines`` and
-    ``n_dropped`` are replaced. Up to ``max_broadcast`` frequent keys are broadcast; more
-    are joined to the rows they occur in.
+    goes. A null ``key`` never holds the first occurrence; keys may be numbers or text. Columns
+    named ``n_lines`` and ``n_dropped`` are replaced, others pass through. Texts of any
+    length are read whole; an empty table gives an empty result. Up to ``max_broadcast``
+    frequent keys are broadcast; more are joined to the rows they occur in.
     """
     if keep not in ("none", "first"):
         raise ValueError(f"keep: {keep}")
     spark = docs.sparkSession
     frequent = checkpoint(frequent_keys(docs, text=text, key=key, min_docs=min_docs, min_chars=min_chars, **filters))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    t, k = F.col(text), F.col(key).cast("long")
+    t, (k, there, _) = F.col(text), _carried(docs, key)
     if frequent.count() <= max_broadcast:
         firsts = spark.sparkContext.broadcast({bytes(r["digest"]): r["first"] for r in frequent.collect()})
 
         @F.pandas_udf(RESULT)
-        def clean(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-            for ts, ks in batches:
-                yield pd.DataFrame([_drop(x, None if pd.isna(y) else int(y), firsts.value, min_chars, keep) for x, y in zip(ts, ks, strict=True)], columns=["text", "n_lines", "n_dropped"])
+        def clean(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            for ts, ks, has in batches:
+                yield pd.DataFrame([_drop(x, y if h else None, firsts.value, min_chars, keep) for x, y, h in zip(ts, ks, has, strict=True)], columns=["text", "n_lines", "n_dropped"])
 
         # Not deterministic for Spark, or a filter on the result would clean twice.
-        made = docs.select(*kept, clean.asNondeterministic()(t, k).alias("_mr_made"))
+        made = docs.select(*kept, clean.asNondeterministic()(t, k, there).alias("_mr_made"))
     else:
-        made = _joined(docs, kept, t, k, frequent, min_chars, keep)
+        made = _joined(docs, kept, t, k, there, frequent, min_chars, keep)
     return made.select(*[F.col("_mr_made.text").alias(c) if c == text else F.col(c) for c in kept], "_mr_made.n_lines", "_mr_made.n_dropped")
 
 
-def _joined(docs: DataFrame, kept: list[str], t, k, frequent: DataFrame, min_chars: int, keep: str) -> DataFrame:
+def _joined(docs: DataFrame, kept: list[str], t, k, there, frequent: DataFrame, min_chars: int, keep: str) -> DataFrame:
     """The same without a broadcast: rows of equal key and text share one list of their
     frequent lines, found by a join on the digest."""
 
@@ -227,15 +238,17 @@ def _joined(docs: DataFrame, kept: list[str], t, k, frequent: DataFrame, min_cha
         return pd.Series([list(_digests(s, min_chars)) for s in texts])
 
     @F.pandas_udf(RESULT)
-    def clean(ts: pd.Series, ks: pd.Series, found: pd.Series) -> pd.DataFrame:
+    def clean(ts: pd.Series, ks: pd.Series, has: pd.Series, found: pd.Series) -> pd.DataFrame:
         rows = []
-        for x, y, f in zip(ts, ks, found, strict=True):
+        for x, y, h, f in zip(ts, ks, has, found, strict=True):
             firsts = {} if f is None else {bytes(z["digest"]): z["first"] for z in f}
-            rows.append(_drop(x, None if pd.isna(y) else int(y), firsts, min_chars, keep))
+            rows.append(_drop(x, y if h else None, firsts, min_chars, keep))
         return pd.DataFrame(rows, columns=["text", "n_lines", "n_dropped"])
 
-    row = F.sha2(F.concat_ws(":", F.coalesce(k.cast("string"), F.lit("-")), F.coalesce(t, F.lit(""))), 256).alias("_mr_row")
-    lines = docs.select(row, digests(t).alias("d")).distinct().select("_mr_row", F.explode("d").alias("digest"))
-    found = lines.join(frequent.select("digest", "first"), "digest").groupBy("_mr_row").agg(F.collect_list(F.struct("digest", "first")).alias("_mr_found"))
-    wide = docs.select(*kept, row).join(found, "_mr_row", "left")
-    return wide.select(*kept, clean.asNondeterministic()(t, k, F.col("_mr_found")).alias("_mr_made"))
+    a, b = row_ids(k, there, t)
+    row = [a.alias("_mr_a"), b.alias("_mr_b")]
+    lines = docs.select(*row, digests(t).alias("d")).distinct().select("_mr_a", "_mr_b", F.explode("d").alias("digest"))
+    often = hot_keys(frequent.select("digest", F.col("n_docs").alias("n")), ["digest"])
+    found = hot_join(lines, frequent.select("digest", "first"), ["digest"], often).groupBy("_mr_a", "_mr_b").agg(F.collect_list(F.struct("digest", "first")).alias("_mr_found"))
+    wide = docs.select(*kept, *row).join(found, ["_mr_a", "_mr_b"], "left")
+    return wide.select(*kept, clean.asNondeterministic()(t, k, there, F.col("_mr_found")).alias("_mr_made"))

@@ -22,13 +22,12 @@ FROM keyed LEFT JOIN frequent ON k = f GROUP BY doc_id
 DECONTAMINATION = r"""
 WITH d AS (SELECT doc_id AS k, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
 b AS (SELECT item_id AS k, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
-ds AS (SELECT DISTINCT k, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM d WHERE len(w) >= 5
-       UNION SELECT k, 'whole:' || array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
-bs AS (SELECT DISTINCT k, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM b WHERE len(w) >= 5
-       UNION SELECT k, 'whole:' || array_to_string(w, ' ') FROM b WHERE len(w) BETWEEN 1 AND 4),
+bs AS (SELECT DISTINCT k, least(len(w), 5) AS z, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i+least(len(w), 5)-1], ' '))) AS s FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT z FROM bs),
+ds AS (SELECT DISTINCT k, z, unnest(list_transform(range(1, len(w) - z + 2), lambda i: array_to_string(w[i:i+z-1], ' '))) AS s FROM d, sizes WHERE len(w) >= z),
 n AS (SELECT k, count(*) AS q FROM bs GROUP BY 1)
 SELECT ds.k AS doc_id, bs.k AS item_id, q AS n_item_shingles, count(*) AS n_common, count(*) / q AS containment
-FROM ds JOIN bs ON ds.s = bs.s JOIN n ON n.k = bs.k GROUP BY 1, 2, 3 HAVING count(*) / q >= 0.8
+FROM ds JOIN bs ON ds.s = bs.s AND ds.z = bs.z JOIN n ON n.k = bs.k GROUP BY 1, 2, 3 HAVING count(*) / q >= 0.8
 """
 
 QUALITY = rf"""

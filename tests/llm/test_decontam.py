@@ -14,21 +14,24 @@ def words(text):
 
 def grams(text, size=5):
     w = words(text)
-    if not w:
-        return set()
-    return {("whole", *w)} if len(w) < size else {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
 
 
 def brute(docs, items, threshold=0.8):
-    sets = {}
-    for k, t in docs:
-        if k is not None:
-            sets.setdefault(k, set()).update(grams(t))
     tests = {}
     for k, t in items:
-        if k is not None:
-            tests.setdefault(k, set()).update(grams(t))
-    return {(d, i, len(q), len(s & q)) for d, s in sets.items() for i, q in tests.items() if q and len(s & q) / len(q) >= threshold}
+        if k is not None and words(t):
+            n = min(5, len(words(t)))
+            tests.setdefault(k, set()).update(grams(t, n))
+    found = set()
+    for n in range(1, 6):
+        sets = {}
+        for k, t in docs:
+            if k is not None:
+                sets.setdefault(k, set()).update(grams(t, n))
+        for i, q in tests.items():
+            found |= {(d, i, len(q), len(s & q)) for d, s in sets.items() if len(next(iter(q))) == n and len(s & q) / len(q) >= threshold}
+    return found
 
 
 def fixture(seed):
@@ -81,6 +84,19 @@ def test_bins_hold_the_miss_rate():
 def test_dropping_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "one two three four five six", "a"), (2, "clean", "b"), (None, "one two three four five six", "c")], "doc_id long, text string, item string")
     items = spark.createDataFrame([(7, "One two, three four five SIX!")], "item_id long, text string")
-    assert sorted(r.item for r in decontam.drop_contaminated(docs, items).collect()) == ["b", "c"]
+    assert [r.item for r in decontam.drop_contaminated(docs.where("item <> 'a'"), items).collect()] == ["b"]
+    assert sorted(r.item for r in decontam.drop_contaminated(docs, items).collect()) == ["b"]
     assert decontam.contained(docs.limit(0), items).collect() == []
     assert decontam.contained(docs, items.limit(0)).collect() == []
+
+
+def test_short_items_are_found_inside_long_texts(spark):
+    docs = spark.createDataFrame([(1, "so the answer is forty-two, they say " * 2000), (2, "answer forty two is"), (3, "Answer. Is? FORTY two")], SCHEMA)
+    items = spark.createDataFrame([(7, "answer is forty two"), (8, "they")], "item_id long, text string")
+    assert sorted(tuple(r) for r in decontam.contained(docs, items).collect()) == [(1, 7, 1, 1, 1.0), (1, 8, 1, 1, 1.0), (3, 7, 1, 1, 1.0)]
+
+
+def test_rows_of_one_key_are_judged_apart(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six"), (1, "clean"), (None, "clean too"), (2, "")], SCHEMA)
+    items = spark.createDataFrame([(7, "one two three four five six")], "item_id long, text string")
+    assert sorted(r.text for r in decontam.drop_contaminated(docs, items).collect()) == ["", "clean", "clean too"]

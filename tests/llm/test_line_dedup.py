@@ -63,3 +63,12 @@ def test_short_keys_stay_and_empty_tables(spark):
     assert ld.drop_frequent_lines(docs.limit(0)).collect() == []
     with pytest.raises(ValueError):
         ld.drop_frequent_lines(docs, keep="last")
+
+
+def test_keys_can_be_text_or_large_numbers(spark):
+    texts = spark.createDataFrame([(f"k{i:02}", "same\nown") for i in range(11)] + [(None, "same")], "doc_id string, text string")
+    got = {r.doc_id: r.text for r in ld.drop_frequent_lines(texts, keep="first").collect()}
+    assert got == {None: "", "k00": "same\nown"} | {f"k{i:02}": "" for i in range(1, 11)}
+    big = 1 << 60
+    numbers = spark.createDataFrame([(big + i, "same") for i in range(11)] + [(None, "same")], "doc_id long, text string")
+    assert {r.doc_id for r in ld.drop_frequent_lines(numbers, keep="first").where("text = 'same'").collect()} == {big}
