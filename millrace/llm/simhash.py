@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from millrace.operators.graph import components
 
-from .common import checkpoint, few, hot_join, hot_keys
+from .common import checkpoint, few, hot_join, hot_keys, row_ids
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -155,38 +155,42 @@ def _pairs_within(x: str, y: str, similarity: float):
     return F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos")) >= overlap
 
 
-def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, sample: int = 8_000_000, rounds: int = 4, dense: int = 20, crowd: int = 1000) -> DataFrame:
-    """``key, text_hash, group, first``: every row with a key, the smallest key of its
-    near-duplicate group, and whether it is (a copy of) the row that stands for the group.
+def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, radius: int = 2, sample: int = 8_000_000, rounds: int = 4, dense: int = 20, least_gain: float = 0.005, crowd: int = 1000) -> DataFrame:
+    """``row_a, row_b, key, group, first``: every row with a 128-bit hash of its key and text, the
+    key of the row that stands for its near-duplicate group (the smallest, nulls last), and
+    whether it is that row (or repeats it).
 
     Equal sets of ``shingle``-word shingles are one class (texts without a word are one).
     Classes are linked if the Jaccard similarity of their sets is at least ``similarity``,
-    computed exactly, and groups are the connected components of all links. Candidates
-    come from prefix filtering, which is complete: shingles are put in one order, rare
-    ones first, and two similar sets have a shingle in common among the first
-    n - similarity * n + 1 of both. The order counts shingles in about ``sample`` of them;
-    it has no bearing on the result.
-
-    In up to ``rounds`` rounds the classes under a shingle are compared with one of them,
-    and what is linked is one component, whose members need not be compared with each
-    other; rounds end early when at most ``dense`` pairs per class are left. Then all pairs
-    of different components are compared, shingles of over ``crowd`` classes in parts.
-    Rows with a null key are left out. An empty table gives an empty result.
+    computed exactly, and groups are the connected components of all links.
+
+    The first candidates are classes whose SimHash fingerprints differ in at most ``radius``
+    bits, by multi-index hashing. A fingerprint does not imply the similarity, nor the other way
+    round, so prefix filtering completes them: shingles are put in one order, rare ones
+    first, and two similar sets have a shingle in common among the first n - similarity * n +
+    1 of both. The order counts shingles in about ``sample`` of them, without bearing on the result.
+
+    What is linked is one component, whose members need not be compared with each other.
+    While over ``dense`` pairs per class are left, in up to ``rounds`` rounds the classes under a
+    shingle are compared with one of them; rounds that link under ``least_gain`` of the
+    classes are the last. Then all pairs of different components are compared, shingles of
+    over ``crowd`` classes in parts. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     t = F.col(text)
     chars = docs.agg(F.sum(F.length(t))).first()[0] or 0
     share = min(1.0, sample * 6 / max(1, chars))
 
-    @F.pandas_udf("cls binary, some array<bigint>")
+    @F.pandas_udf("cls binary, fp long, some array<bigint>")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            classes, some = [], []
+            classes, prints, some = [], [], []
             for x in texts:
                 s = np.unique(shingle_hashes(x, shingle))
                 classes.append(xxhash.xxh3_128_digest(s.tobytes()))
+                prints.append(fingerprint(s))
                 some.append(s.view("i8") if int.from_bytes(classes[-1][:4], "big") < share * 2**32 else None)
-            yield pd.DataFrame({"cls": classes, "some": some})
+            yield pd.DataFrame({"cls": classes, "fp": np.array(prints, "u8").view("i8"), "some": some})
 
     @F.pandas_udf("binary")
     def shingles(texts: pd.Series) -> pd.Series:
@@ -201,10 +205,12 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
 
         return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="f8")
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(t).alias("th"), t.alias("t"))
-    made = checkpoint(rows.select("k", "th", digest("t").alias("x")).select("k", "th", "x.*"))
-    grouped = made.groupBy("cls").agg(F.min(F.struct("k", "th")).alias("rep"), F.first("some").alias("some"))
-    classes = checkpoint(grouped.select(F.monotonically_increasing_id().alias("node"), "cls", "rep.*", "some"))
+    row_a, row_b = row_ids(F.col(key), t)
+    rows = docs.select(row_a.alias("ra"), row_b.alias("rb"), F.col(key).alias("k"), t.alias("t"))
+    made = checkpoint(rows.select("ra", "rb", "k", digest("t").alias("x")).select("ra", "rb", "k", "x.*"))
+    place = F.struct(F.col("k").isNull().alias("none"), "k", "ra", "rb")
+    grouped = made.groupBy("cls").agg(F.min(place).alias("rep"), F.first("fp").alias("fp"), F.first("some").alias("some"), F.count("*").alias("copies"))
+    classes = checkpoint(grouped.select(F.monotonically_increasing_id().alias("node"), "cls", "rep", "rep.ra", "rep.rb", "fp", "some", "copies"))
     often = classes.select(F.explode("some").alias("h")).groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(500_000).toPandas()
     often = often.assign(h=often["h"].to_numpy("i8").view("u8")).sort_values("h")
     counted = spark.sparkContext.broadcast((often["h"].to_numpy("u8"), often["count"].to_numpy("i8")))
@@ -226,18 +232,11 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
 
     def of_nodes(nodes: DataFrame) -> DataFrame:
         """``node, t`` of the texts that stand for the nodes; equal rows can repeat."""
-        return rows.join(few(nodes.select("node", "k", "th"), 1_000_000), ["k", "th"]).select("node", "t")
-
-    short = checkpoint(of_nodes(classes).select("node", prefixes("t").alias("x")).select("node", "x.*"))
-    keys = short.select("node", "n", F.posexplode("prefix").alias("pos", "h"))
-    shared = short.select("node", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    keys = checkpoint(keys.join(shared.where("low <> high").select("h"), "h"))
-    if made.groupBy("k", "th").count().where("count > 1").limit(1).count():
-        keys = checkpoint(keys.distinct())
+        return rows.join(few(nodes.select("node", "ra", "rb"), 1_000_000), ["ra", "rb"]).select("node", "t")
 
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        chosen = of_nodes(classes.join(wanted, "node", "left_semi"))
+        chosen = of_nodes(checkpoint(classes.select("node", "ra", "rb").join(few(wanted), "node", "left_semi")))
         sets = checkpoint(chosen.select("node", shingles("t").alias("s")).dropDuplicates(["node"]))
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
         return checkpoint(both.where(jaccard("sa", "sb") >= similarity).select("a", "b"))
@@ -245,14 +244,27 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
-    edges = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
+    def rooted(keys: DataFrame) -> DataFrame:
+        return keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    # Fingerprints: classes of the same one meet the first of them, and so do those of linked ones.
+    heads = checkpoint(classes.groupBy("fp").agg(F.min("node").alias("head")))
+    same = classes.select("fp", "node").join(heads, "fp").where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
+    near = links(heads.select("fp"), radius=radius)
+    near = near.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
+    edges = verified(checkpoint(same.unionByName(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))))
+    roots = checkpoint(components(edges))
+
+    single = checkpoint(of_nodes(classes).select("node", prefixes("t").alias("x")).select("node", "x.*"))
+    short = single.dropDuplicates(["node"]) if not made.groupBy("ra", "rb").count().where("count > 1").isEmpty() else single
+    shared = short.select("node", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    keys = checkpoint(short.select("node", "n", F.posexplode("prefix").alias("pos", "h")).join(shared.where("low <> high").select("h"), "h"))
     n_classes = classes.count()
     for n in range(rounds):
-        left = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        left = rooted(keys)
         mixed = left.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
         keys = checkpoint(left.join(mixed, "h", "left_semi").drop("root"))
-        left = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        left = rooted(keys)
         of_root = left.groupBy("h", "root").agg(F.count("*").cast("double").alias("m"))
         of_key = of_root.groupBy("h").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"))
         open_pairs = of_key.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
@@ -266,8 +278,10 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
         found = verified(checkpoint(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
         edges = edges.unionByName(found)
         roots = checkpoint(components(edges))
+        if found.count() < least_gain * n_classes:
+            break
     # The smaller set of a pair meets the larger one in a prefix that is shorter still.
-    left = checkpoint(keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    left = checkpoint(rooted(keys))
     parts = left.groupBy("h").agg(F.ceil(F.count("*") / crowd).cast("int").alias("parts"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     left = left.join(parts.select("h", "parts"), "h")
     me = F.struct("node", "n", "pos", "root")
@@ -278,20 +292,24 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     close = index.alias("i").join(probe.alias("p"), (F.col("i.h") == F.col("p.h")) & (F.col("i.part") == F.col("p.part")) & (F.col("x.root") != F.col("y.root")) & smaller & _pairs_within("x", "y", similarity))
     edges = edges.unionByName(verified(checkpoint(ordered(close).distinct())))
     roots = checkpoint(components(edges))
-    whole = classes.select("node", "cls", "k", "th").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    firsts = whole.groupBy("root").agg(F.min(F.struct("k", "th")).alias("best"))
-    named = checkpoint(whole.select("cls", "root").join(firsts, "root").select("cls", "best"))
-    first = (F.col("k") == F.col("best.k")) & (F.col("th") == F.col("best.th"))
-    return made.select("k", "th", "cls").join(named, "cls").select(F.col("k").alias(key), F.col("th").alias("text_hash"), F.col("best.k").alias("group"), first.alias("first"))
+    whole = rooted(classes.select("node", "cls", "rep", "copies"))
+    firsts = whole.groupBy("root").agg(F.min("rep").alias("best"))
+    named = checkpoint(whole.select("cls", "root", "copies").join(firsts, "root").select("cls", "best", "copies"))
+    first = (F.col("ra") == F.col("best.ra")) & (F.col("rb") == F.col("best.rb"))
+    in_groups = hot_join(made.select("ra", "rb", "k", "cls"), named.drop("copies"), ["cls"], hot_keys(named, ["cls"], "copies"))
+    return in_groups.select(F.col("ra").alias("row_a"), F.col("rb").alias("row_b"), F.col("k").alias(key), F.col("best.k").alias("group"), first.alias("first"))
 
 
 def drop_near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
     """``docs`` without all but one row of each group of ``near_copies``: the row with the
-    smallest key stays. Of equal rows one stays; rows with a null key all stay. Rows of the
-    same key with different texts are different rows."""
-    named = checkpoint(near_copies(docs, text=text, key=key, **settings).withColumnRenamed("text_hash", "_mr_hash"))
-    row = [key, "_mr_hash"]
-    tagged = docs.withColumn("_mr_hash", F.xxhash64(text))
+    smallest key stays, one without a key if none has one. Of equal rows one stays. Rows of
+    the same key with different texts are different rows. Null and empty texts are one group;
+    texts of any length are compared whole; all columns pass through, whatever their names;
+    an empty table gives an empty result."""
+    named = checkpoint(near_copies(docs, text=text, key=key, **settings).select(F.col("row_a").alias("_mr_a"), F.col("row_b").alias("_mr_b"), "first"))
+    row = ["_mr_a", "_mr_b"]
+    a, b = row_ids(F.col(key), F.col(text))
+    tagged = docs.withColumns({"_mr_a": a, "_mr_b": b})
     kept = tagged.join(few(checkpoint(named.where(~F.col("first")).select(*row).distinct())), row, "left_anti")
     again = checkpoint(named.where("first").groupBy(*row).count().where("count > 1").select(*row))
     if again.isEmpty():

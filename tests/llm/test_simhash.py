@@ -85,7 +85,7 @@ def test_near_copies_go_and_clean_documents_stay(spark):
     first = text()
     copy = first.split()
     copy[50] = "changed"
-    rows = [(1, first), (2, " ".join(copy)), (3, first), (4, text()), (5, text()), (6, None), (None, first), (7, ""), (8, "short one"), (8, "short one")]
+    rows = [(1, first), (2, " ".join(copy)), (3, first), (4, text()), (5, text()), (6, None), (None, first), (None, "only here"), (7, ""), (8, "short one"), (8, "short one")]
     docs = spark.createDataFrame([(*x, "clash") for x in rows], "doc_id long, text string, fp string")
     got = sorted((x.doc_id is None, x.doc_id, x.fp) for x in sh.drop_near_copies(docs).collect())
     assert got == [(False, 1, "clash"), (False, 4, "clash"), (False, 5, "clash"), (False, 6, "clash"), (False, 8, "clash"), (True, None, "clash")]
@@ -113,7 +113,7 @@ def brute_kept(texts):
 
 @pytest.mark.parametrize("settings", [{}, {"dense": 0, "crowd": 10, "sample": 5000}, {"rounds": 0, "sample": 1}])
 def test_near_copies_under_crowded_keys(spark, settings):
-    """Pages of shared wording that are not near-duplicates of each other, and copies of some."""
+    """Recall is 1.0: pages of shared wording that are not near-duplicates of each other, and copies of some."""
     r = random.Random(3)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
     frame, texts = [word() for _ in range(300)], []
