@@ -14,6 +14,16 @@ def test_the_rest_works_without_the_corpus_operators(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True)
 
 
+def test_another_missing_module_is_an_error(tmp_path):
+    shutil.copytree(ROOT / "millrace", tmp_path / "millrace", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    (tmp_path / "millrace" / "llm").mkdir()
+    (tmp_path / "millrace" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "millrace" / "llm" / "queries.py").write_text("import a_module_that_is_not_there")
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert done.returncode and "a_module_that_is_not_there" in done.stderr
+
+
 def test_nothing_else_imports_the_corpus_operators():
     for path in (ROOT / "millrace").rglob("*.py"):
         if "llm" not in path.parts:
