@@ -24,7 +24,7 @@ from .common import checkpoint, few, hot_join, hot_keys, row_ids
 #: Upper ends of the size partitions are powers of this.
 STEP = 2
 #: Size partitions there are; the last one has no upper end that a text could reach.
-PARTITIONS = 40
+PARTITIONS = 24
 #: This many bits stand for a bin per hash, taken where bins would drop under a tenth.
 MOST_BITS = 60
 #: Rows of a key table that are broadcast; more are joined by shuffle.
