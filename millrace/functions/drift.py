@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.sources.scratch import checkpoint
+
+from . import values
+
 
 def long_form(df: DataFrame, columns: Sequence[str], by: str = "source", first: str = "train") -> DataFrame:
     """``column_name, value, expected``: one row per non-null cell, expected telling the split."""
@@ -34,23 +38,24 @@ def psi_table(long: DataFrame, n_bins: int = 10) -> DataFrame:
     return filled.groupBy("column_name").agg(F.coalesce(F.sum(F.when(defined, term)), F.lit(0.0)).alias("psi"))
 
 
-def ks_table(long: DataFrame, ranges: int = 64) -> DataFrame:
+def ks_table(long: DataFrame, most_values: int = values.MOST_VALUES) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per column and its asymptotic p-value.
 
-    Counts are added up per distinct value first. The running sums are made in two levels: per
-    range of the values, and over the table of ranges, so that no task gets a whole column.
+    Counts are added up per distinct value first. Beyond ``most_values`` of them the running sums
+    are made in two levels, in as many ranges as there are shuffle partitions, so that no
+    task gets a whole column.
     """
-    counts = long.groupBy("column_name", "value").agg(F.count_if("expected").alias("e"), F.count_if(~F.col("expected")).alias("a"))
-    cuts = long.groupBy("column_name").agg(F.percentile_approx("value", [i / ranges for i in range(1, ranges)], 1000).alias("cuts"))
-    tagged = counts.join(F.broadcast(cuts), "column_name").withColumn("range", F.size(F.filter("cuts", lambda x: x < F.col("value")))).drop("cuts")
-    sums = tagged.groupBy("column_name", "range").agg(F.sum("e").alias("se"), F.sum("a").alias("sa"))
-    before = Window.partitionBy("column_name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("column_name")
-    offsets = sums.select("column_name", "range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"o{c}") for c in ("se", "sa")], F.sum("se").over(whole).alias("n_e"), F.sum("sa").over(whole).alias("n_a"))
-    within = Window.partitionBy("column_name", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = tagged.select("column_name", "range", F.sum("e").over(within).alias("ce"), F.sum("a").over(within).alias("ca")).join(F.broadcast(offsets), ["column_name", "range"])
-    gap = F.abs((F.col("ose") + F.col("ce")) / F.col("n_e") - (F.col("osa") + F.col("ca")) / F.col("n_a"))
-    table = running.groupBy("column_name").agg(F.max(F.when((F.col("n_e") > 0) & (F.col("n_a") > 0), gap)).alias("ks"), F.first("n_e").alias("n_e"), F.first("n_a").alias("n_a"))
+    counts = checkpoint(long.groupBy("column_name", "value").agg(F.count_if("expected").alias("e"), F.count_if(~F.col("expected")).alias("a")))
+    sums = F.broadcast(counts.groupBy("column_name").agg(F.sum("e").alias("n_e"), F.sum("a").alias("n_a")))  # a row per column
+    many = counts.count() > most_values
+    both = [values.running(counts, c, many, value="value").select("column_name", "value", F.col("upto").alias(f"c{c}")) for c in ("e", "a")] if many else None
+    if both:
+        summed = both[0].join(both[1], ["column_name", "value"])
+    else:
+        upto = Window.partitionBy("column_name").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = counts.select("column_name", F.sum("e").over(upto).alias("ce"), F.sum("a").over(upto).alias("ca"))
+    gap = F.abs(F.col("ce") / F.col("n_e") - F.col("ca") / F.col("n_a"))
+    table = summed.join(sums, "column_name").groupBy("column_name").agg(F.max(F.when((F.col("n_e") > 0) & (F.col("n_a") > 0), gap)).alias("ks"), F.first("n_e").alias("n_e"), F.first("n_a").alias("n_a"))
     return table.select("column_name", "ks", ks_pvalue(F.col("ks"), F.col("n_e"), F.col("n_a")).alias("p_value"))
 
 
@@ -123,6 +128,6 @@ def time_halves(df: DataFrame, ts: str) -> DataFrame:
     """``df`` with ``source``: train up to the median time, test after it. Rows on the median
     are train, null times have no half."""
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    middle = df.agg(F.percentile(at, F.lit(0.5)).alias("_middle"))
+    middle = values.quantiles(df.select(at.alias("at")), ["at"], [0.5]).select(F.col("q0").alias("_middle"))  # one row
     half = F.when(at > F.col("_middle"), "test").when(at.isNotNull(), "train")
     return df.crossJoin(F.broadcast(middle)).withColumn("source", half).drop("_middle")

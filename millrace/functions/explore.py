@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import values
+from .values import quoted
+
 
 def unpivot_row(row: DataFrame, names: Sequence[str], fields: Sequence[str], label: str = "column") -> DataFrame:
     """One row with columns ``<i>_<field>`` for the i-th name becomes a row per name."""
@@ -18,7 +20,7 @@ def unpivot_row(row: DataFrame, names: Sequence[str], fields: Sequence[str], lab
 
 def per_column(df: DataFrame, columns: Sequence[str], facts: dict[str, object], by: Sequence[str] = (), label: str = "column") -> DataFrame:
     """All facts (name -> function of a column name) of all columns in one aggregation."""
-    aggs = [fact(c).alias(f"{i}_{name}") for i, c in enumerate(columns) for name, fact in facts.items()]
+    aggs = [fact(quoted(c)).alias(f"{i}_{name}") for i, c in enumerate(columns) for name, fact in facts.items()]
     row = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     parts = F.array(*[F.struct(F.lit(c).alias(label), *[F.col(f"{i}_{f}").alias(f) for f in facts]) for i, c in enumerate(columns)])
     return row.select(*by, F.explode(parts).alias("_x")).select(*by, "_x.*")
@@ -80,20 +82,21 @@ def month_trunc(df: DataFrame, ts: str) -> DataFrame:
     return df.groupBy(F.date_trunc("month", ts).cast("date").alias("month")).agg(F.count("*").alias("n")).orderBy("month")
 
 
-def id_likeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def id_likeness(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> DataFrame:
     """Uniqueness in percent per column: above 90 an identifier, below 10 a category."""
-    facts = {"n_distinct": F.countDistinct, "n_total": F.count, "min_value": lambda c: F.min(c).cast("double"), "max_value": lambda c: F.max(c).cast("double")}
-    table = per_column(df, columns, facts, label="column_name")
+    facts = {"n_total": F.count, "min_value": lambda c: F.min(c).cast("double"), "max_value": lambda c: F.max(c).cast("double")}
+    table = per_column(df, columns, facts, label="column_name").join(F.broadcast(values.distinct_counts(df, columns, exact=exact)), "column_name")
     pct = F.round(F.col("n_distinct") * 100.0 / F.col("n_total"), 4)
-    return table.withColumn("uniqueness_pct", pct).withColumn("kind", F.when(pct > 90, "id").when(pct < 10, "categorical").otherwise("mixed"))
+    return table.select("column_name", "n_distinct", *facts, pct.alias("uniqueness_pct"), F.when(pct > 90, "id").when(pct < 10, "categorical").otherwise("mixed").alias("kind"))
 
 
-def distribution_shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    q = lambda x: lambda c: F.percentile(c, F.lit(x))
-    facts = {"min_value": lambda c: F.min(c).cast("double"), "q25": q(0.25), "median": q(0.5), "q75": q(0.75), "max_value": lambda c: F.max(c).cast("double"), "mean": F.avg, "std": F.stddev_samp}
-    table = per_column(df, columns, facts, label="column_name")
-    skew = F.when(F.col("mean") > 1.5 * F.col("median"), "right").when(F.col("mean") < 0.67 * F.col("median"), "left").otherwise("symmetric")
-    return table.select("column_name", *[F.round(f, 4).alias(f) for f in facts], skew.alias("skew"))
+def distribution_shape(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> DataFrame:
+    """Range, quartiles, mean and deviation; a mean of over 1.5 medians is skewed right."""
+    facts = {"min_value": lambda c: F.min(c).cast("double"), "max_value": lambda c: F.max(c).cast("double"), "mean": lambda c: F.avg(F.col(c).cast("double")), "std": F.stddev_samp}
+    cuts = values.quantiles(df, columns, (0.25, 0.5, 0.75), exact=exact).select("column_name", F.col("q0").alias("q25"), F.col("q1").alias("median"), F.col("q2").alias("q75"))
+    table = per_column(df, columns, facts, label="column_name").join(F.broadcast(cuts), "column_name")
+    skew = F.when(F.col("mean") > 1.5 * F.col("median"), "SKEWED_RIGHT").otherwise("SYMMETRIC")
+    return table.select("column_name", *[F.round(f, 4).alias(f) for f in ("min_value", "q25", "median", "q75", "max_value", "mean", "std")], skew.alias("distribution_shape"))
 
 
 def distinct_per_source(df: DataFrame, column: str, by: str = "source") -> DataFrame:
@@ -121,16 +124,26 @@ def problem_values(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).withColumn("issue", issue).where("issue <> 'OK'")
 
 
-def log_candidates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Which numeric columns gain from a logarithm, from uniqueness, spread and skew."""
-    q = lambda x: lambda c: F.percentile(c, F.lit(x))
-    facts = {"n_distinct": F.countDistinct, "n_total": F.count, "min_value": lambda c: F.min(c).cast("double"), "max_value": lambda c: F.max(c).cast("double"), "median": q(0.5), "mean": lambda c: F.avg(F.col(c).cast("double"))}
-    table = per_column(df, columns, facts, label="column_name")
-    table = table.withColumn("uniqueness_pct", F.round(F.col("n_distinct") * 100.0 / F.col("n_total"), 4))
-    table = table.withColumn("range_ratio", F.round(F.col("max_value") / F.nullif(F.col("min_value"), F.lit(0.0)), 4))
-    table = table.withColumn("skew", F.when(F.col("mean") > 1.5 * F.col("median"), "right").when(F.col("mean") < 0.67 * F.col("median"), "left").otherwise("symmetric"))
-    decision = F.when(F.col("uniqueness_pct") > 50, "NO_ID").when(F.col("n_distinct") < 100, "NO_CATEGORICAL").when(F.col("skew") == "symmetric", "NO_SYMMETRIC").when(F.col("range_ratio") < 10, "NO_RANGE").otherwise("YES")
-    return table.select("column_name", "n_distinct", "uniqueness_pct", "range_ratio", "skew", decision.alias("decision"))
+def log_candidates(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> DataFrame:
+    """Which numeric columns gain from a logarithm, from uniqueness, spread and skew: those that
+    do first, then by uniqueness."""
+    facts = {"n_total": lambda c: F.count("*"), "min_value": lambda c: F.min(c).cast("double"), "max_value": lambda c: F.max(c).cast("double"), "mean": lambda c: F.avg(F.col(c).cast("double"))}
+    table = per_column(df, columns, facts, label="column_name").join(F.broadcast(values.distinct_counts(df, columns, exact=exact)), "column_name")
+    table = table.join(F.broadcast(values.quantiles(df, columns, (0.5,), exact=exact).withColumnRenamed("q0", "median")), "column_name")
+    table = table.withColumn("uniqueness_pct", F.round(F.col("n_distinct") * 100.0 / F.col("n_total"), 2))
+    table = table.withColumn("range_ratio", F.round(F.col("max_value") / F.nullif(F.col("min_value"), F.lit(0.0)), 2))
+    shape = F.when(F.col("mean") > 1.5 * F.col("median"), "SKEWED_RIGHT").when(F.col("mean") < 0.5 * F.col("median"), "SKEWED_LEFT").otherwise("SYMMETRIC")
+    table = table.withColumn("distribution_shape", shape)
+    decision = (
+        F.when(F.col("uniqueness_pct") > 50, "NO: ID (high uniqueness)")
+        .when(F.col("n_distinct") < 100, "NO: CATEGORICAL (low unique count)")
+        .when(F.col("distribution_shape") == "SYMMETRIC", "NO: symmetric distribution")
+        .when(F.col("range_ratio") < 10, "NO: narrow range")
+        .otherwise("YES: log transform candidate")
+    )
+    table = table.withColumn("log_transform_decision", decision)
+    first = F.when(F.col("log_transform_decision").startswith("YES"), 1).otherwise(2)
+    return table.orderBy(first, F.desc("uniqueness_pct"), "column_name").select("column_name", "n_distinct", "uniqueness_pct", "range_ratio", "distribution_shape", "log_transform_decision")
 
 
 def class_share(df: DataFrame, column: str) -> DataFrame:
@@ -141,7 +154,3 @@ def class_share(df: DataFrame, column: str) -> DataFrame:
 
 def hour_histogram(df: DataFrame, ts: str) -> DataFrame:
     return df.where(F.col(ts).isNotNull()).groupBy(F.hour(ts).alias("hour")).agg(F.count("*").alias("n")).orderBy("hour")
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

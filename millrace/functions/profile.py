@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from . import values
 from .explore import per_column
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -25,18 +26,19 @@ def _pct(part: Column, whole: Column, digits: int = 4) -> Column:
     return F.round(F.when(whole == 0, 0.0).otherwise(100.0 * part / whole), digits)
 
 
-def schema_table(df: DataFrame) -> DataFrame:
-    facts = {"n_null": lambda c: F.count_if(F.col(c).isNull()), "pct_null": lambda c: _pct(F.count_if(F.col(c).isNull()), F.count("*")), "n_distinct": F.countDistinct}
+def schema_table(df: DataFrame, *, exact: bool = True) -> DataFrame:
+    facts = {"n_null": lambda c: F.count_if(F.col(c).isNull()), "pct_null": lambda c: _pct(F.count_if(F.col(c).isNull()), F.count("*"))}
     types = F.create_map(*[x for f in df.schema for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
-    return per_column(df, df.columns, facts, label="column_name").withColumn("dtype", types[F.col("column_name")]).orderBy(F.desc("pct_null"), F.desc("n_distinct"), "column_name")
+    table = per_column(df, df.columns, facts, label="column_name").join(F.broadcast(values.distinct_counts(df, df.columns, exact=exact)), "column_name")
+    return table.withColumn("dtype", types[F.col("column_name")]).orderBy(F.desc("pct_null"), F.desc("n_distinct"), "column_name")
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    facts: dict[str, object] = {"count": F.count, "mean": lambda c: F.avg(F.col(c).cast("double")), "std": F.stddev_samp, "min": lambda c: F.min(c).cast("double")}
-    facts |= {f"p{round(100 * x)}": (lambda c, x=x: F.percentile(c, F.lit(x))) for x in percentiles}
-    facts |= {"max": lambda c: F.max(c).cast("double")}
-    table = per_column(df, columns, facts, label="column_name")
-    return table.select("column_name", "count", *[F.round(f, 4).alias(f) for f in facts if f != "count"])
+def describe_numeric(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75), *, exact: bool = True) -> DataFrame:
+    facts: dict[str, object] = {"count": F.count, "mean": lambda c: F.avg(F.col(c).cast("double")), "std": F.stddev_samp, "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double")}
+    names = [f"p{round(100 * x)}" for x in percentiles]
+    cuts = values.quantiles(df, columns, percentiles, exact=exact).toDF("column_name", *names)
+    table = per_column(df, columns, facts, label="column_name").join(F.broadcast(cuts), "column_name")
+    return table.select("column_name", "count", *[F.round(f, 4).alias(f) for f in ("mean", "std", "min", *names, "max")])
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,7 +64,7 @@ def basic_stats(df: DataFrame, columns: Sequence[str] | None = None, *, metrics:
     With ``max_distinct`` columns of more distinct values are left out."""
     columns = list(columns or numeric_columns(df))
     if max_distinct is not None and columns:
-        counts = df.agg(*[F.countDistinct(c).alias(c) for c in columns]).first()
+        counts = {r["column_name"]: r["n_distinct"] for r in values.distinct_counts(df, columns).collect()}  # a row per column
         columns = [c for c in columns if counts[c] <= max_distinct]
     number = lambda c: F.col(c).try_cast("double")
     return per_column(df, columns, {m: (lambda c, m=m: STATISTICS[m](number(c))) for m in metrics}, by=by, label="column_name")
@@ -91,10 +93,10 @@ def hierarchy_profile(df: DataFrame, levels: Mapping[str, str | Sequence[str]],
     return row.select(F.explode(F.array(*facts)).alias("_x")).select("_x.*")
 
 
-def column_metadata(df: DataFrame, *, threshold: int = 1000) -> DataFrame:
+def column_metadata(df: DataFrame, *, threshold: int = 1000, exact: bool = True) -> DataFrame:
     """Distinct values, a low / medium / high class, and integers that are in truth categories."""
     kinds = {f.name: f.dataType for f in df.schema}
-    table = per_column(df, df.columns, {"n_distinct": F.countDistinct}, label="column_name")
+    table = values.distinct_counts(df, df.columns, exact=exact)
     n, whole = F.col("n_distinct"), F.col("column_name").isin([c for c, k in kinds.items() if isinstance(k, INTEGERS)])
     return table.select("column_name", "n_distinct", F.when(n <= 20, "low").when(n <= threshold, "medium").otherwise("high").alias("cardinality"), (whole & (n > threshold)).alias("pseudo_categorical"))
 
@@ -139,6 +141,7 @@ def top_values(df: DataFrame, columns: Sequence[str], top: int = 20, *, nulls: b
 
 
 def cardinality_profile(df: DataFrame, columns: Sequence[str], *, top: int = 20, flag_above: int = 10_000) -> DataFrame:
+    """The most frequent values of each column with its distinct count, from one table of counts."""
     counts = value_counts(df, columns).where("value is not null")
     order = Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
     sizes = counts.groupBy("column_name").agg(F.count("*").alias("n_distinct"))
@@ -155,11 +158,12 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
     return counts.select("value", "n", F.round(F.col("n") / F.sum("n").over(whole), 6).alias("share"), none.alias("n_none_text"), F.round(F.max("n").over(whole) / F.min("n").over(whole), 4).alias("imbalance_ratio"))
 
 
-def id_columns(df: DataFrame, patterns: Sequence[str], min_uniqueness: float = 0.95) -> DataFrame:
+def id_columns(df: DataFrame, patterns: Sequence[str], min_uniqueness: float = 0.95, *, exact: bool = True) -> DataFrame:
     """Columns whose name ends as a pattern says, and those with nearly unique values."""
     ends = tuple(p.lstrip("*") for p in patterns)
     named = [c for c in df.columns if c.endswith(ends)]
-    table = per_column(df, df.columns, {"uniqueness": lambda c: F.round(F.countDistinct(c) / F.count("*"), 4)}, label="column_name")
+    table = values.distinct_counts(df, df.columns, exact=exact).crossJoin(df.agg(F.count("*").alias("n_rows")))  # one row
+    table = table.withColumn("uniqueness", F.round(F.col("n_distinct") / F.col("n_rows"), 4))
     by_name, unique = F.col("column_name").isin(named), F.col("uniqueness") >= min_uniqueness
     return table.select("column_name", "uniqueness", by_name.alias("by_name"), unique.alias("by_uniqueness")).where("by_name or by_uniqueness")
 

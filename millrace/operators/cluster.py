@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.sources.scratch import checkpoint
+from millrace.sources.tables import sample_stratified
 
 from . import quality
 from .graph import components
@@ -109,26 +110,50 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, **limits)
 SMALLER = ("davies_bouldin",)
 
 
-def grid(points: DataFrame, key: str, algorithm: str, parameters: Mapping[str, Sequence[object]], *, score: str = "silhouette", n: int | None = None, seed: int = 42) -> DataFrame:
+def _subsample(points: DataFrame, key: str, n: int | None, strata: str | None, seed: int) -> DataFrame:
+    if n is None:
+        return points
+    if strata is not None:
+        return sample_stratified(points, n, strata, key, seed)
+    return points.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+
+
+def grid(points: DataFrame, key: str, algorithm: str, parameters: Mapping[str, Sequence[object]], *, score: str = "silhouette", n: int | None = None, strata: str | None = None, seed: int = 42) -> DataFrame:
     """One row per combination: parameters, clusters, score, and whether it is the best.
 
     The loop is over parameters; each fit and score is a distributed job on the cached points.
-    With ``n`` it runs on a seeded sample. Fewer than two clusters score null.
+    With ``n`` it runs on a seeded sample, in proportion to the values of ``strata`` if given.
+    Fewer than two clusters score null.
     """
-    data = points if n is None else points.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
-    data = data.cache()
+    rows = _grid(points, key, algorithm, parameters, score, n, strata, seed)
+    known = [r[2] for r in rows if r[2] is not None]
+    best = (min if score in SMALLER else max)(known, default=None)
+    made = [(algorithm, ", ".join(f"{k}={v}" for k, v in chosen.items()), n_clusters, value, value is not None and value == best) for chosen, n_clusters, value in rows]
+    return points.sparkSession.createDataFrame(made, "algorithm string, parameters string, n_clusters long, score double, best boolean")
+
+
+def _grid(points, key, algorithm, parameters, score, n, strata, seed) -> list[tuple[dict, int, float | None]]:
+    data = _subsample(points, key, n, strata, seed).cache()
     rows = []
-    for values in itertools.product(*parameters.values()):
-        chosen = dict(zip(parameters, values, strict=True))
+    for options in itertools.product(*parameters.values()):
+        chosen = dict(zip(parameters, options, strict=True))
         labels = fit(algorithm, data, key, **chosen).cache()
         n_clusters = labels.select("label").distinct().count()
         value = quality.METRICS[score](data.select(key, "features").join(labels, key), "label") if n_clusters > 1 else None
-        rows.append((algorithm, ", ".join(f"{k}={v}" for k, v in chosen.items()), n_clusters, value))
+        rows.append((chosen, n_clusters, value))
         labels.unpersist()
     data.unpersist()
-    known = [r[3] for r in rows if r[3] is not None]
-    best = (min if score in SMALLER else max)(known, default=None)
-    return points.sparkSession.createDataFrame([(*r, r[3] is not None and r[3] == best) for r in rows], "algorithm string, parameters string, n_clusters long, score double, best boolean")
+    return rows
+
+
+def refit_best(points: DataFrame, key: str, algorithm: str, parameters: Mapping[str, Sequence[object]], *, score: str = "silhouette", n: int | None = None, strata: str | None = None, seed: int = 42) -> tuple[dict, DataFrame]:
+    """The best combination of the grid (the first on a tie), searched on a sample if ``n`` is
+    given, and its assignment after a fit on all points."""
+    known = [(chosen, value) for chosen, _, value in _grid(points, key, algorithm, parameters, score, n, strata, seed) if value is not None]
+    if not known:
+        raise ValueError("no combination makes two clusters")
+    best = (min if score in SMALLER else max)(known, key=lambda x: x[1])[0]
+    return best, fit(algorithm, points, key, **best)
 
 
 def assignments(points: DataFrame, key: str, variants: Mapping[str, Mapping[str, object]]) -> DataFrame:

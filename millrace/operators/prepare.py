@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from millrace.functions import values
+from millrace.functions.values import quoted
+
 #: A fitted lookup table of more values than this is refused rather than collected.
 MAX_VALUES = 1_000_000
 #: Lookup tables of up to this many values are expressions, larger ones broadcast joins.
@@ -111,8 +114,9 @@ def _apply_sentinels(df, state, thresholds, keep_original=True):
 
 
 def _learn_constant(df, threshold=1):
-    row = df.agg(*[(F.countDistinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))).alias(c) for c in df.columns]).first()
-    return {"drop": [c for c in df.columns if row[c] <= threshold]}
+    some = {r["column_name"]: r["n_distinct"] for r in values.distinct_counts(df, df.columns).collect()}  # a row per column
+    row = df.agg(*[F.coalesce(F.max(F.col(quoted(c)).isNull().cast("int")), F.lit(0)).alias(f"_{i}") for i, c in enumerate(df.columns)]).first()
+    return {"drop": [c for i, c in enumerate(df.columns) if some[c] + row[f"_{i}"] <= threshold]}
 
 
 def _learn_duplicates(df):
@@ -138,8 +142,10 @@ def _learn_median(df, columns=None, exclude=()):
     use = [c for c in (columns or [c for c, k in kinds.items() if isinstance(k, T.NumericType)]) if c in kinds and c not in exclude]
     if not use:
         return {"fill": {}}
-    row = df.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in use], *[F.count_if(F.col(c).isNull()).alias(f"_n_{c}") for c in use]).first()
-    return {"fill": {c: row[c] for c in use if row[f"_n_{c}"] and row[c] is not None}}
+    row = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(f"_{i}") for i, c in enumerate(use)]).first()
+    some = [c for i, c in enumerate(use) if row[f"_{i}"]]
+    medians = {r["column_name"]: r["q0"] for r in values.quantiles(df, some, [0.5]).collect()} if some else {}  # a row per column
+    return {"fill": {c: m for c, m in medians.items() if m is not None}}
 
 
 def _apply_fill(df, state, **_):
@@ -254,13 +260,29 @@ def sentinel_replace(df: DataFrame, replacements: Mapping[str, tuple[object, obj
     return df.withColumns({c: F.when(F.col(c) == old, F.lit(new)).otherwise(F.col(c)) for c, (old, new) in replacements.items()})
 
 
+def sentinel_replace_report(df: DataFrame, replacements: Mapping[str, tuple[object, object]]) -> DataFrame:
+    """``column_name, sentinel, replacement, n_replaced`` of what ``sentinel_replace`` does; null
+    counts where the column is missing."""
+    there = [c for c in replacements if c in df.columns]
+    row = df.agg(*[F.count_if(F.col(quoted(c)) == F.lit(replacements[c][0])).alias(f"_{i}") for i, c in enumerate(there)], F.count("*").alias("_n"))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(str(old)).alias("sentinel"), F.lit(str(new)).alias("replacement"), (F.col(f"_{there.index(c)}") if c in there else F.lit(None).cast("long")).alias("n_replaced")) for c, (old, new) in replacements.items()]
+    return row.select(F.explode(F.array(*cells)).alias("_x")).select("_x.*")
+
+
+def drop_report(df: DataFrame, drop: Sequence[str]) -> DataFrame:
+    """``column_name, found``: which of the columns to drop are there."""
+    return df.sparkSession.createDataFrame([(c, c in df.columns) for c in drop], "column_name string, found boolean")
+
+
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep: str | bool = "first", order_by: Sequence[str] = ()) -> DataFrame:
     """Whole-row duplicates, or by ``subset``: the first or last row by ``order_by`` stays, or none."""
     if not subset:
         return df.dropDuplicates() if keep else df.groupBy(*df.columns).agg(F.count("*").alias("_n")).where("_n = 1").drop("_n")
     if keep is False:
         return df.withColumn("_n", F.count("*").over(Window.partitionBy(*subset))).where("_n = 1").drop("_n")
-    order = [F.asc(c) if keep == "first" else F.desc(c) for c in (order_by or df.columns)]
+    # The other columns break ties, as far as they can be ordered.
+    rest = [c for c, kind in df.dtypes if c not in order_by and kind.split("<")[0] not in ("map", "variant")]
+    order = [F.asc(c) if keep == "first" else F.desc(c) for c in [*order_by, *rest]]
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*subset).orderBy(*order))).where("_r = 1").drop("_r")
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import drift, explore, profile
 from millrace.operators import cluster, interpret, prepare, quality
-from millrace.sources.scratch import checkpoint
 from millrace.operators.prepare import Prepare
 from millrace.sources import tables
+from millrace.sources.scratch import checkpoint, scratch
 from millrace.streaming.score import score_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,18 @@ def union_sql(template: str, names: list[str]) -> str:
     return " UNION ALL ".join(template.format(c=c, i=i) for i, c in enumerate(names))
 
 
+def values_sql(rows: list[tuple], **columns: str) -> str:
+    """A constant table, for facts about schemas."""
+    said = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int) else f"'{v}'"
+    cells = ", ".join("(" + ", ".join(map(said, r)) + ")" for r in rows)
+    return "SELECT " + ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in columns.items()) + f" FROM (VALUES {cells}) t({', '.join(columns)})"
+
+
+#: Schemas of the given tables.
+LINEITEM = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
+
+
 # Sources -----------------------------------------------------------------------------------
 
 
@@ -84,6 +96,29 @@ def scan_full(spark, d):
     return tables.read_table(spark, f"{d}/lineitem.parquet").agg(F.count("*").alias("n_rows"), F.round(F.sum("l_quantity"), 2).alias("sum_quantity"), F.round(F.sum("l_extendedprice"), 2).alias("sum_price"))
 
 
+def as_csv(spark: SparkSession, d: str, name: str) -> str:
+    path = scratch(spark, f"csv-{name}")
+    table(spark, d, name).write.option("header", True).csv(path)
+    return path
+
+
+CSV_FACTS = "SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, round(sum(l_quantity), 2) AS sum_quantity, round(sum(l_extendedprice), 2) AS sum_price, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship, max(l_returnflag) AS last_flag FROM lineitem"
+
+
+def csv_facts(df: DataFrame) -> DataFrame:
+    return df.agg(F.count("*").alias("n_rows"), F.countDistinct("l_orderkey").alias("n_orders"), F.round(F.sum("l_quantity"), 2).alias("sum_quantity"), F.round(F.sum("l_extendedprice"), 2).alias("sum_price"), F.min("l_shipdate").cast("timestamp_ntz").alias("first_ship"), F.max("l_shipdate").cast("timestamp_ntz").alias("last_ship"), F.max("l_returnflag").alias("last_flag"))
+
+
+@query(CSV_FACTS)
+def scan_csv(spark, d):
+    return csv_facts(tables.read_csv(spark, as_csv(spark, d, "lineitem"), schema=table(spark, d, "lineitem").schema))
+
+
+@query(CSV_FACTS)
+def scan_csv_inferred(spark, d):
+    return csv_facts(tables.read_csv(spark, as_csv(spark, d, "lineitem")))
+
+
 @query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 100")
 def sample_head(spark, d):
     return tables.read_table(spark, f"{d}/orders.parquet", mode="sample", method="head", n=100, order_by="o_orderkey")
@@ -99,6 +134,14 @@ def sample_random(spark, d):
     return tables.read_table(spark, f"{d}/orders.parquet", mode="sample", n=1000, key="o_orderkey")
 
 
+@query("SELECT least(1000, count(*)) AS n_rows, least(1000, count(*)) AS n_keys, least(1000, count(*)) AS n_members FROM orders")
+def sample_random_counts(spark, d):
+    orders = table(spark, d, "orders")
+    drawn = tables.read_table(spark, f"{d}/orders.parquet", mode="sample", n=1000, key="o_orderkey")
+    known = orders.select("o_orderkey", F.lit(1).alias("member"))
+    return drawn.join(known, "o_orderkey", "left").agg(F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"), F.count("member").alias("n_members"))
+
+
 @query("SELECT o_orderpriority, CAST(greatest(1, round(500 * count(*) / sum(count(*)) OVER ())) AS BIGINT) AS n FROM orders GROUP BY 1")
 def sample_stratified(spark, d):
     return tables.sample_stratified(table(spark, d, "orders"), 500, "o_orderpriority", "o_orderkey").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
@@ -137,7 +180,7 @@ def distinct_rows_sorted(spark, d):
     return explore.distinct_rows(table(spark, d, "events"), F.col("user_id") == 8, ["ts"])
 
 
-@query()
+@query(values_sql([(i, c, t) for i, (c, t) in enumerate(LINEITEM.items())], position="INT", column_name="VARCHAR", column_type="VARCHAR"))
 def describe_schema(spark, d):
     return explore.describe_schema(table(spark, d, "lineitem"))
 
@@ -201,13 +244,19 @@ def id_likeness(spark, d):
     return explore.id_likeness(table(spark, d, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
 
 
-SKEW = "CASE WHEN mean > 1.5 * median THEN 'right' WHEN mean < 0.67 * median THEN 'left' ELSE 'symmetric' END AS skew"
+#: Two fifths of the rows hold small values, so the mean is between a half and two thirds of the median.
+MIXED = "CASE WHEN l_suppkey % 5 < 2 THEN l_linenumber ELSE 1000 + l_quantity END AS l_mixed"
+SHAPES = [*NUMERICS, "l_mixed"]
+
 
+def shapes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").withColumn("l_mixed", F.when(F.col("l_suppkey") % 5 < 2, F.col("l_linenumber").cast("double")).otherwise(1000 + F.col("l_quantity")))
 
-@query(f"SELECT column_name, round(a, 4) AS min_value, round(q1, 4) AS q25, round(median, 4) AS median, round(q3, 4) AS q75, round(z, 4) AS max_value, round(mean, 4) AS mean, round(s, 4) AS std, {SKEW} FROM ("
-       + union_sql("SELECT '{c}' AS column_name, min({c}) AS a, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.75) AS q3, max({c}) AS z, avg({c}) AS mean, stddev({c}) AS s FROM lineitem", NUMERICS) + ")")
+
+@query("SELECT column_name, round(a, 4) AS min_value, round(q1, 4) AS q25, round(median, 4) AS median, round(q3, 4) AS q75, round(z, 4) AS max_value, round(mean, 4) AS mean, round(s, 4) AS std, CASE WHEN mean > median * 1.5 THEN 'SKEWED_RIGHT' ELSE 'SYMMETRIC' END AS distribution_shape FROM ("
+       + union_sql("SELECT '{c}' AS column_name, min({c}) AS a, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.75) AS q3, max({c}) AS z, avg({c}) AS mean, stddev({c}) AS s FROM (SELECT *, " + MIXED + " FROM lineitem)", SHAPES) + ")")
 def distribution_shape(spark, d):
-    return explore.distribution_shape(table(spark, d, "lineitem"), NUMERICS)
+    return explore.distribution_shape(shapes(spark, d), SHAPES)
 
 
 @query("SELECT source, count(DISTINCT l_suppkey) AS n_distinct, count(*) AS n_rows FROM li GROUP BY 1")
@@ -230,10 +279,11 @@ def problem_values(spark, d):
     return explore.problem_values(ev(spark, d), "raw_type")
 
 
-@query("SELECT column_name, n_distinct, uniqueness_pct, range_ratio, skew, CASE WHEN uniqueness_pct > 50 THEN 'NO_ID' WHEN n_distinct < 100 THEN 'NO_CATEGORICAL' WHEN skew = 'symmetric' THEN 'NO_SYMMETRIC' WHEN range_ratio < 10 THEN 'NO_RANGE' ELSE 'YES' END AS decision FROM (SELECT column_name, n_distinct, round(n_distinct * 100.0 / n_total, 4) AS uniqueness_pct, round(z / nullif(a, 0), 4) AS range_ratio, "
-       + SKEW + " FROM (" + union_sql("SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, count({c}) AS n_total, min({c}) AS a, max({c}) AS z, quantile_cont({c}, 0.5) AS median, avg({c}) AS mean FROM lineitem", NUMERICS) + "))")
+@query("SELECT column_name, n_distinct, uniqueness_pct, range_ratio, distribution_shape, CASE WHEN uniqueness_pct > 50 THEN 'NO: ID (high uniqueness)' WHEN n_distinct < 100 THEN 'NO: CATEGORICAL (low unique count)' WHEN distribution_shape = 'SYMMETRIC' THEN 'NO: symmetric distribution' WHEN range_ratio < 10 THEN 'NO: narrow range' ELSE 'YES: log transform candidate' END AS log_transform_decision FROM (SELECT column_name, n_distinct, round(n_distinct * 100.0 / n_total, 2) AS uniqueness_pct, round(z / nullif(a, 0), 2) AS range_ratio, CASE WHEN mean > median * 1.5 THEN 'SKEWED_RIGHT' WHEN mean < median * 0.5 THEN 'SKEWED_LEFT' ELSE 'SYMMETRIC' END AS distribution_shape FROM ("
+       + union_sql("SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, count(*) AS n_total, min({c}) AS a, max({c}) AS z, quantile_cont({c}, 0.5) AS median, avg({c}) AS mean FROM (SELECT *, " + MIXED + " FROM lineitem)", SHAPES)
+       + ")) ORDER BY CASE WHEN log_transform_decision LIKE 'YES%' THEN 1 ELSE 2 END, uniqueness_pct DESC, column_name")
 def log_candidates(spark, d):
-    return explore.log_candidates(table(spark, d, "lineitem"), NUMERICS)
+    return explore.log_candidates(shapes(spark, d), SHAPES)
 
 
 @query("SELECT event_type AS value, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM events WHERE event_type IS NOT NULL GROUP BY 1")
@@ -303,7 +353,7 @@ def column_metadata(spark, d):
     return profile.column_metadata(table(spark, d, "lineitem"))
 
 
-@query()
+@query(values_sql([(c, t, None if c == "o_orderstatus" else "float" if c == "o_totalprice" else t, {"o_orderstatus": "MISSING_IN_TEST", "o_totalprice": "TYPE_DIFFERS", "o_orderkey": "OK", "o_custkey": "OK"}.get(c, "ORDER_DIFFERS")) for c, t in ORDERS.items()] + [("usage", None, "string", "MISSING_IN_TRAIN")], column_name="VARCHAR", train_type="VARCHAR", test_type="VARCHAR", status="VARCHAR"))
 def schema_compare(spark, d):
     orders = table(spark, d, "orders")
     return profile.schema_compare(orders, orders.withColumn("o_totalprice", F.col("o_totalprice").cast("float")).drop("o_orderstatus").withColumn("usage", F.lit("x")))
@@ -367,7 +417,7 @@ def timestamp_range(spark, d):
     return profile.timestamp_range(table(spark, d, "events"), "ts", 14)
 
 
-@query()
+@query(values_sql([("o_orderkey", "id"), ("o_custkey", "id"), ("o_orderdate", "time"), ("o_orderpriority", "target"), ("o_orderpriority", "category"), ("o_orderstatus", "category"), ("o_totalprice", "uncategorized")], column_name="VARCHAR", role="VARCHAR"))
 def column_catalog(spark, d):
     return profile.column_catalog(table(spark, d, "orders"), {"id": ["*key"], "time": ["*date"], "target": ["o_orderpriority"], "category": ["o_orderpriority", "o_orderstatus"]})
 
@@ -560,7 +610,7 @@ def flag_stats(spark, d):
     return prepare.flag_stats(ev(spark, d).withColumn("amount_is_missing", F.col("amount").isNull().cast("int")), ["amount_is_missing"])
 
 
-@query()
+@query("SELECT * FROM orders")
 def shuffle(spark, d):
     return prepare.shuffle(table(spark, d, "orders"), "o_orderkey")
 
@@ -622,6 +672,25 @@ def kmeans_grid(spark, d):
     return cluster.grid(embeddings(spark, d), "vec_id", "kmeans", {"k": [2, 5, 10], "seed": [42]}, n=5000)
 
 
+@query("SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_keys, CAST(2 AS BIGINT) AS n_clusters, 'k=2, seed=42' AS best FROM embeddings")
+def kmeans_refit(spark, d):
+    """The best of a grid on a stratified sample, fitted anew on all points."""
+    points = embeddings(spark, d).join(table(spark, d, "embeddings").select("vec_id", F.col("label").alias("stratum")), "vec_id")
+    best, labels = cluster.refit_best(points, "vec_id", "kmeans", {"k": [2], "seed": [42]}, n=400, strata="stratum")
+    said = ", ".join(f"{k}={v}" for k, v in best.items())
+    return labels.agg(F.count("*").alias("n_rows"), F.countDistinct("vec_id").alias("n_keys"), F.countDistinct("label").alias("n_clusters"), F.lit(said).alias("best"))
+
+
+@query("SELECT 'hashed' AS column_name, '-1' AS sentinel, '0' AS replacement, count(*) FILTER (WHERE hashed = -1) AS n_replaced FROM ev UNION ALL SELECT 'missing', 'a', 'b', NULL")
+def sentinel_replace_report(spark, d):
+    return prepare.sentinel_replace_report(ev(spark, d), {"hashed": (-1, 0), "missing": ("a", "b")})
+
+
+@query(values_sql([("props", True), ("usage", False)], column_name="VARCHAR", found="BOOLEAN"))
+def drop_report(spark, d):
+    return prepare.drop_report(ev(spark, d), ["props", "usage"])
+
+
 @query()
 def bisecting_assign(spark, d):
     return cluster.bisecting(embeddings(spark, d), "vec_id", 8)[0]
