@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpoint, hot_join, hot_keys
+from .common import checkpoint, hot_join, hot_keys, modest_batches
 
 #: The marks of the template.
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
@@ -129,6 +129,7 @@ def format_conversations(turns: DataFrame, *, by: str = "conv_id", order: str =
     go by role and text. Texts of any length are kept whole, in memory that grows with the
     conversation. Columns of other names are ignored.
     """
+    modest_batches(turns.sparkSession)
     empty = F.lit("")
     turn = F.struct(order, F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
 

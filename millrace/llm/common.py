@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.sources.scratch import checkpoint, delete, hot_join, hot_keys, scratch, shared_dir, workspace
 
-__all__ = ["SPACES", "checkpoint", "delete", "few", "has_letters", "hot_join", "hot_keys", "letters", "row_ids", "scratch", "shared_dir", "table", "words", "workspace"]
+__all__ = ["SPACES", "checkpoint", "delete", "few", "has_letters", "hot_join", "hot_keys", "letters", "modest_batches", "row_ids", "scratch", "shared_dir", "table", "words", "workspace"]
 
 #: Java regex for runs of ASCII white space; words are what lies between.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -18,6 +18,14 @@ def few(keys: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= max_rows else keys
 
 
+def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: hand Python workers ``rows`` of them at once, as a default for the session.
+    Every corpus operator asks for the same; an application that has set a size keeps its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(rows))
+
+
 def words(text: Column) -> Column:
     """Array of the maximal runs of anything but ASCII white space; null gives no word."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

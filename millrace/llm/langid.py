@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpoint, few, has_letters, letters
+from .common import checkpoint, few, has_letters, letters, modest_batches
 
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
@@ -201,6 +201,7 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str
 
 def predictor(model: LanguageModel, df: DataFrame):
     """Column function text -> struct(lang_pred, score)."""
+    modest_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, hot_join, hot_keys, row_ids
+from .common import checkpoint, hot_join, hot_keys, modest_batches, row_ids
 
 BLANKS = b" \t\n\x0b\x0c\r"
 #: Bits of a filter that are merged as one row.
@@ -117,6 +117,7 @@ def twice_seen(docs: DataFrame, *, text: str = "text", min_chars: int = 1, bits_
     what the driver gets is the packed places of its set bits, so as many as lines that
     repeat. Beyond that it fills up, more lines are suspected and shuffle, and the result
     stays the same."""
+    modest_batches(docs.sparkSession)
     t = F.col(text)
     n = docs.agg(F.sum(F.coalesce(F.length(t) - F.length(F.translate(t, "\n", "")), F.lit(0)) + 1)).first()[0] or 0
     bits = 1 << min(max(16, int(n * bits_per_line).bit_length()), max_bytes.bit_length() + 2)

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from millrace.operators.graph import components
 
-from .common import checkpoint, few, hot_join, hot_keys, row_ids
+from .common import checkpoint, few, hot_join, hot_keys, modest_batches, row_ids
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -57,6 +57,8 @@ def fingerprint(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, *, text: str = "text", shingle: int = 3):
     """Column of 64-bit fingerprints (as signed longs) of whole texts."""
 
+    modest_batches(docs.sparkSession)
+
     @F.pandas_udf("long")
     def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -177,6 +179,7 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     over ``crowd`` classes in parts. An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     t = F.col(text)
     chars = docs.agg(F.sum(F.length(t))).first()[0] or 0
     share = min(1.0, sample * 6 / max(1, chars))

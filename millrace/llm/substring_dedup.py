@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, hot_join, hot_keys, row_ids, scratch
+from .common import checkpoint, hot_join, hot_keys, modest_batches, row_ids, scratch
 
 GRAM = 64
 #: Bytes of one text that are scanned at once (positions are packed into 24 bits).
@@ -258,6 +258,8 @@ def repeated_spans(rows: DataFrame, *, length: int = 400, crowd: int = 2000, hot
     anchors have are joined in parts."""
     spark = rows.sparkSession
 
+    modest_batches(spark)
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             made = []

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, checkpoint, few, letters
+from .common import SPACES, checkpoint, few, letters, modest_batches
 from .decontam import let
 
 
@@ -152,6 +152,7 @@ def score(docs: DataFrame, model: OrdinalModel, *, text: str = "text") -> DataFr
     are read. Columns of these names are replaced, others pass through; rows, repeated ones
     too, stay as they are. An empty table gives an empty result.
     """
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)

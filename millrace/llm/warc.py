@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, hot_join, hot_keys
+from .common import checkpoint, hot_join, hot_keys, modest_batches
 
 VERSION = b"WARC/1.1\r\n"
 BETWEEN = "\r\n\r\nWARC/1.1\r\n"
@@ -121,6 +121,8 @@ def write_archives(pages: DataFrame, path: str, *, segment: int = 16 << 10, chun
     Other columns are not written. An empty table gives an empty archive.
     """
 
+    modest_batches(pages.sparkSession)
+
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, size = [], 0
@@ -194,6 +196,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     damaged file gives the records that it has. A record whose length is too large takes in
     what follows, to the end of its file.
     """
+    modest_batches(spark)
     lines = spark.read.option("lineSep", BETWEEN).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
