@@ -218,25 +218,39 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     often = often.assign(h=often["h"].to_numpy("i8").view("u8")).sort_values("h")
     counted = spark.sparkContext.broadcast((often["h"].to_numpy("u8"), often["count"].to_numpy("i8")))
 
-    @F.pandas_udf("n int, prefix array<bigint>")
+    @F.pandas_udf("n int, spread binary, prefix array<bigint>")
     def prefixes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known, counts = counted.value
         for texts in batches:
-            sizes, made = [], []
+            sizes, spreads, made = [], [], []
             for x in texts:
                 s = np.unique(shingle_hashes(x, shingle))
+                spreads.append(np.bincount(s >> np.uint64(56), minlength=256).clip(max=255).astype("u1").tobytes())
                 weight = np.zeros(len(s), "i8")
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     weight = np.where(known[at] == s, counts[at], 0)
                 sizes.append(len(s))
                 made.append(s[np.lexsort((s, weight))][: len(s) - math.ceil(similarity * len(s) - 1e-6) + 1].view("i8"))
-            yield pd.DataFrame({"n": np.array(sizes, "i4"), "prefix": made})
+            yield pd.DataFrame({"n": np.array(sizes, "i4"), "spread": spreads, "prefix": made})
+
+    @F.pandas_udf("long")
+    def apart(a: pd.Series, b: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(x), "u1").reshape(-1, 256).astype("i2") for x in (a, b))
+        return pd.Series(np.abs(a - b).sum(1, dtype="i8"))
 
     def of_nodes(nodes: DataFrame) -> DataFrame:
         """``node, t`` of the texts that stand for the nodes; equal rows can repeat."""
         return rows.join(few(nodes.select("node", "ra", "rb"), 1_000_000), ["ra", "rb"]).select("node", "t")
 
+    def hopeful(pairs: DataFrame) -> DataFrame:
+        """Without the pairs whose sets differ in more shingles than the similarity allows, as seen
+        by how many shingles have each of 256 leading bytes: a bound that never drops a link."""
+        side = lambda x: short.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("spread").alias(f"s{x}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        allowed = (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+        return checkpoint(both.where(apart("sa", "sb") <= allowed).select("a", "b"))
+
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         chosen = of_nodes(checkpoint(classes.select("node", "ra", "rb").join(few(wanted), "node", "left_semi")))
@@ -250,16 +264,17 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     def rooted(keys: DataFrame) -> DataFrame:
         return keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
+    single = checkpoint(of_nodes(classes).select("node", prefixes("t").alias("x")).select("node", "x.*"))
+    short = single.dropDuplicates(["node"]) if not made.groupBy("ra", "rb").count().where("count > 1").isEmpty() else single
+
     # Fingerprints: classes of the same one meet the first of them, and so do those of linked ones.
     heads = checkpoint(classes.groupBy("fp").agg(F.min("node").alias("head")))
     same = classes.select("fp", "node").join(heads, "fp").where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
     near = links(heads.select("fp"), radius=radius)
     near = near.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
-    edges = verified(checkpoint(same.unionByName(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))))
+    edges = verified(hopeful(same.unionByName(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))))
     roots = checkpoint(components(edges))
 
-    single = checkpoint(of_nodes(classes).select("node", prefixes("t").alias("x")).select("node", "x.*"))
-    short = single.dropDuplicates(["node"]) if not made.groupBy("ra", "rb").count().where("count > 1").isEmpty() else single
     shared = short.select("node", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     keys = checkpoint(short.select("node", "n", F.posexplode("prefix").alias("pos", "h")).join(shared.where("low <> high").select("h"), "h"))
     n_classes = classes.count()
@@ -278,7 +293,7 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
         met = left.select("h", me.alias("y")).join(pivots, "h").where((F.col("x.root") != F.col("y.root")) & _pairs_within("x", "y", similarity))
         met = met.groupBy(F.col("y.node").alias("y"), F.col("x.node").alias("x")).count()
         best = met.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy(F.desc("count"), "x"))).where("r <= 2")
-        found = verified(checkpoint(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
+        found = verified(hopeful(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
         edges = edges.unionByName(found)
         roots = checkpoint(components(edges))
         if found.count() < least_gain * n_classes:
@@ -293,7 +308,7 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     probe = left.select("h", me.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     smaller = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
     close = index.alias("i").join(probe.alias("p"), (F.col("i.h") == F.col("p.h")) & (F.col("i.part") == F.col("p.part")) & (F.col("x.root") != F.col("y.root")) & smaller & _pairs_within("x", "y", similarity))
-    edges = edges.unionByName(verified(checkpoint(ordered(close).distinct())))
+    edges = edges.unionByName(verified(hopeful(ordered(close).distinct())))
     roots = checkpoint(components(edges))
     whole = rooted(classes.select("node", "cls", "rep", "copies"))
     firsts = whole.groupBy("root").agg(F.min("rep").alias("best"))
