@@ -7,6 +7,7 @@ Features are an array column.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.sources.scratch import checkpoint
+from millrace.sources.scratch import checkpoint, hot_join, hot_keys
 from millrace.sources.tables import sample_stratified
 
 from . import quality
@@ -86,22 +87,110 @@ def eps_pairs(points: DataFrame, key: str, eps: float, *, axes: int = 2, max_pai
     return home.join(other, "cell").where(F.sqrt(gap) <= eps).select(F.col("id").alias("a"), "b")
 
 
-def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, **limits) -> DataFrame:
+#: Up to this many dimensions DBSCAN works by cells; beyond, each cell has too many neighbours.
+CELL_DIMENSIONS = 3
+
+
+def _gap(p, q):
+    return F.sqrt(F.aggregate(F.zip_with(p, q, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
+
+
+def _by_cells(points: DataFrame, eps: float, min_samples: int, d: int, max_pairs: int | None, few: float = 1e8):
+    """Of the points ``id, x``, put in cells whose diagonal is just under eps: ``a, rep, dense, n`` (how
+    many points near ``a`` are ``rep`` or in its dense cell), ``a, rep`` of the points in dense
+    cells, the reps that hold very many, and links ``a, b`` between dense cells.
+
+    A cell of ``min_samples`` points is dense: all of them are core points of one cluster, for which
+    the smallest key stands. Only points of thin cells are compared with what is around them.
+    Neighbouring dense cells are linked if their outermost points are near enough, else by the
+    points of either that can reach the other; where over ``few`` comparisons could be left, cells
+    already linked by way of others are left out first."""
+    side = eps / math.sqrt(d) * (1 - 1e-9)
+    axes = [f"c{i}" for i in range(d)]
+    steps = [s for s in itertools.product(range(-2, 3), repeat=d) if sum(max(0, abs(v) - 1) ** 2 for v in s) <= d * (1 + 1e-8)]
+    moved = lambda some: F.explode(F.array(*[F.struct(*[(F.col(f"cell.{c}") + v).alias(c) for c, v in zip(axes, s, strict=True)]) for s in some]))
+    placed = checkpoint(points.select("id", "x", F.struct(*[F.floor(F.get("x", F.lit(i)) / side).alias(c) for i, c in enumerate(axes)]).alias("cell")))
+    sizes = checkpoint(placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("id").alias("least")))
+    if max_pairs is not None:
+        around = sizes.where(F.col("n") < min_samples).select("n", moved(steps).alias("cell"))
+        total = around.join(sizes.select("cell", F.col("n").alias("m")), "cell").agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+        if total > max_pairs:
+            raise ValueError(f"{total} candidate pairs within eps; take a smaller eps or a sample")
+    hot = hot_keys(sizes, ["cell"])
+    is_dense = F.col("n") >= min_samples
+    known = hot_join(placed, sizes, ["cell"], hot)
+    known = known.select("id", "x", "cell", is_dense.alias("dense"), F.when(is_dense, F.col("least")).otherwise(F.col("id")).alias("rep"))
+    known = checkpoint(known)
+    probes = known.where("not dense").select(F.col("id").alias("a"), F.col("x").alias("y"), moved(steps).alias("cell"))
+    met = hot_join(known, probes, ["cell"], hot).where(_gap("x", "y") <= eps).groupBy("a", "rep").agg(F.count("*").alias("n"), F.max("dense").alias("dense"))
+
+    full = known.where("dense")
+    towards = [s for s in itertools.product((-1, 0, 1), repeat=d) if any(s)]
+    outermost = [F.max_by("x", sum(F.get("x", F.lit(i)) * v for i, v in enumerate(s))) for s in towards]
+    cells = checkpoint(full.groupBy("cell", "rep").agg(F.count("*").alias("n"), F.array_distinct(F.array(*outermost)).alias("ends")))
+    mine = cells.select(F.col("rep").alias("a"), F.col("cell").alias("cell_a"), F.col("n").alias("n_a"), F.col("ends").alias("p"), moved([s for s in steps if s > (0,) * d]).alias("cell"))
+    pairs = mine.join(cells.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("ends").alias("q"), "cell"), "cell")
+    reached = F.exists("p", lambda u: F.exists("q", lambda v: _gap(u, v) <= eps))
+    pairs = checkpoint(pairs.select("a", "b", "n_a", "n_b", "cell_a", F.col("cell").alias("cell_b"), reached.alias("near")))
+    links, of_rep = pairs.where("near").select("a", "b"), hot_keys(cells, ["rep"])
+    left = pairs.where("not near")
+    work = left.agg(F.sum(F.col("n_a").cast("double") * F.col("n_b"))).first()[0] or 0
+    if work > few:
+        roots = checkpoint(components(links))
+        root_of = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+        apart = ~F.coalesce(F.col("root_a"), F.col("a")).eqNullSafe(F.coalesce(F.col("root_b"), F.col("b")))
+        left = checkpoint(left.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").where(apart).select(*left.columns))
+    if work:
+
+        def able(me: str, other: str, x: str) -> DataFrame:
+            """Points of cell ``me`` within eps of the cube of cell ``other``."""
+            beyond = [F.greatest(F.lit(0.0), F.col(f"cell_{other}.{c}") * side - F.get("x", F.lit(i)), F.get("x", F.lit(i)) - (F.col(f"cell_{other}.{c}") + 1) * side) for i, c in enumerate(axes)]
+            met = hot_join(full.select("id", "x", "rep"), left.select("a", "b", "cell_a", "cell_b", F.col(me).alias("rep")), ["rep"], of_rep)
+            return met.where(sum(v * v for v in beyond) <= eps * eps * (1 + 1e-6)).select("a", "b", "id", F.col("x").alias(x))
+
+        one, two = checkpoint(able("a", "b", "x")), able("b", "a", "y").drop("id")
+        often = hot_keys(one.groupBy("a", "b").agg(F.count("*").alias("n")), ["a", "b"])
+        links = links.unionByName(hot_join(one, two, ["a", "b"], often).where(_gap("x", "y") <= eps).select("a", "b").distinct())
+    return met, full.select(F.col("id").alias("a"), "rep"), of_rep, links
+
+
+def _numbered(names: DataFrame, by: str) -> DataFrame:
+    """``by, label``: the rows of ``names`` numbered from 0 in their order, range by range."""
+    ranged = checkpoint(names.repartitionByRange(by).withColumn("_p", F.spark_partition_id()))
+    counts = sorted((r["_p"], r["count"]) for r in ranged.groupBy("_p").count().collect())  # one row a partition
+    starts = [(p, sum(n for q, n in counts if q < p)) for p, _ in counts]
+    starts = ranged.sparkSession.createDataFrame(starts, "_p int, _start long")
+    at = F.row_number().over(Window.partitionBy("_p").orderBy(by)) - 1 + F.col("_start")
+    return ranged.join(F.broadcast(starts), "_p").select(by, at.alias("label"))
+
+
+def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, *, max_pairs: int | None = None) -> DataFrame:
     """``key, label``: density clusters numbered from 0 in the order of their smallest core key,
     -1 for noise. A point counts itself; a border point in reach of several clusters takes
-    the one of the smallest number."""
-    pairs = checkpoint(eps_pairs(points, key, eps, **limits))
-    core = checkpoint(pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= min_samples).select("a"))
-    is_core = core.select(F.col("a").alias("b"))
-    links = pairs.join(core, "a", "left_semi").join(is_core, "b", "left_semi")
-    roots = components(links)
-    alone = core.select(F.col("a").alias("node")).join(roots.select("node"), "node", "left_anti").select("node", F.col("node").alias("root"))
-    roots = checkpoint(roots.unionByName(alone))
-    names = roots.select("root").distinct()
-    numbered = names.select("root", (F.row_number().over(Window.orderBy("root")) - 1).alias("label"))  # one row per cluster
-    core_label = roots.join(numbered, "root").select(F.col("node").alias("b"), "label")
-    reached = pairs.join(core_label, "b").groupBy("a").agg(F.min("label").alias("reach"))
-    own = core_label.select(F.col("b").alias("a"), F.col("label").alias("own"))
+    the one of the smallest number. Null keys and features are noise.
+
+    In up to three dimensions dense cells are taken whole, so pairs grow with the points. In more, all
+    pairs within eps are listed (``eps_pairs``). With ``max_pairs`` more candidates are refused;
+    ``eps_pairs`` has a limit of its own."""
+    pts = points.select(F.col(key).alias("id"), F.col("features").cast("array<double>").alias("x")).where("id is not null and x is not null")
+    d = pts.agg(F.max(F.size("x"))).first()[0] or 1
+    if d <= CELL_DIMENSIONS:
+        met, members, often, links = _by_cells(pts, eps, min_samples, d, max_pairs)
+    else:
+        pairs = eps_pairs(points, key, eps, **({} if max_pairs is None else {"max_pairs": max_pairs}))
+        met = pairs.select("a", F.col("b").alias("rep"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("dense"))
+        members, often, links = pairs.select("a", F.col("b").alias("rep")).where("false"), None, pairs.where("false")
+    met = checkpoint(met)
+    core = checkpoint(met.groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= min_samples).select("a"))
+    to_core = met.where("not dense").join(core.select(F.col("a").alias("rep")), "rep", "left_semi").select("a", "rep").unionByName(met.where("dense").select("a", "rep"))
+    to_core = checkpoint(to_core)
+    roots = checkpoint(components(to_core.join(core, "a", "left_semi").select("a", F.col("rep").alias("b")).unionByName(links)))
+    nodes = members.select(F.col("rep").alias("node")).distinct().unionByName(core.select(F.col("a").alias("node"))).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    numbered = _numbered(nodes.select("root").distinct(), "root")
+    label_of = checkpoint(nodes.join(numbered, "root").select("node", "label"))
+    reached = to_core.join(label_of.withColumnRenamed("node", "rep"), "rep").groupBy("a").agg(F.min("label").alias("reach"))
+    own = hot_join(members, label_of.withColumnRenamed("node", "rep"), ["rep"], often).select("a", F.col("label").alias("own"))
+    own = own.unionByName(core.join(label_of.withColumnRenamed("node", "a"), "a").select("a", F.col("label").alias("own")))
     found = points.select(F.col(key).alias("a")).join(own, "a", "left").join(reached, "a", "left")
     return found.select(F.col("a").alias(key), F.coalesce("own", "reach", F.lit(-1)).cast("int").alias("label"))
 
@@ -195,12 +284,14 @@ def knn_distances(points: DataFrame, key: str, k: int = 5, *, sample: int | None
         d = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k]
         return np.pad(d, ((0, 0), (0, k - d.shape[1])), constant_values=np.inf)
 
-    def merge(ids, _codes, parts):
-        near = np.sort(np.concatenate(parts, axis=1), axis=1)[:, :k]
+    def combine(parts):
+        return np.sort(np.concatenate(parts, axis=1), axis=1)[:, :k]
+
+    def finish(ids, _codes, near):
         known = np.isfinite(near)
         return pd.DataFrame({"id": ids, "mean_distance": np.where(known, near, 0).sum(1) / known.sum(1)})
 
-    found = quality.against_all(data.select("id", "code", "features"), "id long, mean_distance double", nearest, merge)
+    found = quality.against_all(data.select("id", "code", "features"), "id long, mean_distance double", nearest, combine, finish)
     return data.select("id", key).join(found, "id").select(key, "mean_distance")
 
 

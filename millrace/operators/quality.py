@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -33,35 +35,51 @@ def _squares(a: str, b: str):
     return F.aggregate(F.zip_with(F.col(a).cast("array<double>"), b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
 
 
-def against_all(data: DataFrame, schema: str, partial, merge, *, block: int = 512) -> DataFrame:
+def against_all(data: DataFrame, schema: str, partial, combine, finish, *, block_bytes: int = 8 << 20, least: int = 512) -> DataFrame:
     """Every point against every point, in blocks that Spark deals out. ``data`` has ``id``
     (long, unique), ``code`` (long) and ``features``. ``partial(x, y, codes of y)`` gives an
-    array with one row per point of x; ``merge(ids, codes, parts)`` of a block's arrays gives
-    the rows of the result."""
+    array with one row per point of x, ``combine`` makes one of several such arrays, and
+    ``finish(ids, codes, array)`` the rows of the result.
+
+    Each block is shuffled once for every block, so blocks are as large as ``block_bytes`` and
+    the number of cores allow, but of ``least`` points or more; inside a task 256 points of one
+    are compared at a time. Parts are combined in groups of 64 before a block's are all put together."""
     spark = data.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
-    n = max(1, -(-data.count() // block))
+    facts = data.agg(F.count("*").alias("n"), F.max(F.size("features")).alias("d")).first()
+    cores = spark.sparkContext.defaultParallelism
+    points = min(block_bytes // (8 * max(1, facts["d"] or 1)), -(-facts["n"] // max(1, math.isqrt(2 * cores))))
+    n = max(1, -(-facts["n"] // max(least, points)))
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(part["features"].to_numpy()).astype("f8")
         return pd.DataFrame({"b": [part["b"].iloc[0]], "ids": [part["id"].to_numpy("i8").tobytes()], "codes": [part["code"].to_numpy("i8").tobytes()], "x": [x.tobytes()]})
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                codes, other = np.frombuffer(r.codes, "i8"), np.frombuffer(r.other_codes, "i8")
-                made = partial(np.frombuffer(r.x).reshape(len(codes), -1), np.frombuffer(r.y).reshape(len(other), -1), other)
-                yield pd.DataFrame({"b": [r.b], "ids": [r.ids], "codes": [r.codes], "part": [np.ascontiguousarray(made, "f8").tobytes()]})
+            for r in batch.to_pylist():
+                n_x, codes = r["n_x"], np.frombuffer(r["other_codes"], "i8")
+                x, y = np.frombuffer(r["x"]).reshape(n_x, -1), np.frombuffer(r["y"]).reshape(len(codes), -1)
+                made = np.concatenate([partial(x[at : at + 256], y, codes) for at in range(0, n_x, 256)])
+                yield pa.RecordBatch.from_pydict({"b": pa.array([r["b"]], pa.int32()), "c": pa.array([r["c"]], pa.int32()), "n_x": pa.array([n_x], pa.int32()), "part": pa.array([np.ascontiguousarray(made, "f8").tobytes()], pa.binary())})
+
+    def arrays(rows: pd.DataFrame) -> np.ndarray:
+        return combine([np.frombuffer(p).reshape(rows["n_x"].iloc[0], -1) for p in rows["part"]])
+
+    def some(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"b": rows["b"].iloc[:1], "n_x": rows["n_x"].iloc[:1], "part": [np.ascontiguousarray(arrays(rows), "f8").tobytes()]})
 
-    def finish(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, codes = np.frombuffer(rows["ids"].iloc[0], "i8"), np.frombuffer(rows["codes"].iloc[0], "i8")
-        return merge(ids, codes, [np.frombuffer(p).reshape(len(ids), -1) for p in rows["part"]])
+    def all_of(key, rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        return finish(np.frombuffer(block["ids"].iloc[0], "i8"), np.frombuffer(block["codes"].iloc[0], "i8"), arrays(rows))
 
     dealt = data.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
     blocks = checkpoint(dealt.groupBy("b").applyInPandas(pack, "b int, ids binary, codes binary, x binary"))
-    others = blocks.select(F.col("b").alias("c"), F.col("codes").alias("other_codes"), F.col("x").alias("y"))
-    pairs = blocks.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).repartition("b", "c").join(others, "c")
-    return pairs.mapInPandas(compare, "b int, ids binary, codes binary, part binary").groupBy("b").applyInPandas(finish, schema)
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    mine = blocks.select("b", every.alias("c"), (F.octet_length("ids") / 8).cast("int").alias("n_x"), "x")
+    others = blocks.select(every.alias("b"), F.col("b").alias("c"), F.col("codes").alias("other_codes"), F.col("x").alias("y"))
+    pairs = mine.join(others.hint("shuffle_merge"), ["b", "c"])
+    parts = pairs.mapInArrow(compare, "b int, c int, n_x int, part binary")
+    parts = parts.groupBy("b", F.floor(F.col("c") / 64).alias("part_of")).applyInPandas(some, "b int, n_x int, part binary")
+    return parts.groupBy("b").cogroup(blocks.select("b", "ids", "codes").groupBy("b")).applyInPandas(all_of, schema)
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -86,8 +104,8 @@ def silhouette(points: DataFrame, label: str = "label", *, key: str | None = Non
     def partial(x, y, codes):
         return np.stack([np.bincount(codes, d, len(n)) for d in distances(x, y)])
 
-    def merge(ids, codes, parts):
-        sums, at = np.sum(parts, 0), np.arange(len(ids))
+    def finish(ids, codes, sums):
+        at = np.arange(len(ids))
         a = sums[at, codes] / np.maximum(n[codes] - 1, 1)
         means = sums / n
         means[at, codes] = np.inf
@@ -96,7 +114,7 @@ def silhouette(points: DataFrame, label: str = "label", *, key: str | None = Non
         s = np.where((n[codes] > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1), 0.0)
         return pd.DataFrame({"s": s})
 
-    return against_all(data, "s double", partial, merge).agg(F.avg("s")).first()[0]
+    return against_all(data, "s double", partial, lambda parts: np.sum(parts, 0), finish).agg(F.avg("s")).first()[0]
 
 
 def silhouette_squared(points: DataFrame, label: str = "label") -> float:

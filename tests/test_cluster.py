@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import cluster, interpret, quality
 from millrace.operators.graph import components
@@ -38,12 +39,11 @@ def test_calinski_harabasz_of_points_on_their_means(spark):
     assert quality.calinski_harabasz(points(spark, rows)) == 1.0
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_dbscan_against_brute_force(spark, seed):
-    x = np.random.default_rng(seed).uniform(0, 6, (80, 2))
-    near = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) <= 0.6
-    core, label, n = near.sum(1) >= 4, np.full(80, -1), 0
-    for i in range(80):
+def density_clusters(x, eps, least):
+    """Labels by comparing all points."""
+    near = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) <= eps
+    core, label, n = near.sum(1) >= least, np.full(len(x), -1), 0
+    for i in range(len(x)):
         if core[i] and label[i] < 0:
             stack = [i]
             while stack:
@@ -52,9 +52,48 @@ def test_dbscan_against_brute_force(spark, seed):
                     label[j] = n
                     stack += [m for m in np.flatnonzero(near[j] & core) if label[m] < 0]
             n += 1
-    want = [int(label[i]) if core[i] else int(min(label[near[i] & core], default=-1)) for i in range(80)]
+    return [int(label[i]) if core[i] else int(min(label[near[i] & core], default=-1)) for i in range(len(x))]
+
+
+def dbscan_labels(spark, x, eps, least):
     df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "k long, features array<double>")
-    assert [r.label for r in cluster.dbscan(df, "k", 0.6, 4).orderBy("k").collect()] == want
+    return [r.label for r in cluster.dbscan(df, "k", eps, least).orderBy("k").collect()]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_dbscan_against_brute_force(spark, seed):
+    x = np.random.default_rng(seed).uniform(0, 6, (80, 2))
+    assert dbscan_labels(spark, x, 0.6, 4) == density_clusters(x, 0.6, 4)
+
+
+@pytest.mark.parametrize(("d", "least"), [(1, 3), (2, 3), (3, 4), (4, 3)])
+def test_dbscan_of_dense_cells(spark, d, least):
+    """Blobs of many points, some of them a little more or less than eps apart, and points around them."""
+    rng = np.random.default_rng(d)
+    blobs = [rng.normal(rng.uniform(-4, 4, d), 0.15, (40, d)) for _ in range(9)]
+    steps = np.arange(12)[:, None] * np.eye(d)[0] * np.where(np.arange(12) < 6, 0.5, 0.5000001)[:, None] + 9
+    x = np.concatenate([*blobs, np.repeat(steps, least, 0), rng.uniform(-5, 5, (60, d))])
+    x = x[rng.permutation(len(x))]
+    assert dbscan_labels(spark, x, 0.5, least) == density_clusters(x, 0.5, least)
+
+
+def test_dbscan_tells_dense_neighbours_apart(spark):
+    """Full cells that touch, with gaps just over and under eps that their outermost points do not show."""
+    bar = [(0.0, y) for y in np.linspace(20, 23, 60)]
+    other = [(1.02, y) for y in np.linspace(20, 23, 60)]
+    hollow = [(0.5, 0.0), (0.499, 0.35), (0.5, 0.7)]
+    tip = [(1.4985, 0.35)] * 3
+    x = np.array([*bar, *other, *hollow, *tip])
+    want = density_clusters(x, 1.0, 3)
+    assert dbscan_labels(spark, x, 1.0, 3) == want and len(set(want)) == 3
+
+
+def test_dbscan_of_one_crowded_place(spark):
+    """A third of all points in one place, beside others that are far or null."""
+    rows = [(i, [0.0, 0.0]) for i in range(3000)] + [(3000 + i, [float(i), 50.0]) for i in range(6000)] + [(9000, None), (9001, [0.0, 0.9])]
+    df = spark.createDataFrame(rows, "k long, features array<double>")
+    got = {r.label: r.n for r in cluster.dbscan(df, "k", 0.95, 5).groupBy("label").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: 3001, -1: 6001}
 
 
 def test_dbscan_refuses_too_many_pairs(spark):
