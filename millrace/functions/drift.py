@@ -75,7 +75,7 @@ def chi2_drift(df: DataFrame, target: str, by: str = "source") -> DataFrame:
     in the 2 x 2 case. Nulls are left out."""
     counts = df.where(F.col(target).isNotNull() & F.col(by).isNotNull()).groupBy(F.col(target).alias("t"), F.col(by).alias("s")).agg(F.count("*").alias("n"))
     cats, splits = counts.select("t").distinct(), counts.select("s").distinct()
-    cells = cats.crossJoin(F.broadcast(splits)).join(counts, ["t", "s"], "left").na.fill(0, ["n"])
+    cells = cats.crossJoin(splits).join(counts, ["t", "s"], "left").na.fill(0, ["n"])
     whole = Window.partitionBy()
     expected = F.sum("n").over(Window.partitionBy("t")) * F.sum("n").over(Window.partitionBy("s")) / F.sum("n").over(whole)
     table = cells.select("t", "s", "n", expected.alias("x"))

@@ -254,7 +254,7 @@ def time_counts(df: DataFrame, ts: str, rule: str = "day") -> DataFrame:
 def target_by_category(df: DataFrame, target: str, group: str) -> DataFrame:
     """Crosstab in long form, rows with a null left out, empty cells zero."""
     counts = df.where(F.col(target).isNotNull() & F.col(group).isNotNull()).groupBy(group, target).agg(F.count("*").alias("n"))
-    grid = counts.select(group).distinct().crossJoin(F.broadcast(counts.select(target).distinct()))
+    grid = counts.select(group).distinct().crossJoin(counts.select(target).distinct())
     return grid.join(counts, [group, target], "left").na.fill(0, ["n"])
 
 

@@ -35,10 +35,9 @@ def confusion(df: DataFrame, truth: str, cluster: str, *, normalize: str | None
     rows = df.where(F.col(truth).isNotNull() & F.col(cluster).isNotNull()).groupBy(F.col(truth).alias("truth"), F.col(cluster).alias("cluster")).agg(F.count("*").alias("n"))
     if collapse is not None:
         sizes = rows.groupBy("cluster").agg(F.sum("n").alias("s"))
-        # One row per cluster, so a single task ranks them.
-        ranks = sizes.withColumn("_r", F.row_number().over(Window.orderBy(F.desc("s"), "cluster"))).select("cluster", "_r")
-        folded = F.when(F.col("_r") <= collapse, F.col("cluster")).otherwise(F.lit(-1))
-        rows = rows.join(F.broadcast(ranks), "cluster").groupBy("truth", folded.alias("cluster")).agg(F.sum("n").alias("n"))
+        largest = sizes.orderBy(F.desc("s"), "cluster").limit(collapse).select("cluster", F.lit(True).alias("_top"))
+        folded = F.when(F.col("_top"), F.col("cluster")).otherwise(F.lit(-1))
+        rows = rows.join(largest, "cluster", "left").groupBy("truth", folded.alias("cluster")).agg(F.sum("n").alias("n"))
     over = {None: None, "pred": ["cluster"], "true": ["truth"], "all": []}[normalize]
     value = F.col("n").cast("double") if over is None else F.col("n") / F.sum("n").over(Window.partitionBy(*over))
     return rows.withColumn("value", F.round(value, 6))
@@ -52,7 +51,7 @@ def accuracy(table: DataFrame) -> DataFrame:
 def alignment_share(df: DataFrame, truth: str, cluster: str) -> DataFrame:
     """Share of each cluster in each class, absent pairs 0."""
     counts = confusion(df, truth, cluster).select("truth", "cluster", "n")
-    grid = counts.select("truth").distinct().crossJoin(F.broadcast(counts.select("cluster").distinct()))
+    grid = counts.select("truth").distinct().crossJoin(counts.select("cluster").distinct())
     full = grid.join(counts, ["truth", "cluster"], "left").na.fill(0, ["n"])
     return full.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("truth")), 6))
 

@@ -2,7 +2,7 @@
 
 ``Prepare(operation, **settings)`` is an Estimator. ``fit`` runs one or two aggregations and
 keeps what it learnt in a ``Prepared`` model, whose ``transform`` is column expressions or a
-broadcast join. Both are saved and loaded as stages of an ordinary ml Pipeline. What depends
+join. Both are saved and loaded as stages of an ordinary ml Pipeline. What depends
 on data (which columns to flag, drop or fill) is decided in ``fit``, so every table that a
 model transforms gets the same columns.
 """
@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +23,10 @@ from pyspark.sql.window import Window
 
 from millrace.functions import values
 from millrace.functions.values import quoted
+from millrace.sources.scratch import checkpoint, scratch
 
-#: A fitted lookup table of more values than this is refused rather than collected.
-MAX_VALUES = 1_000_000
+#: A fitted lookup table of more values than this stays a table, which is saved with the model.
+MAX_VALUES = 100_000
 #: Lookup tables of up to this many values are expressions, larger ones broadcast joins.
 MAP_VALUES = 100
 
@@ -35,6 +36,21 @@ class _Saved(Params):
     settings = Param(Params._dummy(), "settings", "its settings, as JSON", TypeConverters.toString)
 
 
+class _Writer(DefaultParamsWriter):
+    """Parameters, and the fitted table if there is one."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        if "table" in self.instance.learnt:
+            self.sparkSession.read.parquet(self.instance.learnt["table"]).write.parquet(f"{path}/table")
+
+
+class _Reader(DefaultParamsReader):
+    def load(self, path: str) -> Prepared:
+        made = super().load(path)
+        return made._set(state=json.dumps(made.learnt | {"table": f"{path}/table"})) if "table" in made.learnt else made
+
+
 class Prepared(_Saved, Model, DefaultParamsReadable, DefaultParamsWritable):
     state = Param(Params._dummy(), "state", "what was learnt, as JSON", TypeConverters.toString)
 
@@ -43,6 +59,13 @@ class Prepared(_Saved, Model, DefaultParamsReadable, DefaultParamsWritable):
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def write(self) -> _Writer:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> _Reader:
+        return _Reader(cls)
+
     @property
     def learnt(self) -> dict:
         return json.loads(self.getOrDefault(self.state))
@@ -66,29 +89,39 @@ class Prepare(_Saved, Estimator, DefaultParamsReadable, DefaultParamsWritable):
         return Prepared(operation=name, settings=settings, state=json.dumps(learn(df, **json.loads(settings))))
 
 
-def _shares(df: DataFrame, columns: Sequence[str], *, nulls_count: bool) -> dict[str, dict[str, float]]:
-    """Share of each value of each column, in one job."""
+def _shares(df: DataFrame, columns: Sequence[str], *, nulls_count: bool, least: float = 0.0) -> dict:
+    """``{"values": {column: {value: share}}}`` of the values with a share of ``least`` or more; if
+    they are many, ``{"table": folder}`` of ``c, v, share`` in the shared folder."""
     cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
-    counts = df.select(F.explode(cells).alias("x")).select("x.*").groupBy("c", "v").agg(F.count("*").alias("n"))
-    rows = counts.limit(MAX_VALUES + 1).collect()
-    if len(rows) > MAX_VALUES:
-        raise ValueError(f"more than {MAX_VALUES} values in {list(columns)}")
+    counts = checkpoint(df.select(F.explode(cells).alias("x")).select("x.*").groupBy("c", "v").agg(F.count("*").alias("n")))
+    totals = counts.where(F.lit(nulls_count) | F.col("v").isNotNull()).groupBy("c").agg(F.sum("n").alias("total"))  # a row per column
+    shares = counts.where("v is not null").join(F.broadcast(totals), "c").select("c", "v", (F.col("n") / F.col("total")).alias("share")).where(F.col("share") >= least)
+    path = scratch(df.sparkSession, "fitted")
+    shares.write.parquet(path)
+    kept = df.sparkSession.read.schema(shares.schema).parquet(path)
+    if kept.count() > MAX_VALUES:
+        return {"table": path}
     made: dict[str, dict[str, float]] = {c: {} for c in columns}
-    for c in columns:
-        own = [(r["v"], r["n"]) for r in rows if r["c"] == c]
-        total = sum(n for v, n in own if nulls_count or v is not None)
-        made[c] = {v: n / total for v, n in sorted((x for x in own if x[0] is not None)) if total}
-    return made
+    for r in sorted(kept.collect()):
+        made[r["c"]][r["v"]] = r["share"]
+    return {"values": made}
+
+
+def _fitted(df: DataFrame, state: Mapping, column: str) -> Mapping[str, float] | DataFrame:
+    """What ``_shares`` has kept for a column, in either form."""
+    if "table" not in state:
+        return state["values"][column]
+    return df.sparkSession.read.parquet(state["table"]).where(F.col("c") == column).select(F.col("v").alias("_key"), F.col("share").alias("_value"))
 
 
-def _lookup(df: DataFrame, column: str, table: Mapping[str, object], kind: str, out: str, then: Callable[[Column], Column]) -> DataFrame:
+def _lookup(df: DataFrame, column: str, table: Mapping[str, object] | DataFrame, kind: str, out: str, then: Callable[[Column], Column]) -> DataFrame:
     """``out`` = then(value found for ``column`` in the table, or null)."""
-    if len(table) <= MAP_VALUES:
+    if not isinstance(table, DataFrame) and len(table) <= MAP_VALUES:
         pairs = [x for k, v in table.items() for x in (F.lit(k), F.lit(v).cast(kind))]
         found = F.create_map(*pairs)[F.col(column).cast("string")] if pairs else F.lit(None).cast(kind)
         return df.withColumn(out, then(found))
-    side = df.sparkSession.createDataFrame(list(table.items()), f"_key string, _value {kind}")
-    joined = df.join(F.broadcast(side), F.col(column).cast("string") == F.col("_key"), "left")
+    side = table if isinstance(table, DataFrame) else F.broadcast(df.sparkSession.createDataFrame(list(table.items()), f"_key string, _value {kind}"))
+    joined = df.join(side, F.col(column).cast("string") == F.col("_key"), "left")
     return joined.withColumn(out, then(F.col("_value"))).drop("_key", "_value")
 
 
@@ -168,23 +201,23 @@ def _learn_mode(df, columns=None, exclude=(), flag=True, always_flag=()):
 
 
 def _learn_rare(df, columns, min_freq=0.002, other="OTHER"):
-    shares = _shares(df, columns, nulls_count=True)
-    return {"keep": {c: sorted(v for v, s in shares[c].items() if s >= min_freq) for c in columns}}
+    return _shares(df, columns, nulls_count=True, least=min_freq)
 
 
 def _apply_rare(df, state, columns, min_freq=0.002, other="OTHER"):
     for c in columns:
-        df = _lookup(df, c, dict.fromkeys(state["keep"][c], 1), "int", c, lambda known, c=c: F.when(F.col(c).isNull(), None).when(known.isNotNull(), F.col(c)).otherwise(other))
+        own = F.col(c).cast("string") if isinstance(other, str) else F.col(c)
+        df = _lookup(df, c, _fitted(df, state, c), "double", c, lambda known, own=own: F.when(known.isNotNull(), own).when(own.isNotNull(), other))
     return df
 
 
 def _learn_frequency(df, columns, fill=0.0, cast="double", suffix="_freq"):
-    return {"shares": _shares(df, columns, nulls_count=False)}
+    return _shares(df, columns, nulls_count=False)
 
 
 def _apply_frequency(df, state, columns, fill=0.0, cast="double", suffix="_freq"):
     for c in columns:
-        df = _lookup(df, c, state["shares"][c], "double", c + suffix, lambda s: F.coalesce(s, F.lit(fill)).cast(cast))
+        df = _lookup(df, c, _fitted(df, state, c), "double", c + suffix, lambda s: F.coalesce(s, F.lit(fill)).cast(cast))
     return df
 
 

@@ -125,7 +125,7 @@ def silhouette_squared(points: DataFrame, label: str = "label") -> float:
 
 def davies_bouldin_table(points: DataFrame, label: str = "label") -> DataFrame:
     """Mean over clusters of the worst (s_i + s_j) / d_ij; lower is better."""
-    means = F.broadcast(cluster_means(points, label).select(F.col("label").alias("_l"), "center"))
+    means = cluster_means(points, label).select(F.col("label").alias("_l"), "center")
     spread = points.join(means, F.col(label) == F.col("_l")).groupBy("_l").agg(F.avg(_distance("features", "center")).alias("s"), F.first("center").alias("center"))
     a, b = spread.select(F.col("_l").alias("i"), F.col("s").alias("si"), F.col("center").alias("ci")), spread.select(F.col("_l").alias("j"), F.col("s").alias("sj"), F.col("center").alias("cj"))
     ratios = a.join(b, F.col("i") != F.col("j")).select("i", ((F.col("si") + F.col("sj")) / _distance("ci", "cj")).alias("r"))

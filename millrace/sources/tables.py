@@ -62,7 +62,7 @@ def sample_stratified(df: DataFrame, n: int, stratum: str, key: str | Sequence[s
     wanted = counts.select("_s", F.greatest(F.lit(1), F.round(n * F.col("count") / total)).alias("_n"))
     order = Window.partitionBy(stratum).orderBy(*_draw(key, seed))
     ranked = known.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n)
-    return ranked.join(F.broadcast(wanted), F.col(stratum) == F.col("_s")).where(F.col("_r") <= F.col("_n")).select(*df.columns)
+    return ranked.join(wanted, F.col(stratum) == F.col("_s")).where(F.col("_r") <= F.col("_n")).select(*df.columns)
 
 
 def read_table(spark: SparkSession, path: str, *, format: str = "parquet", mode: str = "full", method: str = "random", n: int | None = None, key: str | Sequence[str] | None = None, stratum: str | None = None, order_by: str | None = None, seed: int = 42, **options) -> DataFrame:

@@ -24,6 +24,21 @@ def test_frequencies_by_map_or_join(spark, values):
     assert [r.x_freq for r in got.collect()] == [pytest.approx(2 / (values + 1)), 0.0, 0.0]
 
 
+@pytest.mark.parametrize("name", ["frequency_encode", "rare_grouping"])
+def test_many_values_stay_a_table_that_is_saved_with_the_model(spark, tmp_path, monkeypatch, name):
+    train = spark.createDataFrame([(f"v{i % 7}", i % 3) for i in range(50)] + [("once", 9), (None, None)], "x string, n int")
+    settings = {"columns": ["x", "n"], **({"min_freq": 0.05} if name == "rare_grouping" else {})}
+    few = fit(train, name, **settings)
+    monkeypatch.setattr(prepare, "MAX_VALUES", 2)
+    many = fit(train, name, **settings)
+    assert "table" in many.learnt and "table" not in few.learnt
+    PipelineModel([many]).write().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert again.stages[0].learnt["table"].startswith(str(tmp_path))
+    rows = lambda df: sorted(df.collect(), key=str)
+    assert rows(few.transform(train)) == rows(many.transform(train)) == rows(again.transform(train))
+
+
 def test_mode_tie_is_the_smallest_and_flags_come_from_fit(spark):
     train = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "c string")
     model = fit(train, "mode_impute")
