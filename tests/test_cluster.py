@@ -1,3 +1,5 @@
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -77,8 +79,10 @@ def test_dbscan_of_dense_cells(spark, d, least):
     assert dbscan_labels(spark, x, 0.5, least) == density_clusters(x, 0.5, least)
 
 
-def test_dbscan_tells_dense_neighbours_apart(spark):
+@pytest.mark.parametrize("few", [1e8, 0])
+def test_dbscan_tells_dense_neighbours_apart(spark, monkeypatch, few):
     """Full cells that touch, with gaps just over and under eps that their outermost points do not show."""
+    monkeypatch.setattr(cluster, "_by_cells", partial(cluster._by_cells, few=few))
     bar = [(0.0, y) for y in np.linspace(20, 23, 60)]
     other = [(1.02, y) for y in np.linspace(20, 23, 60)]
     hollow = [(0.5, 0.0), (0.499, 0.35), (0.5, 0.7)]
