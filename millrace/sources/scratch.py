@@ -32,12 +32,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_FOLDER.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+#: Tells Spark to delete shuffle files when the query that made them has ended.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpoint(df: DataFrame, *, release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder now and go on from those files, which outlive executors,
-    are read column by column and have a size that the planner knows."""
-    path = scratch(df.sparkSession, "table")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    are read column by column and have a size that the planner knows. With ``release`` the shuffle
+    files behind it go at once, and not when the driver happens to collect its garbage; ``df``
+    itself is then not to be used again."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, "table")
+    before = spark.conf.get(RELEASE, "false")
+    if release:
+        spark.conf.set(RELEASE, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if release:
+            spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
