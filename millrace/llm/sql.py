@@ -73,6 +73,20 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY 1
 """
 
+RANKED_SEARCH = r"""
+WITH t AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM t),
+q AS (SELECT DISTINCT id AS item_id, unnest(terms) AS term FROM w WHERE side = 'i'),
+d AS (SELECT id AS doc_id, len(terms)::BIGINT AS n, terms FROM w WHERE side = 'd' AND len(terms) > 0),
+g AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nt FROM d),
+tf AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, g GROUP BY term, nd),
+scored AS (SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // nt))))::BIGINT AS score
+           FROM q JOIN tf USING (term) JOIN df USING (term), g GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 
 def _quality() -> str:
     from . import quality
@@ -84,4 +98,4 @@ def _quality() -> str:
     return made
 
 
-ORACLE_SQL = {"op2_decontamination": DECONTAMINATION, "op3_quality": _quality(), "op5_warc": WARC, "op6_line_dedup": LINE_DEDUP, "op9_chat_format": CHAT}
+ORACLE_SQL = {"op2_decontamination": DECONTAMINATION, "op3_quality": _quality(), "op5_warc": WARC, "op6_line_dedup": LINE_DEDUP, "op9_chat_format": CHAT, "op12_ranked_search": RANKED_SEARCH}
