@@ -201,7 +201,9 @@ def audits(rows: DataFrame, *, by: str = "conv_id") -> DataFrame:
             yield _batch([(conv, *path.end())], out)
 
     read = rows.select(by, "pos", F.substring("role", 1, 1).alias("initial"), "fault")
-    return read.repartition(by).sortWithinPartitions(by, "pos").mapInArrow(run, schema)
+    # Few bytes a row, but work: not to be joined into few tasks.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return read.repartition(parts, by).sortWithinPartitions(by, "pos").mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
