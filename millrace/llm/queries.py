@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, line_dedup, mixing, quality, ranked_search, repair, simhash, substring_dedup, toxicity, warc
+from . import chat, decontam, langid, line_dedup, mixing, quality, ranked_search, repair, simhash, span_dedup, substring_dedup, toxicity, warc
 from .common import checkpoint, scratch, table
 from .sql import ORACLE_SQL  # noqa: F401
 
@@ -72,6 +72,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=2)
 
 
+def op11_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = span_dedup.drop_known_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), n=13)
+    return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "n_spans")
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
 
@@ -82,4 +87,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.with_absent(report, given)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op4_substring_dedup, op5_warc, op6_line_dedup, op7_language_id, op8_source_mixing, op9_chat_format, op10_simhash, op12_ranked_search, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op4_substring_dedup, op5_warc, op6_line_dedup, op7_language_id, op8_source_mixing, op9_chat_format, op10_simhash, op11_passage_dedup, op12_ranked_search, op13_conversation_repair)}

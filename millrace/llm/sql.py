@@ -73,6 +73,19 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY 1
 """
 
+PASSAGES = rf"""
+WITH t AS (SELECT doc_id, {WORDS} AS w FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p : p + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM t WHERE len(w) >= 13)),
+firsts AS (SELECT s, min(doc_id) AS f FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, p + i AS p FROM win JOIN firsts USING (s), range(13) r(i) WHERE f < doc_id),
+spans AS (SELECT doc_id, count(*) AS n FROM gone a WHERE NOT EXISTS (SELECT 1 FROM gone b WHERE b.doc_id = a.doc_id AND b.p = a.p - 1) GROUP BY 1),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM t),
+made AS (SELECT doc_id, count(*) AS n_words, count(g.p) AS n_removed, string_agg(word, ' ' ORDER BY each.p) FILTER (WHERE g.p IS NULL) AS kept
+         FROM each LEFT JOIN gone g USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, coalesce(spans.n, 0)::BIGINT AS n_spans
+FROM t LEFT JOIN made USING (doc_id) LEFT JOIN spans USING (doc_id)
+"""
+
 RANKED_SEARCH = r"""
 WITH t AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
 w AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM t),
@@ -98,4 +111,4 @@ def _quality() -> str:
     return made
 
 
-ORACLE_SQL = {"op2_decontamination": DECONTAMINATION, "op3_quality": _quality(), "op5_warc": WARC, "op6_line_dedup": LINE_DEDUP, "op9_chat_format": CHAT, "op12_ranked_search": RANKED_SEARCH}
+ORACLE_SQL = {"op2_decontamination": DECONTAMINATION, "op3_quality": _quality(), "op5_warc": WARC, "op6_line_dedup": LINE_DEDUP, "op9_chat_format": CHAT, "op11_passage_dedup": PASSAGES, "op12_ranked_search": RANKED_SEARCH}
