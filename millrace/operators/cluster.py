@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.functions import values
 from millrace.sources.scratch import checkpoint, hot_join, hot_keys
 from millrace.sources.tables import sample_stratified
 
-from . import quality
+from . import neighbours, quality
 from .graph import components
 
 
@@ -164,22 +165,42 @@ def _numbered(names: DataFrame, by: str) -> DataFrame:
     return ranged.join(F.broadcast(starts), "_p").select(by, at.alias("label"))
 
 
+def _by_blocks(points: DataFrame, eps: float, min_samples: int, max_pairs: int | None) -> DataFrame:
+    """``a, label`` of the points ``id, x`` in clusters, in any number of dimensions. Points in one place
+    are one point with a weight, which stands for all of them in the end."""
+    numbers = checkpoint(_numbered(points.select("id").distinct(), "id").withColumnRenamed("label", "no"))
+    where = F.transform("x", lambda v: v + F.lit(0.0))  # -0.0 is 0.0
+    placed = checkpoint(points.join(numbers, "id").select("id", "no", where.alias("x")).withColumns({"h1": F.xxhash64("x"), "h2": F.xxhash64(F.lit("x"), "x")}))
+    places = checkpoint(placed.groupBy("h1", "h2").agg(F.min("no").alias("rep"), F.count("*").alias("n"), F.min_by("x", "no").alias("x")))
+    search = neighbours.Search(places.select(F.col("rep").alias("id"), "x", F.col("n").alias("weight")), ("weight",))
+    if max_pairs is not None and (total := search.candidates(eps)) > max_pairs:
+        raise ValueError(f"{total} candidate pairs within eps; take a smaller eps or a sample")
+    core, links, border = search.density(eps, min_samples, "weight")
+    core = checkpoint(core)
+    roots = checkpoint(components(links))
+    rooted = core.join(roots.withColumnRenamed("node", "a"), "a", "left").select("a", F.coalesce("root", "a").alias("root"))
+    label_of = checkpoint(rooted.join(_numbered(rooted.select("root").distinct(), "root"), "root").select("a", "label"))
+    often = hot_keys(border.groupBy("rep").agg(F.count("*").alias("n")), ["rep"])
+    reached = hot_join(border, label_of.withColumnRenamed("a", "rep"), ["rep"], often).groupBy("a").agg(F.min("label").alias("label"))
+    known = label_of.unionByName(reached).withColumnRenamed("a", "rep")
+    labels = checkpoint(places.select("h1", "h2", "rep").join(known, "rep").select("h1", "h2", "label"))
+    return hot_join(placed.select(F.col("id").alias("a"), "h1", "h2"), labels, ["h1", "h2"], hot_keys(places, ["h1", "h2"])).select("a", "label")
+
+
 def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, *, max_pairs: int | None = None) -> DataFrame:
     """``key, label``: density clusters numbered from 0 in the order of their smallest core key,
     -1 for noise. A point counts itself; a border point in reach of several clusters takes
     the one of the smallest number. Null keys and features are noise.
 
-    In up to three dimensions dense cells are taken whole, so pairs grow with the points. In more, all
-    pairs within eps are listed (``eps_pairs``). With ``max_pairs`` more candidates are refused;
-    ``eps_pairs`` has a limit of its own."""
+    In up to three dimensions dense cells are taken whole, so pairs grow with the points. In more, points
+    are compared with the blocks that eps reaches (``neighbours``), and no pairs are listed but those that
+    connect. With ``max_pairs`` more candidates are refused."""
     pts = points.select(F.col(key).alias("id"), F.col("features").cast("array<double>").alias("x")).where("id is not null and x is not null")
     d = pts.agg(F.max(F.size("x"))).first()[0] or 1
-    if d <= CELL_DIMENSIONS:
-        met, members, often, links = _by_cells(pts, eps, min_samples, d, max_pairs)
-    else:
-        pairs = eps_pairs(points, key, eps, **({} if max_pairs is None else {"max_pairs": max_pairs}))
-        met = pairs.select("a", F.col("b").alias("rep"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("dense"))
-        members, often, links = pairs.select("a", F.col("b").alias("rep")).where("false"), None, pairs.where("false")
+    if d > CELL_DIMENSIONS:
+        found = points.select(F.col(key).alias("a")).join(_by_blocks(pts, eps, min_samples, max_pairs), "a", "left")
+        return found.select(F.col("a").alias(key), F.coalesce("label", F.lit(-1)).cast("int").alias("label"))
+    met, members, often, links = _by_cells(pts, eps, min_samples, d, max_pairs)
     met = checkpoint(met)
     core = checkpoint(met.groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= min_samples).select("a"))
     to_core = met.where("not dense").join(core.select(F.col("a").alias("rep")), "rep", "left_semi").select("a", "rep").unionByName(met.where("dense").select("a", "rep"))
@@ -266,41 +287,29 @@ def cluster_samples(df: DataFrame, key: str, label: str, n: int, seed: int = 42)
 
 
 def knn_distances(points: DataFrame, key: str, k: int = 5, *, sample: int | None = None, seed: int = 42) -> DataFrame:
-    """Mean distance of each point to its k nearest, itself included at distance 0.
-
-    All points, or a sample of at most ``sample`` if asked, are compared in blocks, of which
-    each keeps the k nearest of every point.
-    """
+    """Mean distance of each point to its k nearest, itself included at distance 0; null for a point
+    without features. All points, or a sample of at most ``sample`` if asked, are searched
+    (``neighbours.Search.nearest``)."""
     if k < 1:
         raise ValueError("k: at least 1")
     if sample is not None:
         points = points.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(sample)
-    data = checkpoint(points.select(F.monotonically_increasing_id().alias("id"), F.lit(0).cast("long").alias("code"), F.col(key), "features"))
+    data = checkpoint(points.select(F.monotonically_increasing_id().alias("id"), F.col(key), F.col("features").cast("array<double>").alias("x")))
     if data.isEmpty():
         raise ValueError("no points")
-
-    def nearest(x, y, _codes):
-        d = quality.distances(x, y)
-        d = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k]
-        return np.pad(d, ((0, 0), (0, k - d.shape[1])), constant_values=np.inf)
-
-    def combine(parts):
-        return np.sort(np.concatenate(parts, axis=1), axis=1)[:, :k]
-
-    def finish(ids, _codes, near):
-        known = np.isfinite(near)
-        return pd.DataFrame({"id": ids, "mean_distance": np.where(known, near, 0).sum(1) / known.sum(1)})
-
-    found = quality.against_all(data.select("id", "code", "features"), "id long, mean_distance double", nearest, combine, finish)
-    return data.select("id", key).join(found, "id").select(key, "mean_distance")
+    near = neighbours.Search(data.where("x is not null")).nearest(k)
+    mean = near.select("id", (F.aggregate("near", F.lit(0.0), lambda s, v: s + v) / F.size("near")).alias("mean_distance"))
+    return data.select("id", key).join(mean, "id", "left").select(key, "mean_distance")
 
 
 def knn_profile(distances: DataFrame) -> DataFrame:
     """Percentiles of the mean distances; the 95th is the suggested eps."""
     d = "mean_distance"
     facts = {"n": F.count(d), "mean": F.round(F.avg(d), 6), "std": F.round(F.stddev_pop(d), 6), "min": F.round(F.min(d), 6), "max": F.round(F.max(d), 6)}
-    facts |= {f"p{p}": F.round(F.percentile(d, F.lit(p / 100)), 6) for p in (25, 50, 75, 90, 95, 99)}
-    return distances.agg(*[x.alias(n) for n, x in facts.items()]).withColumn("suggested_eps", F.col("p95"))
+    shares = (25, 50, 75, 90, 95, 99)
+    found = values.quantiles(checkpoint(distances.select(d)), [d], [p / 100 for p in shares])  # one row
+    rounded = found.select(*[F.round(f"q{i}", 6).alias(f"p{p}") for i, p in enumerate(shares)])
+    return distances.agg(*[x.alias(n) for n, x in facts.items()]).crossJoin(F.broadcast(rounded)).withColumn("suggested_eps", F.col("p95"))
 
 
 def fit(algorithm: str, points: DataFrame, key: str, **parameters) -> DataFrame:
