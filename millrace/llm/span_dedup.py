@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import checkpoint, few, hot_join, hot_keys, modest_batches
+from .common import checkpoint, few, hot_join, hot_keys, modest_batches, scratch, workspace
 
 GRAM = 4
 #: Bytes of text, and words, that are looked at at once.
@@ -356,7 +356,11 @@ def drop_known_passages(docs: DataFrame, *, text: str = "text", key: str = "doc_
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     a: Column = F.xxhash64(F.col(key), F.col(text))
     rows = docs.select(a.alias("a"), F.col(key).alias("id"), body.alias("t")).where(F.col("id").isNotNull() & (F.octet_length("t") >= 2 * n - 1))
-    found = checkpoint(later_windows(rows, n=n, crowd=crowd, hot=hot, shard=shard), release=True)
+    path = scratch(docs.sparkSession, "windows")
+    with workspace(docs.sparkSession):
+        made = later_windows(rows, n=n, crowd=crowd, hot=hot, shard=shard)
+        made.write.parquet(path)
+    found = docs.sparkSession.read.schema(made.schema).parquet(path)
 
     @F.pandas_udf(RESULT)
     def remove(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
