@@ -114,39 +114,37 @@ class Shard:
         """Passages with their keys, in the order of the keys."""
         self.moves: list[dict[bytes, int]] = [{}]
         self.link, self.size, self.least = [-1], [0], [None]
+        moves, link, size, least = self.moves, self.link, self.size, self.least
         for key, words in passages:
-            state = 0
+            last = 0
             for w in words:
-                state = self._extended(state, w)
-                if self.least[state] is None:
-                    self.least[state] = key
-        link, least = self.link, self.least
-        for s in sorted(range(1, len(link)), key=self.size.__getitem__, reverse=True):
+                to = moves[last].get(w)
+                if to is not None:
+                    last = to if size[to] == size[last] + 1 else self._split(last, to, w)
+                    if least[last] is None:
+                        least[last] = key
+                    continue
+                new, p, up = len(moves), last, 0
+                moves.append({})
+                size.append(size[last] + 1)
+                link.append(0)
+                least.append(key)
+                while p >= 0:
+                    there = moves[p]
+                    if w in there:
+                        up = there[w]
+                        if size[up] != size[p] + 1:
+                            up = self._split(p, up, w)
+                        break
+                    there[w] = new
+                    p = link[p]
+                link[new], last = up, new
+        # From the longest: the smallest key of a state is that of all states that end like it.
+        for s in sorted(range(1, len(link)), key=size.__getitem__, reverse=True):
             key, up = least[s], link[s]
             if up and key is not None and (least[up] is None or key < least[up]):
                 least[up] = key
 
-    def _extended(self, last: int, w: bytes) -> int:
-        moves, link, size = self.moves, self.link, self.size
-        to = moves[last].get(w)
-        if to is not None:
-            return to if size[to] == size[last] + 1 else self._split(last, to, w)
-        new = len(moves)
-        moves.append({})
-        size.append(size[last] + 1)
-        link.append(0)
-        self.least.append(None)
-        p = last
-        while p >= 0:
-            there = moves[p]
-            if w in there:
-                to = there[w]
-                link[new] = to if size[to] == size[p] + 1 else self._split(p, to, w)
-                break
-            there[w] = new
-            p = link[p]
-        return new
-
     def _split(self, p: int, to: int, w: bytes) -> int:
         """The state of exactly the words up to ``p`` and ``w``, taken out of state ``to``."""
         moves, link = self.moves, self.link
@@ -176,16 +174,24 @@ class Shard:
 
     def first_seen(self, words: list[bytes], n: int) -> list:
         """For each window of ``n`` words the smallest key that has it, or None."""
-        link, size, out = self.link, self.size, []
-        for i, (length, state) in enumerate(self.statistics(words)):
-            if i >= n - 1:
-                if length < n:
-                    out.append(None)
-                    continue
-                while size[link[state]] >= n:
-                    state = link[state]
-                out.append(self.least[state])
-        return out
+        moves, link, size, least = self.moves, self.link, self.size, self.least
+        out, state, length = [], 0, 0
+        for w in words:  # as in ``statistics``
+            to = moves[state].get(w)
+            while to is None and state:
+                state = link[state]
+                length = size[state]
+                to = moves[state].get(w)
+            if to is not None:
+                state, length = to, length + 1
+            if length < n:
+                out.append(None)
+                continue
+            at = state
+            while size[link[at]] >= n:
+                at = link[at]
+            out.append(least[at])
+        return out[n - 1 :]
 
 
 def _scan(rows: DataFrame, n: int) -> DataFrame:
