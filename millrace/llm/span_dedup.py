@@ -10,10 +10,12 @@ and sharded, so that a shard has a proven size and meets only the passages that
 * The windows around one of the other anchors make a passage, told apart by a 128-bit hash: different
   passages are kept once, with the smallest key that has them. A gram with very many different
   passages is cut into its single windows, which are passages of their own.
-* Grams are dealt to shards of about ``SHARD`` passages. The task of a shard builds the suffix automaton
+* Grams of several passages are dealt to shards of about ``SHARD`` passages. The task of a shard builds the suffix automaton
   of its passages, whose states know the smallest key of a document that has their words, and streams the
   passages past it: the longest match that ends at each word, followed to the state of its last
-  ``n`` words, tells where the window there was seen first.
+  ``n`` words, tells where the window there was seen first. (A gram with one passage, as in exact
+  copies, shares windows with no other: its automaton is a chain whose states all have that passage's
+  key, which is written down without building it.)
 
 Each shard's automaton is thus sent to the passages of its own shard and not to all documents. The
 maximal spans covered by windows that were seen in a smaller key are cut out of the texts. Hashes
@@ -258,9 +260,22 @@ def _seen_first(passages: DataFrame, n: int, schema: str, shard: int) -> DataFra
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def done(rows: list[tuple]) -> pd.DataFrame:
-        split = [(least, body.split()) for _, _, least, _, body in rows]
-        automaton = Shard(split)
-        made = [(g, c, firsts) for (g, c, _, most, _), (_, words) in zip(rows, split, strict=True) if min(firsts := automaton.first_seen(words, n)) < most]
+        """Rows are in the order of their keys, so the first one of a gram has its smallest key."""
+        met: dict[int, list] = {}
+        for g, _, least, most, _ in rows:
+            mine = met.setdefault(g, [least, most, 0])
+            mine[1:] = max(mine[1], most), mine[2] + 1
+        split, alone, made = [], [], []
+        for row in rows:
+            least, most, passages = met[row[0]]
+            if least < most:  # one document alone makes no window of another
+                (alone if passages == 1 else split).append((*row[:4], row[4].split()))
+        for g, c, least, _, words in alone:  # a chain
+            made.append((g, c, [least] * (len(words) - n + 1)))
+        automaton = Shard([(least, words) for _, _, least, _, words in split])
+        for g, c, _, most, words in split:
+            if min(firsts := automaton.first_seen(words, n)) < most:
+                made.append((g, c, firsts))
         return pd.DataFrame(made, columns=["g", "cid", "firsts"])
 
     def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -300,17 +315,15 @@ def later_windows(rows: DataFrame, *, n: int = 13, crowd: int = 2000, hot: int =
     met = checkpoint(_passages(rows.join(found, "a"), n, key, schema), release=True)
     passages = met.groupBy("g", "cid").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"), F.first("body", True).alias("body"))
     passages = checkpoint(passages, release=True)
-    per = passages.groupBy("g").agg(F.count("*").alias("c"), F.min("least").alias("l"), F.max("most").alias("m"))
-    # One document that has a gram twice makes no window of another.
-    per = checkpoint(per.where((F.col("c") > crowd) | ~(F.col("l") < F.col("m"))), release=True)
-    crowded = per.where(F.col("c") > crowd).select("g")
-    calm = passages.join(few(checkpoint(per.select("g"))), "g", "left_anti")
-    places, known = met.select("g", "cid", "a", "id", "pos"), calm.select("g", "cid", "least", "most", "body")
+    crowded = checkpoint(passages.groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") > crowd).select("g"), release=True)
+    some = not crowded.isEmpty()
+    known = passages.join(few(crowded), "g", "left_anti") if some else passages
+    places, known = met.select("g", "cid", "a", "id", "pos"), known.select("g", "cid", "least", "most", "body")
     often = hot_keys(passages, ["g", "cid"], least=hot)
-    if not crowded.isEmpty():
+    if some:
         body = F.split(F.col("body").cast("string"), " ")
         inner = F.transform(F.sequence(F.lit(0), F.size(body) - n), lambda i: F.array_join(F.slice(body, i + 1, n), " ").cast("binary"))
-        cut = passages.join(few(checkpoint(crowded)), "g", "left_semi").select("g", "cid", "n", "least", "most", F.posexplode(inner).alias("o", "body"))
+        cut = passages.join(few(crowded), "g", "left_semi").select("g", "cid", "n", "least", "most", F.posexplode(inner).alias("o", "body"))
         # A window's hash is its gram and, longer, its name.
         cut = checkpoint(cut.select("g", "cid", F.xxhash64("body").alias("g2"), F.unhex(F.md5("body")).alias("cid2"), "o", "n", "least", "most", "body"), release=True)
         single = cut.groupBy(F.col("g2").alias("g"), F.col("cid2").alias("cid")).agg(F.min("least").alias("least"), F.max("most").alias("most"), F.first("body").alias("body"), F.sum("n").alias("n"))
