@@ -74,15 +74,19 @@ def chi2_drift(df: DataFrame, target: str, by: str = "source") -> DataFrame:
     """Chi-square of target against split, degrees of freedom and p-value; Yates' correction
     in the 2 x 2 case. Nulls are left out."""
     counts = df.where(F.col(target).isNotNull() & F.col(by).isNotNull()).groupBy(F.col(target).alias("t"), F.col(by).alias("s")).agg(F.count("*").alias("n"))
-    cats, splits = counts.select("t").distinct(), counts.select("s").distinct()
-    cells = cats.crossJoin(splits).join(counts, ["t", "s"], "left").na.fill(0, ["n"])
-    whole = Window.partitionBy()
-    expected = F.sum("n").over(Window.partitionBy("t")) * F.sum("n").over(Window.partitionBy("s")) / F.sum("n").over(whole)
-    table = cells.select("t", "s", "n", expected.alias("x"))
-    sizes = table.agg(F.countDistinct("t").alias("r"), F.countDistinct("s").alias("c"))
-    gap = F.abs(F.col("n") - F.col("x"))
-    yates = F.when((F.col("r") == 2) & (F.col("c") == 2), F.greatest(gap - 0.5, F.lit(0.0))).otherwise(gap)
-    row = table.crossJoin(F.broadcast(sizes)).agg(F.sum(yates * yates / F.col("x")).alias("chi2"), F.max((F.col("r") - 1) * (F.col("c") - 1)).alias("dof")).first()
+    counts = checkpoint(counts)
+    rows, cols = counts.groupBy("t").agg(F.sum("n").alias("nt")), counts.groupBy("s").agg(F.sum("n").alias("ns"))
+    total, r, c = counts.agg(F.sum("n"), F.countDistinct("t"), F.countDistinct("s")).first()
+    expected = F.col("nt") * F.col("ns") / F.lit(total)
+    if r == c == 2:
+        cells = rows.crossJoin(cols).join(counts, ["t", "s"], "left").na.fill(0, ["n"]).withColumn("x", expected)
+        gap = F.greatest(F.abs(F.col("n") - F.col("x")) - 0.5, F.lit(0.0))
+        row = cells.agg(F.sum(gap * gap / F.col("x")).alias("chi2"), F.lit(1).cast("long").alias("dof")).first()
+    else:
+        # A cell that is not there adds its expected count, and all expected counts are the total.
+        cells = counts.join(rows, "t").join(cols, "s").withColumn("x", expected)
+        there = F.sum((F.col("n") - F.col("x")) ** 2 / F.col("x")) + F.lit(total) - F.sum("x")
+        row = cells.agg(F.greatest(there, F.lit(0.0)).alias("chi2"), F.lit((r - 1) * (c - 1)).cast("long").alias("dof")).first()
     stat, dof = row["chi2"], row["dof"]
     p = chi2_pvalue(stat, dof) if stat is not None and dof else None
     return df.sparkSession.createDataFrame([(target, stat, dof, p)], "target string, chi2 double, dof long, p_value double")

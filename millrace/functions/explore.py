@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import values
 from .values import quoted
@@ -149,7 +148,8 @@ def log_candidates(df: DataFrame, columns: Sequence[str], *, exact: bool = True)
 def class_share(df: DataFrame, column: str) -> DataFrame:
     """Shares of the non-null values."""
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
+    total = counts.agg(F.sum("n").alias("_total"))  # one row
+    return counts.crossJoin(F.broadcast(total)).select("value", "n", F.round(F.col("n") / F.col("_total"), 6).alias("share"))
 
 
 def hour_histogram(df: DataFrame, ts: str) -> DataFrame:

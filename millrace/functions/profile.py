@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from millrace.sources.scratch import checkpoint
+
 from . import values
 from .explore import per_column
 
@@ -122,7 +124,8 @@ def multi_value_frequency(df: DataFrame, column: str, *, delimiter: str = ",", m
     values = df.select(F.explode(F.slice(F.split(column, quoted), 1, max_values)).alias("value"))
     values = values.select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("value")).where("value <> ''")
     counts = values.groupBy("value").agg(F.count("*").alias("n"))
-    shares = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    total = counts.agg(F.sum("n").alias("_total"))  # one row
+    shares = counts.crossJoin(F.broadcast(total)).select("value", "n", (F.col("n") / F.col("_total")).alias("share"))
     return shares.where(F.col("share") >= min_share).orderBy(F.desc("n"), "value").limit(top).withColumn("share", F.round("share", 6))
 
 
@@ -153,9 +156,9 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """Counts per class, null being one, with the share, the number of texts that say "none" and
     the ratio of the largest to the smallest class."""
     counts = df.groupBy(F.col(target).cast("string").alias("value")).agg(F.count("*").alias("n"))
-    whole = Window.partitionBy()
-    none = F.sum(F.when(F.lower("value") == "none", F.col("n")).otherwise(0)).over(whole)
-    return counts.select("value", "n", F.round(F.col("n") / F.sum("n").over(whole), 6).alias("share"), none.alias("n_none_text"), F.round(F.max("n").over(whole) / F.min("n").over(whole), 4).alias("imbalance_ratio"))
+    none = F.sum(F.when(F.lower("value") == "none", F.col("n")).otherwise(0)).alias("n_none_text")
+    whole = counts.agg(F.sum("n").alias("_total"), none, F.round(F.max("n") / F.min("n"), 4).alias("imbalance_ratio"))  # one row
+    return counts.crossJoin(F.broadcast(whole)).select("value", "n", F.round(F.col("n") / F.col("_total"), 6).alias("share"), "n_none_text", "imbalance_ratio")
 
 
 def id_columns(df: DataFrame, patterns: Sequence[str], min_uniqueness: float = 0.95, *, exact: bool = True) -> DataFrame:
@@ -251,11 +254,26 @@ def time_counts(df: DataFrame, ts: str, rule: str = "day") -> DataFrame:
     return grid.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+#: Cells of a crosstab up to which empty ones are listed.
+MOST_CELLS = 1_000_000
+
+
+def full_grid(counts: DataFrame, a: str, b: str, most: int | None = None) -> DataFrame:
+    """``counts`` (``a, b, n``) with a row of 0 for each pair that is missing. Over ``most`` pairs
+    (``MOST_CELLS``) the missing ones are left out: nobody reads such a table, and joins take them as 0."""
+    counts = checkpoint(counts)
+    rows, cols = counts.select(a).distinct(), counts.select(b).distinct()
+    if rows.count() * cols.count() > (MOST_CELLS if most is None else most):
+        return counts
+    same = [F.col(c).eqNullSafe(F.col(f"_mr_{c}")) for c in (a, b)]
+    there = counts.withColumnsRenamed({a: f"_mr_{a}", b: f"_mr_{b}"})
+    return rows.crossJoin(F.broadcast(cols)).join(there, same[0] & same[1], "left").drop(f"_mr_{a}", f"_mr_{b}").na.fill(0, ["n"])
+
+
 def target_by_category(df: DataFrame, target: str, group: str) -> DataFrame:
-    """Crosstab in long form, rows with a null left out, empty cells zero."""
+    """Crosstab in long form, rows with a null left out, empty cells zero (``full_grid``)."""
     counts = df.where(F.col(target).isNotNull() & F.col(group).isNotNull()).groupBy(group, target).agg(F.count("*").alias("n"))
-    grid = counts.select(group).distinct().crossJoin(counts.select(target).distinct())
-    return grid.join(counts, [group, target], "left").na.fill(0, ["n"])
+    return full_grid(counts, group, target)
 
 
 def hour_stats(df: DataFrame, ts: str) -> DataFrame:
@@ -273,3 +291,64 @@ def over_null_threshold(report: DataFrame, pct: float) -> DataFrame:
 
 def top_cardinality(df: DataFrame, top: int = 15) -> DataFrame:
     return column_metadata(df).orderBy(F.desc("n_distinct"), "column_name").limit(top)
+
+
+# Statistics of splits --------------------------------------------------------------------------
+
+
+MOMENTS = "split string, column_name string, position int, dtype string, n_rows long, n_known long, mean double, m2 double, least string, largest string"
+
+
+def split_moments(df: DataFrame, split: str | Column) -> DataFrame:
+    """One row per split and column: rows, known values, and of numeric (and boolean) columns the mean
+    and the sum of squared deviations, with the least and the largest value as text where values have an
+    order. One pass over all columns. Such tables are small, can be saved and merged, and compared later
+    without the data. ``split`` is a column, which is then no column of the report, or an expression."""
+    by = F.col(split) if isinstance(split, str) else split
+    fields = [f for f in df.schema if not (isinstance(split, str) and f.name == split)]
+    if not fields:
+        raise ValueError("no columns")
+    aggs = []
+    for i, f in enumerate(fields):
+        c = F.col(values.quoted(f.name))
+        number = c.cast("int") if isinstance(f.dataType, T.BooleanType) else c
+        numeric = isinstance(f.dataType, (T.NumericType, T.BooleanType))
+        ordered = isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, (T.BinaryType, T.VariantType))
+        aggs += [F.count(c).alias(f"k{i}"), (F.avg(number.cast("double")) if numeric else F.first(F.lit(None).cast("double"))).alias(f"m{i}")]
+        aggs.append((F.var_pop(number.cast("double")) * F.count(c) if numeric else F.first(F.lit(None).cast("double"))).alias(f"v{i}"))
+        aggs += [(g(c).cast("string") if ordered else F.first(F.lit(None).cast("string"))).alias(f"{n}{i}") for n, g in (("l", F.min), ("h", F.max))]
+    wide = df.groupBy(by.cast("string").alias("split")).agg(F.count("*").alias("n_rows"), *aggs)
+    cells = [F.struct(F.lit(f.name).alias("column_name"), F.lit(i).alias("position"), F.lit(f.dataType.simpleString()).alias("dtype"), "n_rows", F.col(f"k{i}").alias("n_known"), F.col(f"m{i}").alias("mean"), F.col(f"v{i}").alias("m2"), F.col(f"l{i}").alias("least"), F.col(f"h{i}").alias("largest")) for i, f in enumerate(fields)]
+    return wide.select("split", F.explode(F.array(*cells)).alias("_x")).select("split", "_x.*")
+
+
+def merge_moments(*tables: DataFrame) -> DataFrame:
+    """The moments of the rows of all ``tables`` (of ``split_moments``) together, as if made in one pass; least and
+    largest values are dropped, as text has another order than numbers."""
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.unionByName(t)
+    n, mean = F.col("n_known"), F.col("mean")
+    total = F.sum(n)
+    center = F.sum(n * mean) / F.nullif(F.sum(F.when(mean.isNotNull(), n)), F.lit(0))
+    # Deviations from the common mean: those within each part, and those of its mean.
+    sums = every.groupBy("split", "column_name").agg(F.min("position").alias("position"), F.min("dtype").alias("dtype"), F.sum("n_rows").alias("n_rows"), total.alias("n_known"), center.alias("mean"), F.collect_list(F.when(mean.isNotNull(), F.struct("n_known", "mean", "m2"))).alias("_parts"))
+    m2 = F.aggregate("_parts", F.lit(0.0), lambda s, p: s + p["m2"] + p["n_known"] * (p["mean"] - F.col("mean")) * (p["mean"] - F.col("mean")))
+    return sums.select("split", "column_name", "position", "dtype", "n_rows", "n_known", "mean", F.when(F.col("mean").isNotNull(), m2).alias("m2"), F.lit(None).cast("string").alias("least"), F.lit(None).cast("string").alias("largest"))
+
+
+def compare_splits(moments: DataFrame, first: str = "train", second: str = "test") -> DataFrame:
+    """The columns of two splits side by side: ``column_name, status`` (BOTH, TYPE_DIFFERS, ONLY_<split>), and for
+    each split ``n_rows, n_known, mean, std`` (of a sample), then ``mean_diff, std_diff, known_share_diff`` (second
+    less first) and ``standardised_diff``, the difference of the means by the root of the mean variance.
+    Works on saved tables of ``split_moments``; the data are not read."""
+    n, dev = F.col("n_known"), F.sqrt(F.col("m2") / F.nullif(F.col("n_known") - 1, F.lit(0)))
+    side = lambda name, tag: moments.where(F.col("split") == name).select("column_name", F.col("dtype").alias(f"t_{tag}"), F.col("n_rows").alias(f"n_rows_{tag}"), n.alias(f"n_known_{tag}"), F.col("mean").alias(f"mean_{tag}"), dev.alias(f"std_{tag}"))
+    both = side(first, "first").join(side(second, "second"), "column_name", "full")
+    a, b = F.col("t_first"), F.col("t_second")
+    status = F.when(b.isNull(), f"ONLY_{first.upper()}").when(a.isNull(), f"ONLY_{second.upper()}").when(a != b, "TYPE_DIFFERS").otherwise("BOTH")
+    gap = F.col("mean_second") - F.col("mean_first")
+    spread = F.sqrt((F.col("std_first") ** 2 + F.col("std_second") ** 2) / 2)
+    share = F.col("n_known_second") / F.nullif("n_rows_second", F.lit(0)) - F.col("n_known_first") / F.nullif("n_rows_first", F.lit(0))
+    facts = [f"{x}_{tag}" for tag in ("first", "second") for x in ("n_rows", "n_known", "mean", "std")]
+    return both.select("column_name", status.alias("status"), *facts, gap.alias("mean_diff"), (F.col("std_second") - F.col("std_first")).alias("std_diff"), share.alias("known_share_diff"), (gap / F.nullif(spread, F.lit(0.0))).alias("standardised_diff"))

@@ -266,6 +266,69 @@ def refit_best(points: DataFrame, key: str, algorithm: str, parameters: Mapping[
     return best, fit(algorithm, points, key, **best)
 
 
+def _draw(rng: np.random.Generator, space: Mapping[str, object]) -> dict:
+    """One value for each parameter: of a list one of it, of (low, high) a whole number or a fraction in
+    between, of (low, high, "log") one that is even on a logarithmic scale."""
+    made = {}
+    for name, given in space.items():
+        if isinstance(given, list):
+            made[name] = given[int(rng.integers(len(given)))]
+            continue
+        low, high, *scale = given
+        whole = isinstance(low, int) and isinstance(high, int)
+        if scale:
+            x = math.exp(rng.uniform(math.log(low), math.log(high + (1 if whole else 0))))
+            made[name] = min(high, int(x)) if whole else x
+        else:
+            made[name] = int(rng.integers(low, high + 1)) if whole else float(rng.uniform(low, high))
+    return made
+
+
+SEARCHED = "rung int, candidate int, parameters string, n_points long, n_clusters long, score double, survives boolean, best boolean"
+
+
+def random_search(points: DataFrame, key: str, algorithm: str, space: Mapping[str, object], *, draws: int = 16, eta: int = 2, least_points: int | None = None, score: str = "silhouette", seed: int = 42, **fixed) -> DataFrame:
+    """Successive halving over ``draws`` different combinations drawn from ``space`` (see ``_draw``): all of them are
+    fitted and scored on a small sample, the best of ``eta`` go on to one ``eta`` times as large, and so on; the last
+    rung is all points. A row per fit: rung, candidate (its number in the draw), sample, score, and whether it
+    goes on; ``best`` marks the winner (on a tie the first drawn).
+
+    Samples are the first points by a seeded hash of the key, so each holds the one before. Draws depend on the
+    seed only. ``least_points`` is the smallest sample (by default that of a geometric series to all points). Fits
+    with fewer than two clusters have no score and rank last. ``fixed`` parameters are given to every fit.
+    """
+    if eta < 2:
+        raise ValueError("eta: at least 2")
+    rng, drawn = np.random.default_rng(seed), []
+    for _ in range(100 * draws):  # a small space has fewer combinations than draws
+        one = _draw(rng, space)
+        if one not in drawn:
+            drawn.append(one)
+        if len(drawn) == draws:
+            break
+    rungs = 1
+    while eta**rungs < len(drawn):
+        rungs += 1
+    rungs += len(drawn) > 1
+    ordered = checkpoint(points.select("*", F.xxhash64(key, F.lit(seed)).alias("_mr_h")))
+    total = ordered.count()
+    alive, rows, sign = list(range(len(drawn))), [], 1 if score in SMALLER else -1
+    for rung in range(rungs):
+        last = rung == rungs - 1
+        n = total if last else min(total, max(least_points or 0, -(-total // eta ** (rungs - 1 - rung))))
+        data = checkpoint(ordered.orderBy("_mr_h", key).limit(n) if n < total else ordered).drop("_mr_h")
+        found = []
+        for i in alive:
+            labels = checkpoint(fit(algorithm, data, key, **drawn[i], **fixed))
+            n_clusters = labels.select("label").distinct().count()
+            value = quality.METRICS[score](data.select(key, "features").join(labels, key), "label") if n_clusters > 1 else None
+            found.append((i, n, n_clusters, value))
+        ranked = sorted(found, key=lambda r: (r[3] is None, sign * (r[3] or 0.0), r[0]))
+        alive = sorted(r[0] for r in ranked[: 1 if last else max(1, len(ranked) // eta)])
+        rows += [(rung, i, ", ".join(f"{k}={v}" for k, v in drawn[i].items()), size, k, value, i in alive, last and i in alive and value is not None) for i, size, k, value in found]
+    return points.sparkSession.createDataFrame(rows, SEARCHED)
+
+
 def assignments(points: DataFrame, key: str, variants: Mapping[str, Mapping[str, object]]) -> DataFrame:
     """One row per key and one label column per named variant ({"algorithm": ..., parameters})."""
     table = points.select(key)

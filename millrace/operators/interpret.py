@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.functions.profile import full_grid
+
 
 def describe_clusters(profile: DataFrame, names: Sequence[str], *, top: int = 3) -> DataFrame:
     """One line per cluster from a ``cluster_profile``: its ``top`` features by name and value."""
@@ -49,10 +51,8 @@ def accuracy(table: DataFrame) -> DataFrame:
 
 
 def alignment_share(df: DataFrame, truth: str, cluster: str) -> DataFrame:
-    """Share of each cluster in each class, absent pairs 0."""
-    counts = confusion(df, truth, cluster).select("truth", "cluster", "n")
-    grid = counts.select("truth").distinct().crossJoin(counts.select("cluster").distinct())
-    full = grid.join(counts, ["truth", "cluster"], "left").na.fill(0, ["n"])
+    """Share of each cluster in each class, absent pairs 0 (``profile.full_grid``)."""
+    full = full_grid(confusion(df, truth, cluster).select("truth", "cluster", "n"), "truth", "cluster")
     return full.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("truth")), 6))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.sources.scratch import checkpoint
+from millrace.sources.scratch import checkpoint, hot_join, hot_keys
 
 
 def _long(points: DataFrame, label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -123,13 +123,33 @@ def silhouette_squared(points: DataFrame, label: str = "label") -> float:
     return ClusteringEvaluator().evaluate(data)
 
 
+#: Clusters up to which their means are broadcast, and compared with each other in one join.
+FEW_CLUSTERS = 2000
+
+
 def davies_bouldin_table(points: DataFrame, label: str = "label") -> DataFrame:
-    """Mean over clusters of the worst (s_i + s_j) / d_ij; lower is better."""
-    means = cluster_means(points, label).select(F.col("label").alias("_l"), "center")
-    spread = points.join(means, F.col(label) == F.col("_l")).groupBy("_l").agg(F.avg(_distance("features", "center")).alias("s"), F.first("center").alias("center"))
-    a, b = spread.select(F.col("_l").alias("i"), F.col("s").alias("si"), F.col("center").alias("ci")), spread.select(F.col("_l").alias("j"), F.col("s").alias("sj"), F.col("center").alias("cj"))
-    ratios = a.join(b, F.col("i") != F.col("j")).select("i", ((F.col("si") + F.col("sj")) / _distance("ci", "cj")).alias("r"))
-    return ratios.groupBy("i").agg(F.max("r").alias("r")).agg(F.avg("r").alias("davies_bouldin"))
+    """Mean over clusters of the worst (s_i + s_j) / d_ij; lower is better. Means of many clusters meet the
+    points in parts where a cluster is large, and each other in blocks."""
+    means = checkpoint(cluster_means(points, label).where("label is not null"))
+    few = means.count() <= FEW_CLUSTERS
+    near = points.select(F.col(label).alias("label"), "features").where("label is not null")
+    met = near.join(F.broadcast(means), "label") if few else hot_join(near, means.drop("n"), ["label"], hot_keys(means, ["label"]))
+    # With the means known, the sum of distances is the only thing that is shuffled.
+    spread = checkpoint(met.groupBy("label").agg(F.avg(_distance("features", "center")).alias("s")).join(means, "label"))
+    if few:
+        a, b = spread.select(F.col("label").alias("i"), F.col("s").alias("si"), F.col("center").alias("ci")), spread.select(F.col("label").alias("j"), F.col("s").alias("sj"), F.col("center").alias("cj"))
+        ratios = a.join(F.broadcast(b), F.col("i") != F.col("j")).select("i", ((F.col("si") + F.col("sj")) / _distance("ci", "cj")).alias("r"))
+        return ratios.groupBy("i").agg(F.max("r").alias("r")).agg(F.avg("r").alias("davies_bouldin"))
+    number = F.monotonically_increasing_id()
+    data = checkpoint(spread.select(number.alias("id"), F.lit(0).cast("long").alias("code"), F.concat("center", F.array("s", number.cast("double"))).alias("features")))
+
+    def partial(x, y, _codes):
+        with np.errstate(divide="ignore"):
+            r = (x[:, -2:-1] + y[:, -2]) / distances(x[:, :-2], y[:, :-2])
+        return np.where(x[:, -1:] == y[:, -1], -np.inf, r).max(1)[:, None]
+
+    found = against_all(data, "r double", partial, lambda parts: np.max(parts, 0), lambda ids, codes, r: pd.DataFrame({"r": r[:, 0]}))
+    return found.agg(F.avg("r").alias("davies_bouldin"))
 
 
 def calinski_harabasz_table(points: DataFrame, label: str = "label") -> DataFrame:
@@ -168,8 +188,9 @@ METRICS = {"silhouette": silhouette, "silhouette_squared": silhouette_squared, "
 def cluster_profile(points: DataFrame, label: str = "label", *, top: int = 10) -> DataFrame:
     """Per cluster its size, share in percent and the ``top`` dimensions of the mean by absolute value."""
     means = cluster_means(points, label)
-    share = F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 4)
-    dims = means.withColumn("pct", share).select("label", "n", "pct", F.posexplode("center").alias("feature_index", "value"))
+    total = means.agg(F.sum("n").alias("_total"))  # one row
+    share = F.round(100.0 * F.col("n") / F.col("_total"), 4)
+    dims = means.crossJoin(F.broadcast(total)).withColumn("pct", share).select("label", "n", "pct", F.posexplode("center").alias("feature_index", "value"))
     order = Window.partitionBy("label").orderBy(F.desc(F.abs("value")), "feature_index")
     return dims.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("value", F.round("value", 6))
 

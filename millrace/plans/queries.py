@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import drift, explore, profile
-from millrace.operators import cluster, interpret, prepare, quality
+from millrace.operators import cluster, integrate, interpret, prepare, quality
 from millrace.operators.prepare import Prepare
 from millrace.sources import tables
 from millrace.sources.scratch import checkpoint, scratch
@@ -38,7 +38,8 @@ def query(sql: str | None = None):
         QUERIES[f.__name__] = f
         if sql:
             views = re.search(r"(FROM|JOIN) (li|ev)\b", sql)
-            ORACLE_SQL[f.__name__] = f"WITH li AS ({LI}), ev AS ({EV}) {sql}" if views else sql
+            rest = sql.replace("WITH ", ", ", 1) if sql.startswith("WITH ") else f" {sql}"
+            ORACLE_SQL[f.__name__] = f"WITH li AS ({LI}), ev AS ({EV}){rest}" if views else sql
         return f
 
     return register
@@ -167,6 +168,19 @@ def split_shapes(spark, d):
     return tables.split_shapes(li(spark, d))
 
 
+def sides_sql(column: str, numeric: bool) -> str:
+    side = lambda name, tag: f"(SELECT count(*) AS n_rows_{tag}, count({column}) AS n_known_{tag}, {f'avg({column})' if numeric else 'CAST(NULL AS DOUBLE)'} AS mean_{tag}, {f'stddev_samp({column})' if numeric else 'CAST(NULL AS DOUBLE)'} AS std_{tag} FROM li WHERE source = '{name}')"
+    return f"SELECT '{column}' AS column_name, * FROM {side('train', 'first')}, {side('test', 'second')}"
+
+
+@query(f"SELECT column_name, 'BOTH' AS status, n_rows_first, n_known_first, round(mean_first, 6) AS mean_first, round(std_first, 6) AS std_first, n_rows_second, n_known_second, round(mean_second, 6) AS mean_second, round(std_second, 6) AS std_second, round(mean_second - mean_first, 6) AS mean_diff, round(std_second - std_first, 6) AS std_diff, round(n_known_second / n_rows_second - n_known_first / n_rows_first, 6) AS known_share_diff, round((mean_second - mean_first) / sqrt((std_first * std_first + std_second * std_second) / 2), 6) AS standardised_diff FROM ({' UNION ALL '.join([*[sides_sql(c, True) for c in NUMERICS], sides_sql('l_returnflag', False)])}) WHERE EXISTS (SELECT 1 FROM li)")
+def split_statistics(spark, d):
+    """Statistics of both splits, written, and compared from what was written."""
+    saved = checkpoint(profile.split_moments(li(spark, d).select(*NUMERICS, "l_returnflag", "source"), "source"))
+    made = profile.compare_splits(saved)
+    return made.withColumns({c: F.round(c, 6) for c, kind in made.dtypes if kind == "double"})
+
+
 # Exploration ---------------------------------------------------------------------------------
 
 
@@ -638,10 +652,139 @@ def final_schema(spark, d):
     return prepare.final_schema(prepared(table(spark, d, "lineitem"), "feature_vector"))
 
 
-@query("SELECT 0 AS position, 'input' AS step, count(*) AS n_rows, 11 AS n_columns FROM lineitem UNION ALL SELECT 1, 'dedup', count(DISTINCT (l_orderkey, l_linenumber)), 11 FROM lineitem")
+@query("WITH n AS (SELECT (SELECT count(*) FROM ev) AS a, (SELECT count(DISTINCT user_id) FROM ev WHERE hashed <> -1 OR hashed IS NULL) AS u, (SELECT count(*) FROM ev WHERE hashed <> -1) AS b, (SELECT count(*) FROM ev WHERE amount IS NULL) AS na, (SELECT count(*) FROM ev WHERE amount IS NULL AND hashed <> -1) AS nb) SELECT 0 AS position, 'input' AS step, a AS n_rows, 3 AS n_columns, na AS n_nulls, CAST(0 AS BIGINT) AS rows_removed, '' AS columns_added, '' AS columns_removed FROM n UNION ALL SELECT 1, 'sentinels', b, 3, nb, a - b, '', '' FROM n UNION ALL SELECT 2, 'one a user', u, 3, 0, b - u, '', '' FROM n UNION ALL SELECT 3, 'columns', u, 3, 0, 0, 'has_amount', 'amount' FROM n")
 def step_counts(spark, d):
-    rows = table(spark, d, "lineitem")
-    return prepare.step_counts({"input": rows, "dedup": prepare.drop_duplicates(rows, ["l_orderkey", "l_linenumber"])})
+    """Each user's row with the largest amount (no user lacks one), and what every step made of the table."""
+    rows = ev(spark, d).select("user_id", "amount", "hashed")
+    steps = {
+        "sentinels": lambda df: df.where("hashed <> -1"),
+        "one a user": lambda df: df.groupBy("user_id").agg(F.max("amount").alias("amount"), F.max("hashed").alias("hashed")),
+        "columns": lambda df: df.withColumn("has_amount", F.col("amount").isNotNull()).drop("amount"),
+    }
+    return prepare.observed_steps(rows, steps)[1]
+
+
+def cents():
+    """Whole numbers, so that sums do not depend on their order."""
+    return F.round(F.col("o_totalprice") * 100).alias("cents")
+
+
+FOLDS = "y AS (SELECT o_orderkey, round(o_totalprice * 100) AS y, o_orderkey % 5 AS fold, CAST(o_custkey AS VARCHAR) AS c, o_orderpriority AS p FROM orders), f AS (SELECT fold, (SELECT sum(y) FROM y) - sum(y) AS s, (SELECT count(*) FROM y) - count(*) AS n FROM y GROUP BY 1)"
+
+
+def folded(column: str) -> str:
+    return f"SELECT o_orderkey, CASE WHEN vn - fn > 0 THEN (vs - fs + 20 * (s / n)) / (vn - fn + 20) ELSE s / n END AS x FROM (SELECT *, sum(y.y) OVER (PARTITION BY {column}) AS vs, count(*) OVER (PARTITION BY {column}) AS vn, sum(y.y) OVER (PARTITION BY {column}, fold) AS fs, count(*) OVER (PARTITION BY {column}, fold) AS fn FROM y) JOIN f USING (fold)"
+
+
+@query(f"WITH {FOLDS} SELECT a.o_orderkey, round(a.x, 6) AS o_custkey_target, round(b.x, 6) AS o_orderpriority_target FROM ({folded('c')}) a JOIN ({folded('p')}) b USING (o_orderkey)")
+def target_encode_folds(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", cents())
+    made = prepare.target_encode_folds(rows, ["o_custkey", "o_orderpriority"], "cents", F.col("o_orderkey") % 5)
+    return made.select("o_orderkey", *[F.round(c, 6).alias(c) for c in ("o_custkey_target", "o_orderpriority_target")])
+
+
+@query("WITH o AS (SELECT o_orderkey, o_custkey, round(o_totalprice * 100) AS y, o_orderkey % 2 = 0 AS fitted FROM orders), g AS (SELECT avg(y) AS g FROM o WHERE fitted), v AS (SELECT o_custkey, (sum(y) + 20 * any_value(g)) / (count(*) + 20) AS x FROM o, g WHERE fitted GROUP BY 1) SELECT o_orderkey, round(coalesce(x, g), 6) AS o_custkey_target FROM o LEFT JOIN v USING (o_custkey), g WHERE NOT fitted")
+def target_encode(spark, d):
+    """Fitted on half of the orders, applied to the others."""
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", cents())
+    model = Prepare("target_encode", columns=["o_custkey"], target="cents").fit(rows.where("o_orderkey % 2 = 0"))
+    return model.transform(rows.where("o_orderkey % 2 <> 0")).select("o_orderkey", F.round("o_custkey_target", 6).alias("o_custkey_target"))
+
+
+@query("WITH f AS (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW'), p AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS slot FROM (SELECT DISTINCT o_orderpriority AS v FROM f)), s AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS slot FROM (SELECT DISTINCT o_orderstatus AS v FROM f)), n AS (SELECT count(*) + 1 AS n FROM p) SELECT o_orderkey, CAST(coalesce(p.slot, n - 1) AS INT) AS slot, CAST(1 AS DOUBLE) AS value FROM orders LEFT JOIN p ON o_orderpriority = p.v, n UNION ALL SELECT o_orderkey, CAST(n + coalesce(s.slot, (SELECT count(*) FROM s)) AS INT), 1 FROM orders LEFT JOIN s ON o_orderstatus = s.v, n")
+def one_hot_encode(spark, d):
+    """Fitted on orders without the lowest priority, which goes to the slot of other values."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    model = Prepare("one_hot_encode", columns=["o_orderpriority", "o_orderstatus"]).fit(rows.where("o_orderpriority <> '5-LOW'"))
+    made = model.transform(rows).select("o_orderkey", F.posexplode(vector_to_array("one_hot")).alias("slot", "value"))
+    return made.where("value <> 0")
+
+
+@query("WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS a, quantile_cont(l_extendedprice, 0.75) AS b, quantile_cont(l_quantity, 0.25) AS c, quantile_cont(l_quantity, 0.75) AS d FROM lineitem) SELECT l_orderkey, l_linenumber, round(greatest(least(l_extendedprice, b + 0.2 * (b - a)), a - 0.2 * (b - a)), 6) AS l_extendedprice, round(greatest(least(l_quantity, d + 0.2 * (d - c)), c - 0.2 * (d - c)), 6) AS l_quantity FROM lineitem, q")
+def iqr_clip(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    return prepared(rows, "iqr_clip", columns=["l_extendedprice", "l_quantity"], k=0.2).withColumns({c: F.round(c, 6) for c in ("l_extendedprice", "l_quantity")})
+
+
+PLAIN = "trim(regexp_replace(strip_accents(lower({})), '[\\x20\\x09-\\x0D]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, length({PLAIN.format('text')}) AS n_chars, md5({PLAIN.format('text')}) AS composed, md5({PLAIN.format("replace(replace(text, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776))")}) AS decomposed FROM documents")
+def normalise_text(spark, d):
+    """The texts of all documents, as they are and with two letters in decomposed form."""
+    apart = F.replace(F.replace("text", F.lit("é"), F.lit("e\u0301")), F.lit("ü"), F.lit("u\u0308"))
+    rows = table(spark, d, "documents").select("doc_id", "text", apart.alias("apart"))
+    made = prepare.normalise_text(rows, ["text", "apart"])
+    return made.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("composed"), F.md5(F.col("apart").cast("binary")).alias("decomposed"))
+
+
+RULES = {"no amount": "amount IS NULL", "sentinel": "hashed = -1", "closed": "action = 'closed'"}
+
+
+@query(" UNION ALL ".join(f"SELECT event_id, '{name}' AS reason FROM ev WHERE {rule}" for name, rule in RULES.items()))
+def excluded_rows(spark, d):
+    return prepare.split_excluded(ev(spark, d), RULES, "event_id")[1]
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS reason, count(*) AS n_rows FROM ev WHERE {rule}" for name, rule in {**RULES, "any": " OR ".join(RULES.values()), "kept": f"coalesce(NOT ({' OR '.join(f'coalesce({r}, FALSE)' for r in RULES.values())}), FALSE)"}.items()))
+def exclusion_counts(spark, d):
+    return prepare.split_excluded(ev(spark, d), RULES, "event_id")[2]
+
+
+@query("WITH m AS (SELECT avg(hashed) AS m, stddev_pop(hashed) AS s FROM ev WHERE NOT (amount IS NULL OR hashed = -1 OR coalesce(action = 'closed', FALSE))) SELECT event_id, round((hashed - m) / s, 6) AS hashed FROM ev, m")
+def masked_fit(spark, d):
+    """Scaled by the rows that no rule excludes; all rows are there."""
+    rows = prepare.exclusion_mask(ev(spark, d).select("event_id", F.col("hashed").cast("double").alias("hashed"), "amount", "action"), RULES)
+    return prepared(rows, "standard_scale", columns=["hashed"], mask="excluded").select("event_id", F.round("hashed", 6).alias("hashed"))
+
+
+@query("WITH c AS (SELECT 'encoding' AS warning, x AS subject, CAST(n AS DOUBLE) AS value, CAST(1000 AS DOUBLE) AS limit, n > 1000 AS raised FROM (SELECT 'l_orderkey' AS x, count(DISTINCT l_orderkey) AS n FROM lineitem UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey) FROM lineitem UNION ALL SELECT 'l_suppkey', count(DISTINCT l_suppkey) FROM lineitem UNION ALL SELECT 'l_linenumber', count(DISTINCT l_linenumber) FROM lineitem)) FROM c UNION ALL SELECT 'aggregation', 'l_orderkey', count(*) / count(DISTINCT l_orderkey), 1, count(*) > count(DISTINCT l_orderkey) FROM lineitem UNION ALL SELECT 'window', 'l_shipdate', date_diff('second', min(l_shipdate), max(l_shipdate)) / 86400, 30, date_diff('second', min(l_shipdate), max(l_shipdate)) / 86400 < 30 FROM lineitem")
+def aggregation_warnings(spark, d):
+    return prepare.aggregation_warnings(table(spark, d, "lineitem"), levels=["l_orderkey"], time="l_shipdate")
+
+
+# Integration ----------------------------------------------------------------------------------
+
+
+def side_sql(me: str, mine: str, key: str, other: str, theirs: str, side: str) -> str:
+    return f"SELECT '{side}' AS side, count(*) AS n_rows, count(*) FILTER (WHERE {key} IS NULL) AS n_null_keys, count(DISTINCT {key}) AS n_keys, (SELECT count(*) FROM (SELECT {key} FROM {me} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS n_repeated_keys, (SELECT max(n) FROM (SELECT count(*) AS n FROM {me} WHERE {key} IS NOT NULL GROUP BY {key})) AS most_rows_per_key, count(DISTINCT {key}) FILTER (WHERE {key} NOT IN (SELECT {theirs} FROM {other} WHERE {theirs} IS NOT NULL)) AS n_unmatched_keys, count(*) FILTER (WHERE {key} IS NULL OR {key} NOT IN (SELECT {theirs} FROM {other} WHERE {theirs} IS NOT NULL)) AS n_unmatched_rows, count(*) FILTER (WHERE {key} IN (SELECT {theirs} FROM {other} WHERE {theirs} IS NOT NULL)) AS n_matched_rows, 'one_to_many' AS relation, (SELECT count(*) FROM customer JOIN o ON c_custkey = k) AS n_inner FROM {me}"
+
+
+ORDERED = "o AS (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS k, o_orderkey, o_totalprice FROM orders WHERE o_custkey % 7 <> 0)"
+
+
+def customers_and_orders(spark, d):
+    """Orders of most customers, a tenth of them without a customer."""
+    orders = table(spark, d, "orders").where("o_custkey % 7 <> 0")
+    orders = orders.select(F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")).alias("k"), "o_orderkey", "o_totalprice")
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k"), "c_name"), orders
+
+
+@query(f"WITH {ORDERED} {side_sql('customer', 'c', 'c_custkey', 'o', 'k', 'left')} UNION ALL {side_sql('o', 'o', 'k', 'customer', 'c_custkey', 'right')}")
+def merge_audit(spark, d):
+    return integrate.merge_audit(*customers_and_orders(spark, d), "k")
+
+
+@query(f"WITH {ORDERED} SELECT coalesce(k, c_custkey) AS k, c_name, o_orderkey, o_totalprice FROM customer FULL JOIN o ON c_custkey = k")
+def merge_full(spark, d):
+    return integrate.merge(*customers_and_orders(spark, d), "k", "full")[0]
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey AS k, p_brand, p_size FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON p_partkey = l_partkey")
+def enrich_lookup(spark, d):
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("k"))
+    parts = table(spark, d, "part").where("p_size > 10").withColumnRenamed("p_partkey", "k")
+    return integrate.enrich(lines, parts, "k", ["p_brand", "p_size"])[0]
+
+
+@query("SELECT e.event_id, e.user_id, e.ts, r.ts AS ts_asof, r.event_id AS event_id_asof, round(r.value, 6) AS value_asof FROM events e ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') r ON e.user_id = r.user_id AND e.ts >= r.ts")
+def asof_alignment(spark, d):
+    """Each event with the latest error of its user up to then."""
+    events = table(spark, d, "events")
+    made = integrate.align_asof(events.select("event_id", "user_id", "ts"), events.where("event_type = 'error'"), "user_id", "ts", columns=["event_id", "value"])
+    return made.withColumn("value_asof", F.round("value_asof", 6))
 
 
 # Clustering ----------------------------------------------------------------------------------
@@ -672,13 +815,34 @@ def kmeans_grid(spark, d):
     return cluster.grid(embeddings(spark, d), "vec_id", "kmeans", {"k": [2, 5, 10], "seed": [42]}, n=5000)
 
 
-@query("SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_keys, CAST(2 AS BIGINT) AS n_clusters, 'k=2, seed=42' AS best FROM embeddings")
+def planted(spark, d):
+    """Events as points in one cloud for each type, so that as many clusters as types are the best."""
+    events = table(spark, d, "events")
+    kinds = ("click", "error", "purchase", "signup", "view")
+    corner = [F.when(F.col("event_type") == k, 10.0).otherwise(0.0) for k in kinds]
+    noise = (F.col("event_id") % 97) / 97.0
+    return events.select("event_id", F.col("event_type").alias("stratum"), F.array(*[c + noise * (i + 1) / 5 for i, c in enumerate(corner)], F.log1p("value") / 20).alias("features"))
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_keys, count(DISTINCT event_type) AS n_clusters, concat('k=', count(DISTINCT event_type), ', seed=42') AS best, count(DISTINCT event_type) AS n_pure FROM events")
 def kmeans_refit(spark, d):
-    """The best of a grid on a stratified sample, fitted anew on all points."""
-    points = embeddings(spark, d).join(table(spark, d, "embeddings").select("vec_id", F.col("label").alias("stratum")), "vec_id")
-    best, labels = cluster.refit_best(points, "vec_id", "kmeans", {"k": [2], "seed": [42]}, n=400, strata="stratum")
+    """The best of a grid on a stratified sample, fitted anew on all points: as many clusters as were
+    planted, each of one kind."""
+    points = planted(spark, d)
+    best, labels = cluster.refit_best(points, "event_id", "kmeans", {"k": [2, 3, 5, 7], "seed": [42]}, n=400, strata="stratum")
     said = ", ".join(f"{k}={v}" for k, v in best.items())
-    return labels.agg(F.count("*").alias("n_rows"), F.countDistinct("vec_id").alias("n_keys"), F.countDistinct("label").alias("n_clusters"), F.lit(said).alias("best"))
+    met = labels.join(points.select("event_id", "stratum"), "event_id")
+    pure = met.groupBy("label").agg(F.countDistinct("stratum").alias("kinds")).agg(F.count_if(F.col("kinds") == 1).alias("n_pure"))  # one row
+    facts = labels.agg(F.count("*").alias("n_rows"), F.countDistinct("event_id").alias("n_keys"), F.countDistinct("label").alias("n_clusters"), F.lit(said).alias("best"))
+    return facts.crossJoin(F.broadcast(pure))
+
+
+@query("SELECT concat('k=', count(DISTINCT event_type)) AS parameters, count(DISTINCT event_type) AS n_clusters, (SELECT count(*) FROM events) AS n_points, 2 AS last_rung, CAST(4 + 2 + 1 AS BIGINT) AS n_fits FROM events")
+def random_search(spark, d):
+    """Successive halving over numbers of clusters on the planted clouds finds theirs."""
+    found = checkpoint(cluster.random_search(planted(spark, d), "event_id", "kmeans", {"k": [2, 3, 5, 8]}, draws=4, least_points=400, score="silhouette_squared", seed=7))
+    facts = found.agg(F.max("rung").alias("last_rung"), F.count("*").alias("n_fits"))  # one row
+    return found.where("best").select("parameters", "n_clusters", "n_points").crossJoin(F.broadcast(facts))
 
 
 @query("SELECT 'hashed' AS column_name, '-1' AS sentinel, '0' AS replacement, count(*) FILTER (WHERE hashed = -1) AS n_replaced FROM ev UNION ALL SELECT 'missing', 'a', 'b', NULL")
@@ -712,6 +876,14 @@ def dbscan(spark, d):
     return cluster.dbscan(suppliers(spark, d), "s_suppkey", 0.8, 3)
 
 
+@query("WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal / 250 AS x, CAST(c_nationkey AS DOUBLE) AS y, c_custkey % 5 / 2.0 AS z, length(c_mktsegment) / 2.0 AS w FROM customer), pairs AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.y = b.y AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) + (a.w - b.w) * (a.w - b.w)) <= 0.9), core AS (SELECT a AS id FROM pairs GROUP BY 1 HAVING count(*) >= 3), links AS (SELECT a, b FROM pairs WHERE a IN (FROM core) AND b IN (FROM core)), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a), roots AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY 1), numbered AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS label FROM (SELECT DISTINCT root FROM roots)), own AS (SELECT id, label FROM roots JOIN numbered USING (root)), near AS (SELECT a AS id, min(label) AS label FROM pairs JOIN own ON b = own.id GROUP BY 1) SELECT p.id AS c_custkey, CAST(coalesce(own.label, near.label, -1) AS INT) AS label FROM p LEFT JOIN own ON p.id = own.id LEFT JOIN near ON p.id = near.id")
+def dbscan_wide(spark, d):
+    """Density clusters in four dimensions, where points are compared by blocks and not by cells."""
+    customers = table(spark, d, "customer")
+    features = F.array(F.col("c_acctbal") / 250, F.col("c_nationkey").cast("double"), F.col("c_custkey") % 5 / 2.0, F.length("c_mktsegment") / 2.0)
+    return cluster.dbscan(customers.select("c_custkey", features.alias("features")), "c_custkey", 0.9, 3)
+
+
 @query("WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings), m AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS s, count(*) AS n FROM e a, e b GROUP BY 1, 2, 3), t AS (SELECT vec_id, max(CASE WHEN own = other THEN s / nullif(n - 1, 0) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b FROM m GROUP BY 1) SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM t")
 def silhouette(spark, d):
     value = quality.silhouette(embeddings(spark, d), "label", key="vec_id")
@@ -755,7 +927,21 @@ def cluster_sizes(spark, d):
     return cluster.cluster_sizes(embeddings(spark, d))
 
 
-@query()
+def labelled(sql: str, label: str) -> str:
+    """SQL over embeddings with another label."""
+    return sql.replace("FROM embeddings", f"FROM (SELECT vec_id, embedding, {label} AS label FROM embeddings)")
+
+
+def metrics_sql(model: str, label: str) -> str:
+    rand = f"WITH c AS (SELECT CAST({label} AS INT) AS a, label AS b, CAST(count(*) AS DOUBLE) AS n FROM embeddings GROUP BY 1, 2), x AS (SELECT sum(n * (n - 1) / 2) AS c, sum(n) AS t FROM c), r AS (SELECT sum(n * (n - 1) / 2) AS r FROM (SELECT sum(n) AS n FROM c GROUP BY a)), s AS (SELECT sum(n * (n - 1) / 2) AS s FROM (SELECT sum(n) AS n FROM c GROUP BY b)) SELECT round(CASE WHEN (r + s) / 2 = r * s / (t * (t - 1) / 2) THEN 1 ELSE (c - r * s / (t * (t - 1) / 2)) / ((r + s) / 2 - r * s / (t * (t - 1) / 2)) END, 6) FROM x, r, s"
+    parts = [f"({labelled(ORACLE_SQL[m], label)}) AS {m}" for m in ("silhouette", "davies_bouldin", "calinski_harabasz")]
+    return f"SELECT '{model}' AS model, {', '.join(parts)}, ({rand}) AS adjusted_rand"
+
+
+METRICS_SQL = " UNION ALL ".join([metrics_sql("given", "label"), metrics_sql("other", "vec_id % 4")])
+
+
+@query(METRICS_SQL)
 def metrics_summary(spark, d):
     points = embeddings(spark, d).withColumn("other", (F.col("vec_id") % 4).cast("int"))
     metrics = quality.evaluate(points, {"given": "label", "other": "other"}, truth="label")
@@ -784,7 +970,11 @@ def cluster_description(spark, d):
     return interpret.describe_clusters(quality.cluster_profile(embeddings(spark, d)), [f"f{i}" for i in range(64)])
 
 
-@query()
+def profile_sql(model: str, label: str) -> str:
+    return labelled(f"(WITH {PROFILE} SELECT '{model}' AS model, CAST(label AS INT) AS label, n, round(100.0 * n / t, 4) AS pct, CAST(dim AS INT) AS feature_index, round(m, 6) AS value, CAST(rank AS INT) AS rank FROM t, z WHERE rank <= 10)", label)
+
+
+@query(f"SELECT * FROM {profile_sql('given', 'label')} UNION ALL SELECT * FROM {profile_sql('half', 'label % 2')}")
 def knowledge_base(spark, d):
     points = embeddings(spark, d).withColumn("half", (F.col("label") % 2).cast("int"))
     return interpret.knowledge_base({"given": quality.cluster_profile(points, "label"), "half": quality.cluster_profile(points, "half")})
@@ -822,7 +1012,10 @@ def fingerprint(spark, d):
     return interpret.fingerprint(table(spark, d, "lineitem"))
 
 
-@query()
+JUDGED = " UNION ALL ".join(f"SELECT model, '{m}' AS metric, {m} {'>=' if larger else '<='} {limit} AS ok FROM w" for m, limit, larger in interpret.LIMITS)
+
+
+@query(f"SELECT model AS winner, count(*) FILTER (WHERE ok) AS n_passed, count(*) FILTER (WHERE NOT ok) AS n_barriers, coalesce(string_agg(metric, ',' ORDER BY metric) FILTER (WHERE NOT ok), '') AS barriers, bool_and(ok) AS ready FROM (WITH w AS (SELECT * FROM ({METRICS_SQL}) ORDER BY adjusted_rand DESC, model DESC LIMIT 1) {JUDGED}) GROUP BY 1")
 def readiness(spark, d):
     """Judges the labels of ``embeddings`` and a labelling by id against each other."""
     points = embeddings(spark, d).withColumn("other", (F.col("vec_id") % 4).cast("int"))

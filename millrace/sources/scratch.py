@@ -94,3 +94,20 @@ def hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame
     dealt = left.join(parts, keys, "left").withColumn("_mr_part", of_row).drop("_mr_parts")
     copied = right.join(parts, keys, "left").withColumn("_mr_part", F.explode(F.sequence(F.lit(0), F.coalesce("_mr_parts", F.lit(1)) - 1))).drop("_mr_parts")
     return dealt.join(copied, [*keys, "_mr_part"], how).drop("_mr_part")
+
+
+#: Parts that rows without a key are dealt to.
+NULL_PARTS = 997
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame | None, how: str = "left", *, broadcast: bool = False) -> DataFrame:
+    """``hot_join`` for data whose keys may be null: null keys meet nothing and do not meet in
+    one task. ``broadcast`` says that ``right`` has been counted to be small."""
+    if broadcast:
+        return left.join(F.broadcast(right), keys, how)
+    hashed = [c for c, kind in left.dtypes if kind.split("<")[0] not in ("map", "variant")]
+    lost = F.lit(False)
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    dealt = left.withColumn("_mr_lost", F.when(lost, F.pmod(F.xxhash64(*hashed), F.lit(NULL_PARTS)) + 1).otherwise(0))
+    return hot_join(dealt, right.withColumn("_mr_lost", F.lit(0).cast("long")), [*keys, "_mr_lost"], hot and hot.withColumn("_mr_lost", F.lit(0).cast("long")), how).drop("_mr_lost")
