@@ -7,8 +7,8 @@ payload equals that of an earlier page are revisit records.
 
 The text source writes one file per task with its own commit, so a lost executor leaves
 no half archive behind, on any store that Spark can write. A record ends with CR LF CR LF, and
-the reader cuts files at "CR LF CR LF WARC/1.1 CR LF". Where a block holds that very
-sequence, Content-Length tells that the record goes on and the pieces are put together.
+the reader cuts files at "CR LF CR LF WARC/1.", which is followed by 0 or 1 and CR LF. Where a block holds
+that very sequence, Content-Length tells that the record goes on and the pieces are put together.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from .common import checkpoint, hot_join, hot_keys, modest_batches
 
 VERSION = b"WARC/1.1\r\n"
-BETWEEN = "\r\n\r\nWARC/1.1\r\n"
+#: Between records of version 1.0 or 1.1, whose last digit stays with the record.
+BETWEEN = "\r\n\r\nWARC/1."
+STARTS = (b"0\r\n", b"1\r\n")
 ID = "urn:page:"
 
 
@@ -161,7 +163,7 @@ def _records(pieces: Iterator[tuple[str, bytes]]) -> Iterator[tuple[dict[str, st
     at, held = None, None
 
     def parse(raw: bytes):
-        head, _, rest = raw.partition(b"\r\n\r\n")
+        head, _, rest = (raw[3:] if raw.startswith(STARTS) else raw).partition(b"\r\n\r\n")
         h = _headers(head)
         return h, rest, _whole_number(h.get("content-length"))
 
@@ -169,17 +171,20 @@ def _records(pieces: Iterator[tuple[str, bytes]]) -> Iterator[tuple[dict[str, st
         h, rest, n = parse(raw)
         if n is None:
             return h, rest, "no content length"
-        return h, rest[:n], "record is cut off" if len(rest) < n else None
+        if len(rest) < n:
+            return h, rest, "record is cut off"
+        beyond = rest[n:]
+        return h, rest[:n], f"{len(beyond)} bytes beyond its length" if beyond.strip(b"\r\n") else None
 
     sep = BETWEEN.encode()
     for file, piece in pieces:
         if file != at:
             if held is not None:
                 yield finish(held)
-            at, held = file, piece.removeprefix(VERSION)
+            at, held = file, piece.removeprefix(b"WARC/1.")
         else:
             h, rest, n = parse(held)
-            if n is not None and len(rest) < n:
+            if n is not None and len(rest) < n or not piece.startswith(STARTS):
                 held += sep + piece
                 continue
             yield finish(held)
@@ -192,7 +197,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record. gzip files are not split, so each file is read in order by one task;
     a task holds one record at a time.
 
-    ``problem`` says what is wrong with a record (cut off, or without a length), else null: a
+    ``problem`` says what is wrong with a record (cut off, without a length, or with bytes beyond its
+    length that begin no record of version 1.0 or 1.1), else null: a
     damaged file gives the records that it has. A record whose length is too large takes in
     what follows, to the end of its file.
     """

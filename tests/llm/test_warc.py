@@ -97,3 +97,27 @@ def test_cut_and_malformed_archives_give_what_they_have(spark, tmp_path):
         (folder / "a.warc").write_bytes(damaged)
         got = {r.page_id: r.problem is None for r in warc.reassemble(warc.read_records(spark, str(folder))).collect()}
         assert got == want
+
+
+def foreign(version, n, body=b"hello", extra=b""):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + body
+    head = f"{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{n}:x>\r\nWARC-Target-URI: u{n}\r\nWARC-Payload-Digest: sha1:{warc.payload_digest(body)}\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + extra + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("versions", [["WARC/1.0"] * 5, ["WARC/1.1"] * 5, ["WARC/1.0", "WARC/1.1", "WARC/1.0", "WARC/1.0", "WARC/1.1"]])
+def test_both_versions_are_read(spark, tmp_path, versions):
+    inside = b"x\r\n\r\nWARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.5 y"
+    raw = b"".join(foreign(v, i, inside if i == 2 else b"hello %d" % i) for i, v in enumerate(versions))
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(raw))
+    got = {r.page_id: r for r in warc.reassemble(warc.read_records(spark, str(tmp_path))).collect()}
+    assert sorted(got) == list(range(5)) and all(r.problem is None for r in got.values())
+    assert bytes(got[2].payload) == inside and got[4].uri == "u4"
+
+
+def test_bytes_beyond_a_record_are_reported(spark, tmp_path):
+    raw = foreign("WARC/1.0", 0, extra=b"surplus") + foreign("WARC/1.1", 1) + foreign("WARC/0.18", 2) + foreign("WARC/1.7", 3) + foreign("WARC/1.0", 4)
+    (tmp_path / "a.warc").write_bytes(raw)
+    got = {r.page_id: r.problem for r in warc.reassemble(warc.read_records(spark, str(tmp_path))).collect()}
+    assert got.keys() == {0, 1, 4} and got[4] is None
+    assert got[0].startswith("7 bytes beyond") and "bytes beyond" in got[1]
