@@ -175,10 +175,11 @@ def format_trees(messages: DataFrame, *, top: int = 1, trained: str = "assistant
 
 def as_trees(conversations: DataFrame) -> DataFrame:
     """Linear conversations (``conv_id, turn, role, text``) as reply trees: each turn answers
-    the one before. Nodes are strings of conversation and place; ties in ``turn`` go by role
-    and text. Null ids form a conversation. The turns of one conversation are numbered in one
-    task, which its one string needs anyway. Extra columns are left out."""
+    the one before. A node is a struct of whether the id is null, the id as text, and the place; ties in
+    ``turn`` go by role and text. Null ids form a conversation of their own, whatever texts other ids are. The
+    turns of one conversation are numbered in one task, which its one string needs anyway. Extra columns are left
+    out."""
     w = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     at = conversations.withColumn("_mr_at", F.row_number().over(w))
-    name = lambda i: F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), i.cast("string"))
+    name = lambda i: F.struct(F.col("conv_id").isNull().alias("none"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("id"), i.alias("place"))
     return at.select("conv_id", name(F.col("_mr_at")).alias("node"), F.when(F.col("_mr_at") > 1, name(F.col("_mr_at") - 1)).alias("parent"), "role", "text", F.lit(0.0).alias("score"))

@@ -83,3 +83,11 @@ def test_linear_conversations_with_nulls_ties_and_repeats(spark):
     got = {r.conv_id: chat.parse(r.formatted) for r in chat.format_trees(trees).collect()}
     assert got == {1: [("user", "hi"), ("assistant", "")], 2: [("", "a"), ("", "a"), ("", "b")], None: [("assistant", "x: ### y")], 3: [("user", "first"), ("user", "then")]}
     assert chat.format_trees(trees.limit(0)).collect() == []
+
+
+def test_ids_that_read_like_null_or_like_a_node(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), ("null", 0, "user", "c"), ("null", 1, "assistant", "d"), ("", 0, "user", "e"), ("null:1", 0, "user", "f"), ("null:1", 1, "assistant", "g")]
+    given = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    made = chat.format_trees(chat.as_trees(given)).collect()
+    got = {r.conv_id: [t for _, t in chat.parse(r.formatted)] for r in made}
+    assert got == {None: ["a", "b"], "null": ["c", "d"], "": ["e"], "null:1": ["f", "g"]}
