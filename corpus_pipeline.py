@@ -23,12 +23,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents go. Of the documents of which nothing would be left, the
-    first to hold a line (by doc_id, nulls last) keeps it; those that still have nothing go, as
-    null and blank texts do. ``n_chars`` is counted anew."""
+    """Lines found in ten documents go. Of the documents that would lose over half of their characters,
+    as copies and near copies of a text do to each other, the first to hold a line (by doc_id, nulls last) keeps
+    it; those that have nothing left go, as null and blank texts do. ``n_chars`` is counted anew."""
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     made = line_dedup.drop_frequent_lines(docs.withColumn("_mr_whole", F.col("text")), min_docs=10)
-    whole = (F.col("n_dropped") == 0) | words
+    whole = (F.col("n_dropped") == 0) | words & (2 * F.length("text") >= F.length("_mr_whole"))
     rank = F.coalesce(F.col("doc_id").try_cast("long"), F.monotonically_increasing_id() + (1 << 62))
     emptied = checkpoint(made.where(~whole).withColumns({"text": F.col("_mr_whole"), "_mr_rank": rank}).select(*docs.columns, "_mr_rank"))
     once = line_dedup.drop_frequent_lines(emptied, key="_mr_rank", min_docs=2, keep="first").where(words)
