@@ -64,3 +64,24 @@ def test_of_a_text_with_many_copies_one_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_deduplication(spark, docs, "").collect()}
     assert got == {i: (t, len(t)) for i, t in {None: "no id", 0: one, 20: two, 33: "its own line", 40: "cold text"}.items()}
+
+
+def test_near_copies_leave_one_whole_copy_of_what_they_share(spark):
+    """Twelve copies of an article, each with a line of its own, and a document that quotes three of its lines."""
+    article = [f"line {i} of a long article" for i in range(40)]
+    texts = {i: "\n".join([*article, f"printed on day {i}"]) for i in range(12)}
+    texts[20] = "\n".join([*article[:3], *[f"an own thought, number {i}" for i in range(30)]])
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_deduplication(spark, docs, "").collect()}
+    assert got[0] == texts[0] and all(got[i] == f"printed on day {i}" for i in range(1, 12))
+    assert got[20] == "\n".join(f"an own thought, number {i}" for i in range(30))
+
+
+def test_empty_tables_nulls_and_extra_columns_go_through_all_stages(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, extra map<string,int>, block long"
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, rows in (("none", []), ("nulls", [(i, None, None, None, None, None, None) for i in range(3)])):
+        (tmp_path / name).mkdir()
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        (tmp_path / name / "benchmark.parquet").symlink_to(tmp_path / "benchmark.parquet")
+        assert corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect() == []
