@@ -251,9 +251,20 @@ def _passages(texts: DataFrame, n: int, key: pa.DataType, schema: str) -> DataFr
     return texts.select("a", "id", "t", "g", "code").mapInArrow(cut, f"g long, cid binary, a long, id {schema}, pos long, body binary")
 
 
+def _runs(firsts: list, most) -> list[tuple[int, int, object]]:
+    """First place, number and key of the runs of windows with one key, below ``most``."""
+    runs, at = [], 0
+    for i in range(1, len(firsts) + 1):
+        if i == len(firsts) or firsts[i] != firsts[at]:
+            if firsts[at] < most:
+                runs.append((at, i - at, firsts[at]))
+            at = i
+    return runs
+
+
 def _seen_first(passages: DataFrame, n: int, schema: str, shard: int) -> DataFrame:
-    """``g, cid, firsts``: for each window of the passages ``g, cid, least, body`` the smallest key that
-    has it, of the passages of which some document may lose words (``most`` is larger)."""
+    """``g, cid, o, c, k``: of the passages ``g, cid, least, most, body`` the ``c`` windows from window ``o``
+    were first seen with key ``k``, where some document of the passage has a larger one."""
     spark = passages.sparkSession
     parts = -(-passages.count() // shard)
     dealt = passages.withColumn("shard", F.pmod(F.xxhash64("g"), F.lit(max(1, parts))))
@@ -265,18 +276,17 @@ def _seen_first(passages: DataFrame, n: int, schema: str, shard: int) -> DataFra
         for g, _, least, most, _ in rows:
             mine = met.setdefault(g, [least, most, 0])
             mine[1:] = max(mine[1], most), mine[2] + 1
-        split, alone, made = [], [], []
+        split, made = [], []
         for row in rows:
             least, most, passages = met[row[0]]
-            if least < most:  # one document alone makes no window of another
-                (alone if passages == 1 else split).append((*row[:4], row[4].split()))
-        for g, c, least, _, words in alone:  # a chain
-            made.append((g, c, [least] * (len(words) - n + 1)))
+            if least < most and passages == 1:  # a chain
+                made.append((row[0], row[1], 0, row[4].count(b" ") + 2 - n, least))
+            elif least < most:  # one document alone makes no window of another
+                split.append((*row[:4], row[4].split()))
         automaton = Shard([(least, words) for _, _, least, _, words in split])
         for g, c, _, most, words in split:
-            if min(firsts := automaton.first_seen(words, n)) < most:
-                made.append((g, c, firsts))
-        return pd.DataFrame(made, columns=["g", "cid", "firsts"])
+            made += [(g, c, *run) for run in _runs(automaton.first_seen(words, n), most)]
+        return pd.DataFrame(made, columns=["g", "cid", "o", "c", "k"])
 
     def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, rows = None, []
@@ -292,12 +302,13 @@ def _seen_first(passages: DataFrame, n: int, schema: str, shard: int) -> DataFra
 
     read = dealt.select("shard", "g", "cid", "least", "most", "body")
     # Little to read, but work: not to be joined into few tasks.
-    return read.repartition(max(tasks, -(-parts // 64)), "shard").sortWithinPartitions("shard", "least").mapInPandas(match, f"g long, cid binary, firsts array<{schema}>")
+    return read.repartition(max(tasks, -(-parts // 64)), "shard").sortWithinPartitions("shard", "least").mapInPandas(match, f"g long, cid binary, o int, c int, k {schema}")
 
 
 def later_windows(rows: DataFrame, *, n: int = 13, crowd: int = 2000, hot: int = 1000, shard: int = SHARD) -> DataFrame:
     """``a, id, windows``: for rows ``a, id, t`` (a hash of the row, its key, its text as bytes) the
-    windows, as the numbers of their first words, that also start in a text with a smaller key.
+    windows that also start in a text with a smaller key, as runs: number of the first word of the first
+    window, times ``n``, plus number of windows, less 1.
 
     Grams and passages of over ``hot`` rows are joined in parts; a gram of over ``crowd`` different passages
     is cut into windows. The result depends on neither, nor on ``shard``.
@@ -336,9 +347,8 @@ def later_windows(rows: DataFrame, *, n: int = 13, crowd: int = 2000, hot: int =
         often = more if often is None else often if more is None else checkpoint(often.unionByName(more).groupBy("g", "cid").agg(F.max("parts").alias("parts")))
     firsts = checkpoint(_seen_first(known, n, schema, shard), release=True)
     seen = hot_join(places, firsts, ["g", "cid"], often)
-    windows = F.filter(F.transform("firsts", lambda k, i: F.when(k < F.col("id"), F.col("pos") + i)), lambda p: p.isNotNull())
-    seen = seen.select("a", "id", windows.alias("w")).where(F.size("w") > 0)
-    return seen.groupBy("a", "id").agg(F.flatten(F.collect_set("w")).alias("windows"))
+    code = (F.col("pos") + F.col("o")) * n + F.col("c") - 1
+    return seen.where(F.col("k") < F.col("id")).select("a", "id", code.alias("w")).groupBy("a", "id").agg(F.collect_set("w").alias("windows"))
 
 
 RESULT = "kept binary, n_words long, n_removed long, n_spans long"
@@ -348,9 +358,10 @@ def _without(text: bytes, windows: np.ndarray | None, n: int) -> tuple[bytes, in
     words = text.split()
     if windows is None:
         return b" ".join(words), len(words), 0, 0
+    first, more = np.divmod(np.asarray(windows, "i8"), n)
     change = np.zeros(len(words) + 1, "i8")
-    np.add.at(change, windows, 1)
-    np.add.at(change, windows + n, -1)
+    np.add.at(change, first, 1)
+    np.add.at(change, first + more + n, -1)
     gone = np.cumsum(change[:-1]) > 0
     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
     return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]), len(words), int(gone.sum()), spans
