@@ -647,7 +647,7 @@ def label_encode(spark, d):
     return prepare.label_encode(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], "l_returnflag", {"A": 0, "N": 1})
 
 
-@query()
+@query("WITH d AS (SELECT row_number() OVER () - 1 AS p, column_name AS f, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS t FROM (DESCRIBE lineitem)), n AS (SELECT count(*) AS n FROM d) SELECT CAST(p AS INT) AS position, f AS feature, t AS dtype, CAST(n + 1 AS INT) AS n_features FROM d, n UNION ALL SELECT CAST(n AS INT), 'features', 'array<float>', CAST(n + 1 AS INT) FROM n")
 def final_schema(spark, d):
     return prepare.final_schema(prepared(table(spark, d, "lineitem"), "feature_vector"))
 
