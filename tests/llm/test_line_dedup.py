@@ -72,3 +72,10 @@ def test_keys_can_be_text_or_large_numbers(spark):
     big = 1 << 60
     numbers = spark.createDataFrame([(big + i, "same") for i in range(11)] + [(None, "same")], "doc_id long, text string")
     assert {r.doc_id for r in ld.drop_frequent_lines(numbers, keep="first").where("text = 'same'").collect()} == {big}
+
+
+def test_a_very_long_text_of_many_lines(spark):
+    long = "\n".join([*[f"line {i}" for i in range(150_000)], "shared"])
+    given = [(0, long), *[(i, f"shared\nown {i}") for i in range(1, 12)]]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in ld.drop_frequent_lines(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    assert got == {0: (150_001, 1, long[: -len("\nshared")])} | {i: (2, 1, f"own {i}") for i in range(1, 12)}

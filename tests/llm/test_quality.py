@@ -49,3 +49,11 @@ def test_documents_that_lose_too_much_go(spark):
     docs = spark.createDataFrame([(1, varied, 1), (2, varied + "\n" + noise, 1), (3, None, 1), (4, "short.", 1)], "doc_id long, text string, kept int")
     assert {r.doc_id: r.kept for r in quality.assess(docs).collect()} == {1: True, 2: False, 3: False, 4: False}
     assert quality.assess(docs.limit(0)).collect() == []
+
+
+def test_a_very_long_text_repeated_rows_and_null_ids(spark):
+    long = "\n".join(f"Sentence {i} of a long text ends here." for i in range(60_000))
+    rows = [(1, long), (None, PROSE), (2, PROSE), (2, PROSE), (None, None)]
+    got = sorted(((r.doc_id, r.n_words, r.n_dup_lines, r.base_failed) for r in quality.assess(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    n = len(PROSE.split())
+    assert got == sorted([(1, 8 * 60_000, 0, True), (None, n, 0, True), (2, n, 0, True), (2, n, 0, True), (None, 0, 0, True)], key=str)

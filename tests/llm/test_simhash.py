@@ -153,3 +153,13 @@ def test_rows_of_one_key_with_different_texts(spark):
     a, b, c = (" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(3))
     docs = spark.createDataFrame([(1, a), (2, a), (2, b), (2, c), (3, c), (3, c)], "doc_id long, text string")
     assert sorted(map(tuple, sh.drop_near_copies(docs).collect())) == sorted([(1, a), (2, b), (2, c)])
+
+
+def test_a_text_beyond_one_block_of_hashes_and_extra_columns(spark):
+    r = random.Random(6)
+    long = " ".join(f"w{r.randrange(5000)}" for _ in range(90_000))
+    rows = [(7, long, "k", 1), (3, long + " more", "k", 2), (5, "quite another text", "k", 3), (None, "quite another text", "k", 4)]
+    made = sh.simhash_groups(spark.createDataFrame(rows, "doc_id long, text string, fp string, component_id int"), shingle=3, radius=2)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in made.collect() if r.doc_id is not None}
+    assert {k: int(f, 16) for k, (f, _) in got.items()} == {k: brute_print(t) for k, t, *_ in rows if k is not None}
+    assert got[7][1] == got[3][1] == 3 and got[5][1] == 5
