@@ -411,7 +411,7 @@ def missingness_top(spark, d):
     return profile.missingness_top(ev(spark, d), 3)
 
 
-@query("SELECT 'hashed' AS column_name, CAST(hashed AS VARCHAR) AS sentinel, count(*) AS n FROM ev WHERE hashed IN (-1, 1000008) GROUP BY 1, 2")
+@query("SELECT 'hashed' AS column_name, CAST(hashed AS VARCHAR) AS sentinel, count(*) AS n FROM ev WHERE hashed IN (-1, 1000008, 999) GROUP BY 1, 2")
 def sentinel_counts(spark, d):
     return profile.sentinel_counts(ev(spark, d), ["hashed"], [-1, 1000008, 999])
 

@@ -80,3 +80,17 @@ def test_problem_values_test_white_space_first(spark):
 def test_key_audit_counts_tuples_with_nulls(spark):
     df = spark.createDataFrame([(1, None), (1, 1), (None, 1), (1, 1)], "a int, b int")
     assert explore.key_audit(df, ["a", "b"]).first().n_composite == 3
+
+
+def test_sentinels_agree_with_their_sql_where_each_is_found(spark, tmp_path):
+    import duckdb
+
+    from millrace.plans.queries import ORACLE_SQL, QUERIES
+
+    spark.sql("SELECT id AS event_id, timestamp_ntz'2024-01-01' AS ts, CASE id WHEN 1 THEN 999 ELSE 8 END AS user_id, 'click' AS event_type, 1.0D AS value, '' AS props FROM range(1, 24)").write.parquet(f"{tmp_path}/events.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    db.execute("CREATE TABLE lineitem (l_shipdate TIMESTAMP)")
+    want = sorted(db.execute(ORACLE_SQL["sentinel_counts"]).fetchall())
+    assert want == [("hashed", "-1", 1), ("hashed", "1000008", 2), ("hashed", "999", 1)]
+    assert sorted(map(tuple, QUERIES["sentinel_counts"](spark, str(tmp_path)).collect())) == want
