@@ -157,7 +157,7 @@ def _pairs_within(x: str, y: str, similarity: float):
     return F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos")) >= overlap
 
 
-def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, radius: int = 2, sample: int = 8_000_000, rounds: int = 4, dense: int = 20, least_gain: float = 0.005, crowd: int = 1000) -> DataFrame:
+def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, radius: int = 2, sample: int = 8_000_000, rounds: int = 4, dense: int = 20, least_gain: float = 0.005, crowd: int = 1000, busiest: int = 16) -> DataFrame:
     """``row_a, row_b, key, group, first``: every row with a 128-bit hash of its key and text, the
     key of the row that stands for its near-duplicate group (the smallest, nulls last), and
     whether it is that row (or repeats it).
@@ -174,8 +174,8 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
 
     What is linked is one component, whose members need not be compared with each other.
     While over ``dense`` pairs per class are left, in up to ``rounds`` rounds the classes under a
-    shingle are compared with one of them; rounds that link under ``least_gain`` of the
-    classes are the last. Then all pairs of different components are compared, shingles of
+    shingle of over ``busiest`` are compared with one of them; rounds that link under ``least_gain``
+    of the classes are the last. Then all pairs of different components are compared, shingles of
     over ``crowd`` classes in parts. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -278,31 +278,42 @@ def near_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shi
     shared = short.select("node", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     keys = checkpoint(short.select("node", "n", F.posexplode("prefix").alias("pos", "h")).join(shared.where("low <> high").select("h"), "h"))
     n_classes = classes.count()
+    me = F.struct("node", "n", "pos", "root")
+
+    def mixed(keys: DataFrame) -> DataFrame:
+        """Shingles of classes of different components, how many classes and open pairs each has."""
+        of_root = keys.groupBy("h", "root").agg(F.count("*").cast("double").alias("m"))
+        of_key = of_root.groupBy("h").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"), F.count("*").alias("roots"))
+        return checkpoint(of_key.where("roots > 1").select("h", F.col("all").cast("long").alias("all"), ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("open")))
+
+    def pairs_of(some: DataFrame) -> float:
+        return some.agg(F.sum("open")).first()[0] or 0
+
+    # All keys get their roots once. Rounds are for the shingles of very many classes, a small part of
+    # the keys; an older root only means that a pair that is linked by now is compared again.
+    left = checkpoint(rooted(keys))
+    of_key = mixed(left)
+    left = checkpoint(left.join(of_key.select("h", "all"), "h"))
+    light, busy = left.where(F.col("all") <= busiest), left.where(F.col("all") > busiest)
+    spare, n_open = pairs_of(of_key.where(F.col("all") <= busiest)), pairs_of(of_key)
     for n in range(rounds):
-        left = rooted(keys)
-        mixed = left.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
-        keys = checkpoint(left.join(mixed, "h", "left_semi").drop("root"))
-        left = rooted(keys)
-        of_root = left.groupBy("h", "root").agg(F.count("*").cast("double").alias("m"))
-        of_key = of_root.groupBy("h").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"))
-        open_pairs = of_key.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
-        if open_pairs <= dense * n_classes:
+        if n_open <= dense * n_classes or n_open == spare:
             break
-        me = F.struct("node", "n", "pos", "root")
-        pivots = left.groupBy("h").agg(F.min_by(me, F.xxhash64("node", F.lit(n))).alias("x"))
-        met = left.select("h", me.alias("y")).join(pivots, "h").where((F.col("x.root") != F.col("y.root")) & _pairs_within("x", "y", similarity))
+        pivots = busy.groupBy("h").agg(F.min_by(me, F.xxhash64("node", F.lit(n))).alias("x"))
+        met = busy.select("h", me.alias("y")).join(pivots, "h").where((F.col("x.root") != F.col("y.root")) & _pairs_within("x", "y", similarity))
         met = met.groupBy(F.col("y.node").alias("y"), F.col("x.node").alias("x")).count()
         best = met.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy(F.desc("count"), "x"))).where("r <= 2")
         found = verified(hopeful(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
         edges = edges.unionByName(found)
         roots = checkpoint(components(edges))
+        busy = checkpoint(rooted(busy.drop("root")))
+        of_key = mixed(busy)
+        busy = checkpoint(busy.join(of_key.select("h"), "h", "left_semi"))
+        n_open = spare + pairs_of(of_key)
         if found.count() < least_gain * n_classes:
             break
     # The smaller set of a pair meets the larger one in a prefix that is shorter still.
-    left = checkpoint(rooted(keys))
-    parts = left.groupBy("h").agg(F.ceil(F.count("*") / crowd).cast("int").alias("parts"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    left = left.join(parts.select("h", "parts"), "h")
-    me = F.struct("node", "n", "pos", "root")
+    left = light.unionByName(busy.select(*light.columns)).withColumn("parts", F.ceil(F.col("all") / crowd).cast("int"))
     index = left.where(F.col("pos") <= F.col("n") - F.ceil(2 * similarity / (1 + similarity) * F.col("n") - 1e-6))
     index = index.select("h", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), me.alias("x"))
     probe = left.select("h", me.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))

@@ -163,3 +163,25 @@ def test_a_text_beyond_one_block_of_hashes_and_extra_columns(spark):
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in made.collect() if r.doc_id is not None}
     assert {k: int(f, 16) for k, (f, _) in got.items()} == {k: brute_print(t) for k, t, *_ in rows if k is not None}
     assert got[7][1] == got[3][1] == 3 and got[5][1] == 5
+
+
+def test_rounds_give_roots_to_the_keys_of_crowded_shingles_only(spark, monkeypatch):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+    frame, texts = [word() for _ in range(40)], []
+    for _ in range(60):  # shingles of 60 pages, and shingles of two of them
+        page = [word() for _ in range(60)]
+        texts += [" ".join(frame + page + [word() for _ in range(40)]) for _ in range(2)]
+    texts += [f"{x} {word()}" for x in texts[:10]]
+    written, write = [], sh.checkpoint
+
+    def counted(df, **settings):
+        made = write(df, **settings)
+        if {"h", "pos", "root"} <= set(made.columns):
+            written.append(made.count())
+        return made
+
+    monkeypatch.setattr(sh, "checkpoint", counted)
+    got = sh.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), dense=0, rounds=4, busiest=16, least_gain=0.0, sample=1)
+    assert sorted(x.doc_id for x in got.collect()) == brute_kept(texts)
+    assert len(written) > 2 and all(n < written[0] / 2 for n in written[2:])
