@@ -37,30 +37,45 @@ def _squares(a: str, b: str):
 
 def against_all(data: DataFrame, schema: str, partial, combine, finish, *, block_bytes: int = 8 << 20, least: int = 512) -> DataFrame:
     """Every point against every point, in blocks that Spark deals out. ``data`` has ``id``
-    (long, unique), ``code`` (long) and ``features``. ``partial(x, y, codes of y)`` gives an
-    array with one row per point of x, ``combine`` makes one of several such arrays, and
+    (long, unique), ``code`` (array of longs) and ``features``. ``partial(x, y, codes of x, codes of y)`` gives
+    two arrays, with one row per point of x and of y, ``combine`` makes one of several such arrays, and
     ``finish(ids, codes, array)`` the rows of the result.
 
-    Each block is shuffled once for every block, so blocks are as large as ``block_bytes`` and
+    Two blocks meet once, for both of them, so blocks are as large as ``block_bytes`` and
     the number of cores allow, but of ``least`` points or more; inside a task 256 points of one
-    are compared at a time. Parts are combined in groups of 64 before a block's are all put together."""
+    are compared with 1,024 of the other at a time. Parts are combined in groups of 64 before a block's are all put together."""
     spark = data.sparkSession
     facts = data.agg(F.count("*").alias("n"), F.max(F.size("features")).alias("d")).first()
     cores = spark.sparkContext.defaultParallelism
-    points = min(block_bytes // (8 * max(1, facts["d"] or 1)), -(-facts["n"] // max(1, math.isqrt(2 * cores))))
+    points = min(block_bytes // (8 * max(1, facts["d"] or 1)), -(-facts["n"] // max(1, math.isqrt(4 * cores))))
     n = max(1, -(-facts["n"] // max(least, points)))
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(part["features"].to_numpy()).astype("f8")
-        return pd.DataFrame({"b": [part["b"].iloc[0]], "ids": [part["id"].to_numpy("i8").tobytes()], "codes": [part["code"].to_numpy("i8").tobytes()], "x": [x.tobytes()]})
+        x, codes = np.stack(part["features"].to_numpy()).astype("f8"), np.stack(part["code"].to_numpy()).astype("i8")
+        return pd.DataFrame({"b": [part["b"].iloc[0]], "ids": [part["id"].to_numpy("i8").tobytes()], "codes": [codes.tobytes()], "x": [x.tobytes()], "n": [len(part)]})
+
+    def met(x, y, cx, cy, same: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """The arrays of two blocks, put together from small tiles, which stay in the cache."""
+        mine, theirs = [], [None] * len(range(0, len(y), 1024))
+        for i in range(0, len(x), 256):
+            row = None
+            for k, j in enumerate(range(0, len(y), 1024)):
+                p, q = partial(x[i : i + 256], y[j : j + 1024], cx[i : i + 256], cy[j : j + 1024])
+                row = p if row is None else combine([row, p])
+                if not same:
+                    theirs[k] = q if theirs[k] is None else combine([theirs[k], q])
+            mine.append(row)
+        return np.concatenate(mine), None if same else np.concatenate(theirs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                n_x, codes = r["n_x"], np.frombuffer(r["other_codes"], "i8")
-                x, y = np.frombuffer(r["x"]).reshape(n_x, -1), np.frombuffer(r["y"]).reshape(len(codes), -1)
-                made = np.concatenate([partial(x[at : at + 256], y, codes) for at in range(0, n_x, 256)])
-                yield pa.RecordBatch.from_pydict({"b": pa.array([r["b"]], pa.int32()), "c": pa.array([r["c"]], pa.int32()), "n_x": pa.array([n_x], pa.int32()), "part": pa.array([np.ascontiguousarray(made, "f8").tobytes()], pa.binary())})
+            for at in range(batch.num_rows):
+                r = {name: batch.column(i)[at].as_py() for i, name in enumerate(batch.schema.names)}
+                x, y = np.frombuffer(r["x"]).reshape(r["n_x"], -1), np.frombuffer(r["y"]).reshape(r["n_y"], -1)
+                cx, cy = np.frombuffer(r["codes_x"], "i8").reshape(r["n_x"], -1), np.frombuffer(r["codes_y"], "i8").reshape(r["n_y"], -1)
+                for b, c, k, made in zip((r["b"], r["c"]), (r["c"], r["b"]), (r["n_x"], r["n_y"]), met(x, y, cx, cy, r["b"] == r["c"]), strict=True):
+                    if made is not None:
+                        yield pa.RecordBatch.from_pydict({"b": pa.array([b], pa.int32()), "c": pa.array([c], pa.int32()), "n_x": pa.array([k], pa.int32()), "part": pa.array([np.ascontiguousarray(made, "f8").tobytes()], pa.binary())})
 
     def arrays(rows: pd.DataFrame) -> np.ndarray:
         return combine([np.frombuffer(p).reshape(rows["n_x"].iloc[0], -1) for p in rows["part"]])
@@ -69,52 +84,89 @@ def against_all(data: DataFrame, schema: str, partial, combine, finish, *, block
         return pd.DataFrame({"b": rows["b"].iloc[:1], "n_x": rows["n_x"].iloc[:1], "part": [np.ascontiguousarray(arrays(rows), "f8").tobytes()]})
 
     def all_of(key, rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        return finish(np.frombuffer(block["ids"].iloc[0], "i8"), np.frombuffer(block["codes"].iloc[0], "i8"), arrays(rows))
+        ids = np.frombuffer(block["ids"].iloc[0], "i8")
+        return finish(ids, np.frombuffer(block["codes"].iloc[0], "i8").reshape(len(ids), -1), arrays(rows))
 
     dealt = data.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    blocks = checkpoint(dealt.groupBy("b").applyInPandas(pack, "b int, ids binary, codes binary, x binary"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    mine = blocks.select("b", every.alias("c"), (F.octet_length("ids") / 8).cast("int").alias("n_x"), "x")
-    others = blocks.select(every.alias("b"), F.col("b").alias("c"), F.col("codes").alias("other_codes"), F.col("x").alias("y"))
-    pairs = mine.join(others.hint("shuffle_merge"), ["b", "c"])
-    parts = pairs.mapInArrow(compare, "b int, c int, n_x int, part binary")
+    blocks = checkpoint(dealt.groupBy("b").applyInPandas(pack, "b int, ids binary, codes binary, x binary, n int"))
+    mine = blocks.select("b", F.explode(F.sequence(F.col("b"), F.lit(n - 1))).alias("c"), F.col("n").alias("n_x"), F.col("codes").alias("codes_x"), "x")
+    others = blocks.select(F.explode(F.sequence(F.lit(0), F.col("b"))).alias("b"), F.col("b").alias("c"), F.col("n").alias("n_y"), F.col("codes").alias("codes_y"), F.col("x").alias("y"))
+    # Few bytes a pair, but work: each in a task of its own, as far as there are as many tasks.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(n * (n + 1) // 2, 16 * cores))
+    pairs = mine.repartition(tasks, "b", "c").join(others.repartition(tasks, "b", "c").hint("shuffle_merge"), ["b", "c"])
+    parts = checkpoint(pairs.mapInArrow(compare, "b int, c int, n_x int, part binary"))
     parts = parts.groupBy("b", F.floor(F.col("c") / 64).alias("part_of")).applyInPandas(some, "b int, n_x int, part binary")
     return parts.groupBy("b").cogroup(blocks.select("b", "ids", "codes").groupBy("b")).applyInPandas(all_of, schema)
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.stack([np.sqrt(((y - p) ** 2).sum(1)) for p in x])
+    """Euclidean distances of the rows of x to those of y, by a product of matrices; where that loses
+    digits, because points are much nearer to each other than to the mean, by their differences."""
+    middle = y.mean(0)
+    x, y = x - middle, y - middle
+    norms = (x * x).sum(1)[:, None] + (y * y).sum(1)
+    d = norms - 2.0 * (x @ y.T)
+    i, j = np.nonzero(d <= 1e-6 * norms)
+    for at in range(0, len(i), 1 << 14):
+        part = slice(at, at + (1 << 14))
+        d[i[part], j[part]] = ((x[i[part]] - y[j[part]]) ** 2).sum(1)
+    return np.sqrt(d, out=d)
 
 
 def silhouette(points: DataFrame, label: str = "label", *, key: str | None = None, sample: int | None = None, seed: int = 42) -> float | None:
     """Mean Euclidean silhouette of all points, or of a sample of at most ``sample`` if asked
     (quadratic in the points); a point alone in its cluster scores 0. Points are compared in
     blocks. None for fewer than two clusters."""
+    return silhouettes(points, [label], key=key, sample=sample, seed=seed)[0]
+
+
+#: Clusters up to which sums by cluster are a product of matrices.
+FEW_SUMS = 64
+
+
+def silhouettes(points: DataFrame, labels: Sequence[str], *, key: str | None = None, sample: int | None = None, seed: int = 42) -> list[float | None]:
+    """The ``silhouette`` of several label columns, from one comparison of all points."""
     if sample is not None:
         points = points.orderBy(F.xxhash64(key or "features", F.lit(seed)), F.col(key or "features")).limit(sample)
-    some = checkpoint(points.select(F.monotonically_increasing_id().alias("id"), F.col(label).alias("label"), F.col("features").cast("array<double>").alias("features")))
-    sizes = some.groupBy("label").count().orderBy("label").collect()
-    if len(sizes) < 2:
-        return None
-    n = np.array([r["count"] for r in sizes])
-    names = points.sparkSession.createDataFrame([(r["label"], i) for i, r in enumerate(sizes)], some.select("label", F.lit(0).cast("long").alias("code")).schema)
-    same = some["label"].eqNullSafe(names["label"])
-    data = some.join(F.broadcast(names), same).select("id", "code", "features")
-
-    def partial(x, y, codes):
-        return np.stack([np.bincount(codes, d, len(n)) for d in distances(x, y)])
-
-    def finish(ids, codes, sums):
-        at = np.arange(len(ids))
-        a = sums[at, codes] / np.maximum(n[codes] - 1, 1)
-        means = sums / n
-        means[at, codes] = np.inf
-        b = means.min(1)
-        most = np.maximum(a, b)
-        s = np.where((n[codes] > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1), 0.0)
-        return pd.DataFrame({"s": s})
-
-    return against_all(data, "s double", partial, lambda parts: np.sum(parts, 0), finish).agg(F.avg("s")).first()[0]
+    data = checkpoint(points.select(F.monotonically_increasing_id().alias("id"), F.col("features").cast("array<double>").alias("features"), *[F.col(c).alias(f"l{i}") for i, c in enumerate(labels)]))
+    counts = []
+    for i in range(len(labels)):
+        sizes = data.groupBy(f"l{i}").count().orderBy(f"l{i}").collect()
+        names = points.sparkSession.createDataFrame([(r[0], k) for k, r in enumerate(sizes)], data.select(F.col(f"l{i}").alias("name"), F.lit(0).cast("long").alias(f"c{i}")).schema) if len(sizes) > 1 else None
+        counts.append(np.array([r["count"] for r in sizes]))
+        if names is not None:
+            data = data.join(F.broadcast(names), F.col(f"l{i}").eqNullSafe(F.col("name"))).drop("name")
+    used = [i for i, n in enumerate(counts) if len(n) > 1]
+    if not used:
+        return [None] * len(labels)
+    sizes = [counts[i] for i in used]
+    data = data.select("id", F.array(*[f"c{i}" for i in used]).alias("code"), "features")
+
+    def sums(d: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        made = []
+        for n, c in zip(sizes, codes.T, strict=True):
+            made.append(d @ (c[:, None] == np.arange(len(n))).astype("f8") if len(n) <= FEW_SUMS else np.stack([np.bincount(c, row, len(n)) for row in d]))
+        return np.concatenate(made, axis=1)
+
+    def partial(x, y, cx, cy):
+        d = distances(x, y)
+        return sums(d, cy), sums(d.T, cx)
+
+    def finish(ids, codes, whole):
+        at, start, made = np.arange(len(ids)), 0, {}
+        for i, n, c in zip(used, sizes, codes.T, strict=True):
+            own = whole[:, start : start + len(n)]
+            a = own[at, c] / np.maximum(n[c] - 1, 1)
+            means = own / n
+            means[at, c] = np.inf
+            b = means.min(1)
+            most = np.maximum(a, b)
+            made[f"s{i}"] = np.where((n[c] > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1), 0.0)
+            start += len(n)
+        return pd.DataFrame(made)
+
+    found = against_all(data, ", ".join(f"s{i} double" for i in used), partial, lambda parts: np.sum(parts, 0), finish).agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in used]).first().asDict()
+    return [found.get(f"s{i}") for i in range(len(labels))]
 
 
 def silhouette_squared(points: DataFrame, label: str = "label") -> float:
@@ -141,12 +193,13 @@ def davies_bouldin_table(points: DataFrame, label: str = "label") -> DataFrame:
         ratios = a.join(F.broadcast(b), F.col("i") != F.col("j")).select("i", ((F.col("si") + F.col("sj")) / _distance("ci", "cj")).alias("r"))
         return ratios.groupBy("i").agg(F.max("r").alias("r")).agg(F.avg("r").alias("davies_bouldin"))
     number = F.monotonically_increasing_id()
-    data = checkpoint(spread.select(number.alias("id"), F.lit(0).cast("long").alias("code"), F.concat("center", F.array("s", number.cast("double"))).alias("features")))
+    data = checkpoint(spread.select(number.alias("id"), F.array(F.lit(0).cast("long")).alias("code"), F.concat("center", F.array("s", number.cast("double"))).alias("features")))
 
-    def partial(x, y, _codes):
-        with np.errstate(divide="ignore"):
+    def partial(x, y, _cx, _cy):
+        with np.errstate(divide="ignore", invalid="ignore"):
             r = (x[:, -2:-1] + y[:, -2]) / distances(x[:, :-2], y[:, :-2])
-        return np.where(x[:, -1:] == y[:, -1], -np.inf, r).max(1)[:, None]
+        r = np.where(x[:, -1:] == y[:, -1], -np.inf, r)
+        return r.max(1)[:, None], r.max(0)[:, None]
 
     found = against_all(data, "r double", partial, lambda parts: np.max(parts, 0), lambda ids, codes, r: pd.DataFrame({"r": r[:, 0]}))
     return found.agg(F.avg("r").alias("davies_bouldin"))
@@ -198,8 +251,9 @@ def cluster_profile(points: DataFrame, label: str = "label", *, top: int = 10) -
 def evaluate(points: DataFrame, labelings: Mapping[str, str], metrics: Sequence[str] = ("silhouette", "davies_bouldin", "calinski_harabasz"), truth: str | None = None) -> DataFrame:
     """``model, metric, value`` for each label column in ``labelings`` (name -> column)."""
     rows = []
+    compared = dict(zip(labelings, silhouettes(points, list(labelings.values())), strict=True)) if "silhouette" in metrics and labelings else {}
     for model, column in labelings.items():
-        rows += [(model, m, METRICS[m](points, column)) for m in metrics]
+        rows += [(model, m, compared[model] if m == "silhouette" else METRICS[m](points, column)) for m in metrics]
         if truth:
             rows.append((model, "adjusted_rand", adjusted_rand_table(points, column, truth).first()[0]))
     return points.sparkSession.createDataFrame(rows, "model string, metric string, value double")

@@ -169,3 +169,32 @@ def test_silhouette_and_nearest_of_all_points(spark):
     assert len(near) == n
     for i in (0, 700, n - 1):
         assert near[i] == pytest.approx(np.sort(np.sqrt(((x - x[i]) ** 2).sum(1)))[:4].mean())
+
+
+def test_distances_of_points_near_each_other_and_far_away():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(40, 8)), 1e6 + rng.normal(size=(40, 8)) * 1e-3, np.full((5, 8), 1e6)])
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    assert np.allclose(quality.distances(x, x), want, rtol=1e-6, atol=0) and (np.diag(quality.distances(x, x)) == 0).all()
+
+
+def test_labelings_share_one_comparison_of_two_blocks_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 3)) + rng.integers(0, 2, (1500, 1)) * 5
+    rows = [(i, p.tolist(), int(p[0] > 2), i % 70, 0) for i, p in enumerate(x)]
+    df = spark.createDataFrame(rows, "k long, features array<double>, a int, b int, c int")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+
+    def brute(c):
+        means = np.stack([d[:, c == v].sum(1) for v in np.unique(c)], 1)
+        n, at = np.bincount(c), np.arange(len(c))
+        a, means = means[at, c] / (n[c] - 1), means / n
+        means[at, c] = np.inf
+        return ((means.min(1) - a) / np.maximum(a, means.min(1))).mean()
+
+    calls, once = [], quality.against_all
+    monkeypatch.setattr(quality, "against_all", lambda *a, **k: calls.append(1) or once(*a, **k))
+    got = {r.model: r.value for r in quality.evaluate(df, {"a": "a", "b": "b", "c": "c"}, ["silhouette"]).collect()}
+    assert got["a"] == pytest.approx(brute(np.array([r[2] for r in rows])), abs=1e-9)
+    assert got["b"] == pytest.approx(brute(np.array([r[3] for r in rows])), abs=1e-9)
+    assert got["c"] is None and len(calls) == 1
