@@ -8,7 +8,8 @@ may concern are sent to it, packed together, and what could not hold a neighbour
 compared. A crowded cell makes more blocks, not larger ones.
 
 Without any structure in the points (many dimensions, no clusters) every reach touches every cell and
-the work is quadratic, as it must be.
+the work is quadratic, as it must be. Nearest neighbours then come from ``quality.against_all``, which
+does not send a copy of each point to each cell.
 """
 
 from __future__ import annotations
@@ -25,10 +26,14 @@ from pyspark.sql import functions as F
 
 from millrace.sources.scratch import checkpoint, hot_join, hot_keys
 
+from .quality import against_all, distances
+
 #: Pivots at most, which bounds what is collected and sent to all tasks; points of a block.
 MOST_PIVOTS, BLOCK = 1024, 2048
 #: Bounds are widened by this share, for the rounding of distances.
 SLACK = 1e-9
+#: Cells that a point is sent to, in the mean, from which on all points are compared with all; bytes of points sent from a task at once.
+MANY_CELLS, ASKED_BYTES = 16, 16 << 20
 
 
 def between(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -47,8 +52,8 @@ class Search:
     columns of longs in ``carry`` (of names that the blocks do not have), and the searches over them. ``examined`` is the number of
     distances that the last search computed (without those to pivots), of ``n * n``."""
 
-    def __init__(self, points: DataFrame, carry: tuple[str, ...] = (), *, pivots: int | None = None, block: int = BLOCK, seed: int = 42):
-        self.spark, self.carry, self.block = points.sparkSession, carry, block
+    def __init__(self, points: DataFrame, carry: tuple[str, ...] = (), *, pivots: int | None = None, block: int = BLOCK, seed: int = 42, many_cells: float = MANY_CELLS):
+        self.spark, self.carry, self.block, self.many_cells = points.sparkSession, carry, block, many_cells
         self.examined = 0
         given = points.select("id", "x", *carry)
         self.n = given.count()
@@ -99,13 +104,39 @@ class Search:
         schema = "block long, p int, n int, lo double, hi double, ids binary, x binary, dp binary" + "".join(f", {c} binary" for c in carry)
         return placed.repartitionByRange("p", "dp", F.xxhash64("id")).sortWithinPartitions("p", "dp").mapInPandas(pack, schema)
 
+    @staticmethod
+    def _nearer(d: np.ndarray, dp: np.ndarray, apart: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Which cells can be in reach, as points of a cell are nearer to its pivot than to this one's."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return ~((d**2 - dp[:, None] ** 2) / (2 * apart) > r[:, None])
+
+    def cells_asked(self, blocks: DataFrame) -> float:
+        """How many cells a point of ``blocks`` (with ``r``) has to be sent to, in the mean."""
+        pivots, cells = self.pivots, self.cells
+        known, low, high = cells["p"].to_numpy(), cells["lo"].to_numpy(), cells["hi"].to_numpy()
+
+        def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            gaps = between(pivots[known], pivots)
+            for f in frames:
+                n = 0
+                for row in f.to_dict("records"):
+                    x, dp = _arrays(row)
+                    r = np.frombuffer(row["r"])
+                    d = between(x, pivots[known])
+                    may = (d - high <= r[:, None]) & (low - d <= r[:, None])
+                    n += int((may & nearer(d, dp, gaps[:, row["p"]], r)).sum())
+                yield pd.DataFrame({"n": [n]})
+
+        nearer = self._nearer
+        return (blocks.select("p", "x", "dp", "r").mapInPandas(count, "n long").agg(F.sum("n")).first()[0] or 0) / max(1, self.n)
+
     def _asked(self, blocks: DataFrame, own: bool, keep: tuple[str, ...] = ()) -> DataFrame:
         """Which points of ``blocks`` (with ``r``, the reach of each) may have neighbours in which blocks:
         ``block, at, q, d, r, ...`` (places in the block, points, distances to the pivot there) with the
         payload of that block in ``target, y, e, ...``. ``own``: a block is asked itself too."""
         pivots, cells = self.pivots, self.cells
         known, low, high = cells["p"].to_numpy(), cells["lo"].to_numpy(), cells["hi"].to_numpy()
-        columns = ["at", "q", "d", "r", *keep]
+        columns, nearer = ["at", "q", "d", "r", *keep], self._nearer
 
         def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             gaps = between(pivots[known], pivots)
@@ -115,16 +146,17 @@ class Search:
                     r = np.frombuffer(row["r"]) * (1 + SLACK) + SLACK * (1 + dp)
                     d = between(x, pivots[known])
                     may = (d - high <= r[:, None]) & (low - d <= r[:, None])
-                    # Points of a cell are nearer to its pivot than to this one's.
-                    apart = gaps[:, row["p"]]
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        may &= ~((d**2 - dp[:, None] ** 2) / (2 * apart) > r[:, None])
-                    made = []
+                    may &= nearer(d, dp, gaps[:, row["p"]], r)
+                    made, held = [], 0
                     for t in np.flatnonzero(may.any(0)):
                         at = np.flatnonzero(may[:, t])
                         at = at[np.argsort(d[at, t], kind="stable")]
                         kept = {c: np.frombuffer(row[c], "i8")[at].tobytes() for c in keep}
                         made.append({"block": row["block"], "t": known[t], "m": len(at), "reach_lo": (d[at, t] - r[at]).min(), "reach_hi": (d[at, t] + r[at]).max(), "at": at.astype("i4").tobytes(), "q": x[at].tobytes(), "d": d[at, t].tobytes(), "r": r[at].tobytes(), **kept})
+                        held += x[at].nbytes
+                        if held > ASKED_BYTES:
+                            yield pd.DataFrame(made)
+                            made, held = [], 0
                     if made:
                         yield pd.DataFrame(made)
 
@@ -236,6 +268,9 @@ class Search:
 
         columns = ", ".join(f"{n} {t}" for n, t in self.blocks.dtypes if n not in self.carry)
         first = checkpoint(self.blocks.drop(*self.carry).mapInPandas(own, columns.replace("bigint", "long") + ", near binary, r binary"))
+        if self.cells_asked(first) > self.many_cells:
+            self.examined = self.n * self.n
+            return self._among_all(k)
         asked = self._asked(first.drop("near", "ids"), False)
         part = "block long, at binary, near binary, seen long"
         parts = self._compared(self._met(asked, self.blocks).drop("y_ids"), part, use)
@@ -246,6 +281,31 @@ class Search:
         fewer = parts.groupBy("block", F.pmod(F.xxhash64("at", "near"), F.lit(groups)).alias("part_of")).applyInPandas(some, part)
         return fewer.groupBy("block").cogroup(first.select("block", "ids", "near").groupBy("block")).applyInPandas(all_of, "id long, near array<double>")
 
+    def _among_all(self, k: int) -> DataFrame:
+        """``nearest`` for points without structure: all with all, by ``against_all``, in memory that depends
+        on its blocks only."""
+
+        def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                for ids, x in zip(f["ids"], f["x"], strict=True):
+                    ids = np.frombuffer(ids, "i8")
+                    yield pd.DataFrame({"id": ids, "features": list(np.frombuffer(x).reshape(len(ids), -1))})
+
+        def least(d: np.ndarray) -> np.ndarray:
+            d = np.partition(d, k - 1, axis=1)[:, :k] if d.shape[1] > k else d
+            return np.pad(d, ((0, 0), (0, k - d.shape[1])), constant_values=np.inf)
+
+        def partial(x, y, _cx, _cy):
+            d = distances(x, y)
+            return least(d), least(d.T)
+
+        def finish(ids, _codes, near):
+            return pd.DataFrame({"id": ids, "near": [x[np.isfinite(x)] for x in np.sort(near, axis=1)]})
+
+        points = self.blocks.select("ids", "x").mapInPandas(unpack, "id long, features array<double>")
+        data = checkpoint(points.withColumn("code", F.array(F.lit(0).cast("long"))))
+        return against_all(data, "id long, near array<double>", partial, lambda parts: least(np.concatenate(parts, axis=1)), finish)
+
     def density(self, eps: float, least: int, weight: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Core points ``a``; links ``a, b`` that connect the core points within ``eps`` of each other; and
         ``a, rep`` of the other points and the core points within ``eps`` of them.

@@ -80,3 +80,12 @@ def test_keys_of_text_and_points_without_features(spark):
     assert near["a"] == near["b"] == 0 and near["e"] is None and near["c"] == pytest.approx(0.05)
     with pytest.raises(ValueError):
         cluster.dbscan(df, "k", 0.5, 3, max_pairs=3)
+
+
+def test_points_without_structure_are_not_sent_to_every_cell(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(900, 24))
+    x[:30] = x[0]
+    search = Search(frame(spark, x))
+    monkeypatch.setattr(search, "_asked", lambda *a, **k: pytest.fail("a copy of the points for each cell"))
+    got = {r.id: r.near for r in search.nearest(5).collect()}
+    assert np.allclose([got[i * 3] for i in range(len(x))], brute_near(x, 5), rtol=0, atol=1e-12)
