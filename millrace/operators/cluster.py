@@ -155,14 +155,14 @@ def _by_cells(points: DataFrame, eps: float, min_samples: int, d: int, max_pairs
     return met, full.select(F.col("id").alias("a"), "rep"), of_rep, links
 
 
-def _numbered(names: DataFrame, by: str) -> DataFrame:
-    """``by, label``: the rows of ``names`` numbered from 0 in their order, range by range."""
-    ranged = checkpoint(names.repartitionByRange(by).withColumn("_p", F.spark_partition_id()))
+def _numbered(names: DataFrame, *by: str, at: str = "label") -> DataFrame:
+    """``names`` with their number from 0 in the order of ``by``, range by range."""
+    ranged = checkpoint(names.repartitionByRange(*by).withColumn("_p", F.spark_partition_id()))
     counts = sorted((r["_p"], r["count"]) for r in ranged.groupBy("_p").count().collect())  # one row a partition
     starts = [(p, sum(n for q, n in counts if q < p)) for p, _ in counts]
     starts = ranged.sparkSession.createDataFrame(starts, "_p int, _start long")
-    at = F.row_number().over(Window.partitionBy("_p").orderBy(by)) - 1 + F.col("_start")
-    return ranged.join(F.broadcast(starts), "_p").select(by, at.alias("label"))
+    number = F.row_number().over(Window.partitionBy("_p").orderBy(*by)) - 1 + F.col("_start")
+    return ranged.join(F.broadcast(starts), "_p").select(*names.columns, number.alias(at))
 
 
 def _by_blocks(points: DataFrame, eps: float, min_samples: int, max_pairs: int | None) -> DataFrame:
@@ -310,13 +310,14 @@ def random_search(points: DataFrame, key: str, algorithm: str, space: Mapping[st
     while eta**rungs < len(drawn):
         rungs += 1
     rungs += len(drawn) > 1
-    ordered = checkpoint(points.select("*", F.xxhash64(key, F.lit(seed)).alias("_mr_h")))
+    # Numbered once: a limit of so many rows would bring each sample into one task.
+    ordered = checkpoint(_numbered(points.select("*", F.xxhash64(key, F.lit(seed)).alias("_mr_h")), "_mr_h", key, at="_mr_at").drop("_mr_h"))
     total = ordered.count()
     alive, rows, sign = list(range(len(drawn))), [], 1 if score in SMALLER else -1
     for rung in range(rungs):
         last = rung == rungs - 1
         n = total if last else min(total, max(least_points or 0, -(-total // eta ** (rungs - 1 - rung))))
-        data = checkpoint(ordered.orderBy("_mr_h", key).limit(n) if n < total else ordered).drop("_mr_h")
+        data = (checkpoint(ordered.where(F.col("_mr_at") < n)) if n < total else ordered).drop("_mr_at")
         found = []
         for i in alive:
             labels = checkpoint(fit(algorithm, data, key, **drawn[i], **fixed))

@@ -198,3 +198,16 @@ def test_labelings_share_one_comparison_of_two_blocks_at_a_time(spark, monkeypat
     assert got["a"] == pytest.approx(brute(np.array([r[2] for r in rows])), abs=1e-9)
     assert got["b"] == pytest.approx(brute(np.array([r[3] for r in rows])), abs=1e-9)
     assert got["c"] is None and len(calls) == 1
+
+
+def test_samples_of_a_search_do_not_meet_in_one_task(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=2) * 0.1 + 10 * (i % 3)).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, features array<double>")
+    sizes, fitted = [], cluster.fit
+    want = [sorted(r.k for r in df.orderBy(F.xxhash64("k", F.lit(7)), "k").limit(n).collect()) for n in (75, 150, 300)]
+    monkeypatch.setattr(type(df), "limit", lambda *_: pytest.fail("limit"))
+    monkeypatch.setattr(cluster, "fit", lambda a, data, key, **p: sizes.append(sorted(r.k for r in data.collect())) or fitted(a, data, key, **p))
+    made = cluster.random_search(df, "k", "kmeans", {"k": [2, 3, 5, 8]}, draws=4, score="silhouette_squared", seed=7).collect()
+    assert [r.parameters for r in made if r.best] == ["k=3"]
+    assert sizes == [want[0]] * 4 + [want[1]] * 2 + [want[2]]
