@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import values
-from millrace.sources.scratch import checkpoint, hot_join, hot_keys
+from millrace.sources.scratch import checkpoint, hot_join, hot_keys, scratch
 from millrace.sources.tables import sample_stratified
 
 from . import neighbours, quality
@@ -403,5 +403,17 @@ def estimator(problem: str, name: str) -> Callable:
         raise ValueError(f"{problem}/{name}: unknown; there are {sorted(ESTIMATORS.get(problem, {}))}") from None
 
 
+def fitted(problem: str, name: str, data: DataFrame, **parameters):
+    """The model of an estimator by name, without its training summary. The summary of a binary classifier
+    holds the session, so such a model can't be sent to tasks once the session has seen an ``Observation``;
+    a model that was written and read again has none."""
+    model = estimator(problem, name)(**parameters).fit(data)
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = scratch(data.sparkSession, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def register(problem: str, name: str, factory: Callable) -> None:
     ESTIMATORS.setdefault(problem, {})[name] = factory

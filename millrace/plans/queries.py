@@ -957,7 +957,7 @@ def registry_smoke(spark, d):
     points = embeddings(spark, d).withColumn("vector", array_to_vector("features")).withColumn("target", (F.col("label") % 2).cast("double"))
     rows = []
     for problem, name, extra in (("clustering", "kmeans", {"k": 3, "seed": 1}), ("classification", "logistic_regression", {"labelCol": "target"}), ("regression", "ridge", {"labelCol": "target"})):
-        model = cluster.estimator(problem, name)(featuresCol="vector", **extra).fit(points)
+        model = cluster.fitted(problem, name, points, featuresCol="vector", **extra)
         rows.append((problem, name, model.transform(points).select("prediction").distinct().count() > 1))
     return spark.createDataFrame(rows, "problem string, name string, predicts boolean")
 

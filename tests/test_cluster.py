@@ -2,6 +2,8 @@ from functools import partial
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from millrace.operators import cluster, interpret, quality
@@ -126,6 +128,16 @@ def test_registry(spark):
         cluster.estimator("regression", "nope")
 
 
+@pytest.mark.parametrize(("problem", "name"), [("clustering", "kmeans"), ("classification", "logistic_regression"), ("classification", "random_forest"), ("classification", "linear_svc"), ("regression", "ridge")])
+def test_models_predict_in_a_session_with_observations(spark, problem, name):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    df = points(spark).select(array_to_vector("features").alias("vector"), (F.col("label") % 2).cast("double").alias("target"))
+    extra = {"k": 2, "seed": 1} if problem == "clustering" else {"labelCol": "target"}
+    made = cluster.fitted(problem, name, df, featuresCol="vector", **extra).transform(df)
+    assert seen.get["n"] == 3 and made.where("prediction is not null").count() == 6 and made.select("prediction").distinct().count() > 1
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
