@@ -306,14 +306,37 @@ class Search:
         data = checkpoint(points.withColumn("code", F.array(F.lit(0).cast("long"))))
         return against_all(data, "id long, near array<double>", partial, lambda parts: least(np.concatenate(parts, axis=1)), finish)
 
-    def density(self, eps: float, least: int, weight: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    @staticmethod
+    def _only(blocks: DataFrame, flag: str) -> DataFrame:
+        """``blocks`` of the points alone whose ``flag`` (a carried column) is not 0."""
+        eight = [c for c, kind in blocks.dtypes if kind == "binary" and c != "x"]
+
+        def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                made = []
+                for row in f.to_dict("records"):
+                    some = np.frombuffer(row[flag], "i8") != 0
+                    if some.any():
+                        x = np.frombuffer(row["x"]).reshape(len(some), -1)[some]
+                        made.append(row | {c: np.frombuffer(row[c], "i8")[some].tobytes() for c in eight} | {"n": int(some.sum()), "x": x.tobytes()})
+                if made:
+                    yield pd.DataFrame(made)
+
+        return blocks.mapInPandas(keep, blocks.schema)
+
+    def density(self, eps: float, least: int, weight: str, *, unit: str | None = None, asks: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Core points ``a``; links ``a, b`` that connect the core points within ``eps`` of each other; and
         ``a, rep`` of the other points and the core points within ``eps`` of them.
 
         A point is a core point if the ``weight`` (a carried column) of the points within ``eps``, its own
         included, is ``least`` or more. First the weights are summed, a row for each two blocks; then, with
-        the core points known, each two blocks give as many links as connect what they connect."""
-        reached = self._with_reach(self.blocks, eps)
+        the core points known, each two blocks give as many links as connect what they connect.
+
+        With ``asks`` (a carried column) only points where it is not 0 are searched for and listed; the others are
+        known to be core points. With ``unit`` (another) the points met are named by their unit, whose points are
+        connected; a point that is searched for is its own unit."""
+        asking = self.blocks if asks is None else checkpoint(self._only(self.blocks, asks))
+        reached = self._with_reach(asking, eps)
 
         def tally(row, chunks):
             n, seen = len(row["d"]) // 8, 0
@@ -333,15 +356,20 @@ class Search:
             return pd.DataFrame({"block": part["block"].iloc[:1], "at": [np.arange(len(total), dtype="i4").tobytes()], "total": [total.tobytes()], "seen": [part["seen"].sum()]})
 
         def flags(key, part: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(block["n"].iloc[0], "i8")
+            core = np.ones(block["n"].iloc[0], "i8")
+            asked = core != 0 if asks is None else np.frombuffer(block[asks].iloc[0], "i8") != 0
+            total = np.zeros(asked.sum(), "i8")
             for at, found in zip(part["at"], part["total"], strict=True):
                 total[np.frombuffer(at, "i4")] += np.frombuffer(found, "i8")
-            return pd.DataFrame({"block": [key[0]], "core": [(total >= least).astype("i8").tobytes()]})
+            core[asked] = total >= least
+            return pd.DataFrame({"block": [key[0]], "core": [core.tobytes()]})
 
         groups = max(1, self.blocks.count() // 64)
         fewer = parts.groupBy("block", F.pmod(F.xxhash64("at", "total"), F.lit(groups)).alias("part_of")).applyInPandas(some, "block long, at binary, total binary, seen long")
-        core = checkpoint(fewer.groupBy("block").cogroup(self.blocks.select("block", "n").groupBy("block")).applyInPandas(flags, "block long, core binary"))
-        known = checkpoint(self.blocks.drop(*self.carry).join(core, "block"))
+        used = [c for c in (unit, asks) if c is not None]
+        core = checkpoint(fewer.groupBy("block").cogroup(self.blocks.select("block", "n", *used).groupBy("block")).applyInPandas(flags, "block long, core binary"))
+        known = checkpoint(self.blocks.drop(*[c for c in self.carry if c not in used]).join(core, "block"))
+        asking = known if asks is None else checkpoint(self._only(known, asks))
 
         def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
@@ -351,7 +379,7 @@ class Search:
         def connect(row, chunks):
             ids, mine = np.frombuffer(row["q_ids"], "i8"), np.frombuffer(row["core"], "i8") > 0
             others, theirs = np.frombuffer(row["y_ids"], "i8"), np.frombuffer(row["y_core"], "i8") > 0
-            one, group, found = row["block"] <= row["target"], np.arange(len(others)), ([], [], [])
+            one, group, found = asks is not None or row["block"] <= row["target"], np.unique(others, return_inverse=True)[1], ([], [], [])
             for i, j, d in chunks:
                 near = (d <= eps) & theirs[j]
                 for q, hits in zip(i, near, strict=True):
@@ -373,9 +401,35 @@ class Search:
             if found[0]:
                 yield pd.DataFrame(dict(zip(("a", "b", "border"), map(np.concatenate, found), strict=True)))
 
-        packed = known.withColumn("q_ids", F.col("ids"))
+        packed = asking.withColumn("q_ids", F.col("ids"))
         again = self._asked(self._with_reach(packed.drop("ids"), eps), True, ("q_ids", "core"))
-        edges = checkpoint(self._compared(self._met(again, known, ("core",)), "a long, b long, border boolean", connect))
+        named = known if unit is None else known.withColumn("ids", F.col(unit))
+        edges = checkpoint(self._compared(self._met(again, named, ("core",)), "a long, b long, border boolean", connect))
         self.examined = parts.agg(F.sum("seen")).first()[0] or 0
         links = edges.where("not border and a <> b").select("a", "b")
-        return known.mapInPandas(listed, "a long"), links, edges.where("border").select("a", F.col("b").alias("rep"))
+        return asking.mapInPandas(listed, "a long"), links, edges.where("border").select("a", F.col("b").alias("rep"))
+
+
+def near_boxes(boxes: DataFrame, eps: float) -> DataFrame:
+    """``a, b, sure`` with a < b of the boxes ``id, lo, hi`` (corners, a diagonal of ``eps`` at most) that are within
+    ``eps`` of each other; ``sure`` if all of one is within ``eps`` of all of the other."""
+    # Centres are within 2 eps, half diagonals differ by eps / 2; corners by the root of twice the sum of both squares.
+    reach = eps * math.sqrt(8.5) * (1 + SLACK)
+    search = Search(boxes.select("id", F.concat("lo", "hi").alias("x")))
+    size = lambda v: np.sqrt((np.ascontiguousarray(v) ** 2).sum(1))
+
+    def use(row, chunks):
+        ids, others = np.frombuffer(row["q_ids"], "i8"), np.frombuffer(row["y_ids"], "i8")
+        q, y = np.frombuffer(row["q"]).reshape(len(ids), -1), np.frombuffer(row["y"]).reshape(len(others), -1)
+        d = q.shape[1] // 2
+        for i, j, gaps in chunks:
+            u, v = np.nonzero((gaps <= reach) & (ids[i][:, None] < others[j]))
+            u, v = i[u], j[v]
+            lo, hi, low, high = q[u, :d], q[u, d:], y[v, :d], y[v, d:]
+            near = size(np.maximum(0.0, np.maximum(lo - high, low - hi))) <= eps
+            sure = size(np.maximum(hi - low, high - lo)) <= eps
+            yield pd.DataFrame({"a": ids[u][near], "b": others[v][near], "sure": sure[near]})
+
+    packed = search.blocks.withColumn("q_ids", F.col("ids"))
+    asked = search._asked(search._with_reach(packed.drop("ids"), reach), True, ("q_ids",))
+    return search._compared(search._met(asked, search.blocks), "a long, b long, sure boolean", use)

@@ -102,6 +102,41 @@ def test_dbscan_of_one_crowded_place(spark):
     assert got == {0: 3001, -1: 6001}
 
 
+def test_crowded_points_in_four_dimensions_do_not_make_more_pairs(spark, monkeypatch):
+    """One region that fills up: only points outside dense cells are compared with others."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.uniform(0, 1, (1500, 4)), rng.uniform(-1.5, 3, (60, 4)), np.repeat([[9.0] * 4], 3, 0), [[-9.0] * 4]])
+    x = x[rng.permutation(len(x))]
+    searches, once = [], cluster.neighbours.Search.density
+    monkeypatch.setattr(cluster.neighbours.Search, "density", lambda self, *a, **k: (once(self, *a, **k), searches.append(self))[0])
+    want = density_clusters(x, 1.0, 3)
+    assert dbscan_labels(spark, x, 1.0, 3) == want and -1 in want and len(set(want)) > 2
+    assert sum(s.examined for s in searches) < len(x) ** 2 / 8
+
+
+def test_dense_cells_in_four_dimensions_that_only_inner_points_connect(spark):
+    """The nearest points of two cells are the outermost along no axis; a gap just under and one just over eps."""
+    cell = [[0.45, 0, 0.1, 0.1], [0, 0.45, 0.1, 0.1], [0.4, 0.4, 0.1, 0.1], [0, 0, 0.05, 0.05], [0, 0, 0.15, 0.15]]
+    made = []
+    for at, gap in ((0.0, 0.999), (50.0, 1.001)):
+        tip = 0.4 + gap / 2**0.5
+        made += [np.array(cell) + [0, 0, at, 0], np.array([[tip, tip, 0.1, 0.1], [tip + 0.01, tip, 0.1, 0.1], [tip, tip + 0.01, 0.1, 0.1]]) + [0, 0, at, 0]]
+    x = np.concatenate(made)
+    want = density_clusters(x, 1.0, 3)
+    assert want == [0] * 8 + [1] * 5 + [2] * 3 and dbscan_labels(spark, x, 1.0, 3) == want
+
+
+@pytest.mark.parametrize("far", [1e9, 1e300, np.nan])
+def test_dense_cells_where_the_grid_is_coarse(spark, far):
+    """Coordinates beyond what a cell's number can tell apart, and some that are no numbers."""
+    x = np.zeros((10, 4))
+    x[:, 0] = [0, 0.1, 0.2, 0.3, 5, 5.1, 5.2, 0.25, 0.25, 0.25]
+    x[:4, 1] = x[7:, 2] = far
+    x[8, 2] += 4.0
+    want = density_clusters(x, 0.5, 3)
+    assert dbscan_labels(spark, x, 0.5, 3) == want and 0 in want
+
+
 def test_dbscan_refuses_too_many_pairs(spark):
     with pytest.raises(ValueError):
         cluster.dbscan(points(spark), "k", 1.0, 2, max_pairs=3)
